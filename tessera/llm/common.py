@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 
 #: A word: a run of ASCII letters, digits and characters beyond ASCII. Texts are lower-cased (A-Z only) first.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
 def words_of(text: str | None) -> list[str]:
     """Lower-cased words of a whole text; none for null."""
     if not text:
         return []
-    return WORD.findall(text.lower() if text.isascii() else text.translate(LOWER))
+    return WORD.findall(text.encode().lower().decode())  # bytes are lower-cased in ASCII alone
 
 
 def shared_dir(spark: SparkSession) -> str:
