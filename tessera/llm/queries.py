@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .op01_licenses import scan_licenses
 from .op02_token_orc import token_table
+from .op04_decontaminate import contaminated
 from .op05_minhash import near_duplicates
 from .op06_secrets import scan_secrets
 from .op09_packing import pack_documents
@@ -22,6 +23,10 @@ def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,7 +40,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_token_orc, op5_minhash_near_dedup, op6_secret_scan, op9_best_fit_packing)}
+    return {f.__name__: f for f in (op1_license_scan, op2_token_orc, op4_decontamination, op5_minhash_near_dedup, op6_secret_scan, op9_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
