@@ -34,10 +34,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
         for whole in batches:
             for i in range(0, whole.num_rows, 500):
                 b = whole.slice(i, 500)
-                ids = [np.array([*enc.ids(t), end_id], dtype=np.int32) for t in b.column("text").to_pylist()]
+                ids = [enc.ids(t, end_id) for t in b.column("text").to_pylist()]
                 n = np.array([len(x) for x in ids], dtype=np.int64)
                 ends = np.cumsum(n)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.concatenate(ids)))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.concatenate(ids).view(np.int32)))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(np.full(len(n), part, dtype=np.int32)), pa.array(start + ends - n), pa.array(n), lists], ["doc_id", "part", "part_start", "n_tokens", "ids"])
                 start += int(ends[-1])
 

@@ -37,7 +37,7 @@ def token_pieces(docs: DataFrame, capacity: int, tokenizer: str | None, end_id:
         for b in batches:
             rows = []
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                ids = np.array([*enc.ids(text), end_id], dtype="<u4")
+                ids = enc.ids(text, end_id)
                 for k, (s, n) in enumerate(cut(len(ids), capacity)):
                     rows.append((doc, k, s, n, crc32_of(ids[s : s + n]), number))
                     number += 1

@@ -22,12 +22,16 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, dtype="<u4").tobytes()
+
+
 class Encoder:
     """Ids of texts, equal to Tokenizer.encode(text, add_special_tokens=False).ids.
 
-    Byte-level BPE works on one pre-token at a time, so the ids of a pre-token are kept in a memo of at most
-    ``memo`` entries; missing ones go to the tokenizers library many at a time. Texts with characters outside
-    the plain set go to the library whole.
+    Byte-level BPE works on one pre-token at a time, so the ids of a pre-token are kept, as bytes, in a memo of at most
+    ``memo`` entries; missing ones go to the tokenizers library together. Texts with characters outside the plain
+    set go to the library whole.
     """
 
     def __init__(self, path: str, memo: int = 500_000) -> None:
@@ -35,47 +39,44 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.memo: dict[str, list[int]] = {}
+        self.memo: dict[str, bytes] = {}
         self.limit = memo
         (self.newline,) = self.tok.encode("\n", add_special_tokens=False).ids
 
-    def ids(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        if not SIMPLE.fullmatch(text):
-            return self.tok.encode(text, add_special_tokens=False).ids
-        pieces, memo = ASCII_SPLIT.findall(text), self.memo
-        out: list[int] = []
-        missing = set(pieces).difference(memo)
-        if missing:
-            new = self.encoded(missing)
-            if len(memo) + len(new) <= self.limit:
-                memo.update(new)
-            else:
-                known = memo.get
-                for p in pieces:
-                    out += known(p) or new[p]
-                return out
-        for x in map(memo.__getitem__, pieces):
-            out += x
-        return out
-
-    def encoded(self, missing: set[str]) -> dict[str, list[int]]:
+    def ids(self, text: str | None, end_id: int) -> np.ndarray:
+        """The ids of a text (null: empty) and ``end_id``, as unsigned 32-bit integers."""
+        end = end_id.to_bytes(4, "little")
+        if text and SIMPLE.fullmatch(text):
+            raw = self.joined(ASCII_SPLIT.findall(text))
+        else:
+            raw = packed(self.tok.encode(text, add_special_tokens=False).ids) if text else b""
+        return np.frombuffer(raw + end, dtype="<u4")
+
+    def joined(self, pieces: list[str]) -> bytes:
+        memo = self.memo
+        try:
+            return b"".join(map(memo.__getitem__, pieces))
+        except KeyError:
+            new = self.encoded(set(pieces).difference(memo))
+        if len(memo) + len(new) <= self.limit:
+            memo.update(new)
+            return b"".join(map(memo.__getitem__, pieces))
+        known = memo.get
+        return b"".join([known(p) or new[p] for p in pieces])
+
+    def encoded(self, missing: set[str]) -> dict[str, bytes]:
         """Ids of each of these pre-tokens."""
         plain = [p for p in missing if LETTERS.fullmatch(p)]
-        found: dict[str, list[int]] = {}
+        found: dict[str, bytes] = {}
         if plain:  # one call; a newline between letters is a pre-token of its own
-            ids = self.tok.encode("\n".join(plain), add_special_tokens=False).ids
-            parts: list[int] = []
-            at = iter(plain)
-            for i in ids:
-                if i == self.newline:
-                    found[next(at)], parts = parts, []
-                else:
-                    parts.append(i)
-            found[next(at)] = parts
+            ids = np.array(self.tok.encode("\n".join(plain), add_special_tokens=False).ids, dtype="<u4")
+            raw, ends = ids.tobytes(), [*np.flatnonzero(ids == self.newline).tolist(), len(ids)]
+            at = 0
+            for p, e in zip(plain, ends, strict=True):
+                found[p] = raw[4 * at : 4 * e]
+                at = e + 1
         for p in missing.difference(found):
-            found[p] = self.tok.encode(p, add_special_tokens=False).ids
+            found[p] = packed(self.tok.encode(p, add_special_tokens=False).ids)
         return found
 
 
