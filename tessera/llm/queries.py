@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .op01_licenses import scan_licenses
 from .op02_token_orc import token_table
+from .op03_quality import judged
 from .op04_decontaminate import contaminated
 from .op05_minhash import near_duplicates
 from .op06_secrets import scan_secrets
@@ -23,6 +24,12 @@ def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the classifier keeps, with their probabilities."""
+    out = judged(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), table(spark, sf_dir, "labels"))
+    return out.where("judged.bad < 0.5").select("doc_id", "judged.junk", "judged.toxic", "judged.bad")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,7 +47,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_token_orc, op4_decontamination, op5_minhash_near_dedup, op6_secret_scan, op9_best_fit_packing)}
+    return {f.__name__: f for f in (op1_license_scan, op2_token_orc, op3_quality_classifier, op4_decontamination, op5_minhash_near_dedup, op6_secret_scan, op9_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
