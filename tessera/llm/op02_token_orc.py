@@ -43,7 +43,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
 
     spark = docs.sparkSession
     ordered = docs.select("doc_id", "text").repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id", "text")
-    (ordered.mapInArrow(run, FILE_SCHEMA).write.option("compression", "zstd").option("orc.stripe.size", str(stripe_bytes)).option("orc.create.index", "true")
+    (ordered.mapInArrow(run, FILE_SCHEMA).write.option("compression", "lz4").option("orc.stripe.size", str(stripe_bytes)).option("orc.create.index", "true")
      .option("orc.row.index.stride", "1000").option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").orc(path))
 
 
