@@ -1,7 +1,7 @@
 """Quality classifier by hierarchical empirical Bayes.
 
 Two models of labelled documents, one of junk (quality 0) and one of toxic text, weigh what differs between
-the classes: marks of form for junk, words for toxic text. A document's evidence is combined with posteriors of its host (source) and of its path
+the classes: marks of form for junk, words and their beginnings for toxic text. A document's evidence is combined with posteriors of its host (source) and of its path
 in it (language): shares of all documents, from grouped sums, shrunk towards the level above by a strength that
 the spread between hosts gives.
 """
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pandas as pd
@@ -19,6 +20,10 @@ from pyspark.sql import functions as F
 from .common import words_of
 
 LINE = re.compile(r"[^\n]+")
+#: Lengths of beginnings of words, longest first.
+BEGINNINGS = (6, 5, 4)
+#: Features that count documents and distinct words.
+ALL, ALL_WORDS = " all", " words"
 
 
 def style_marks(text: str, words: list[str]) -> list[str]:
@@ -34,21 +39,50 @@ def style_marks(text: str, words: list[str]) -> list[str]:
     return [f"upper {min(9, int(10 * upper / letters))}", f"signs {min(9, int(40 * signs / n))}", f"digits {min(9, int(20 * digits / n))}", f"lines {int(5 * repeated)}", f"variety {int(8 * variety)}", f"length {len(words).bit_length()}", f"mean {min(15, letters // max(1, len(words)))}"]
 
 
-def features(text: str | None) -> set[str]:
+def features(text: str | None) -> dict[str, int]:
+    """Distinct words (1 each), beginnings of words (ending in a hyphen) with how many distinct words share them, marks of
+    form (they hold a space), the number of distinct words, and 1 for the document."""
     words = words_of(text)
-    return set(words).union(style_marks(text or "", words))
+    own = set(words)
+    out = dict.fromkeys(own, 1)
+    for size in BEGINNINGS:
+        out.update(Counter([f"{w[:size]}-" for w in own if len(w) > size]))
+    out.update(dict.fromkeys(style_marks(text or "", words), 1))
+    return out | {ALL_WORDS: len(own), ALL: 1}
 
 
 @dataclass
-class Model:
-    """Log-likelihood ratios of the features that tell a class from the rest, and the class's log-odds."""
+class Marks:
+    """Naive Bayes over marks of form."""
 
     ratios: dict[str, float]
     odds: float
 
-    def score(self, found: set[str]) -> float:
-        get = self.ratios.get
-        return self.odds + sum(get(x) for x in self.ratios.keys() & found)
+    def score(self, text: str, words: list[str]) -> float:
+        return self.odds + sum(self.ratios.get(x, 0.0) for x in style_marks(text, words))
+
+
+@dataclass
+class Lexicon:
+    """Multinomial naive Bayes over distinct words: those of a lexicon (whole, or by their longest beginning in it) and all others."""
+
+    ratios: dict[str, float]
+    other: float
+    odds: float
+
+    def score(self, text: str, words: list[str]) -> float:
+        get, own = self.ratios.get, set(words)
+        out, rest = self.odds, len(own)
+        for w in own:
+            r = get(w)
+            if r is None:
+                for size in BEGINNINGS:
+                    if len(w) > size and (r := get(f"{w[:size]}-")) is not None:
+                        break
+            if r is not None:
+                out += r
+                rest -= 1
+        return out + rest * self.other
 
 
 def logit(p: float) -> float:
@@ -56,36 +90,46 @@ def logit(p: float) -> float:
     return math.log(p / (1 - p))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, vocabulary: int = 20_000, least: int = 5, least_share: float = 0.005, chi2: float = 16.0) -> tuple[Model, Model] | None:
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, vocabulary: int = 20_000, least: int = 5, least_share: float = 0.002, chi2: float = 16.0) -> tuple[Marks, Lexicon] | None:
     """Models of junk and of toxic text, from at most ``max_labelled`` labelled documents, chosen by a hash of the id.
 
-    A feature counts where at least ``least`` documents and the share ``least_share`` of all hold it and its counts in the two classes differ with the
-    statistic ``chi2``, near copies counted once; the ``vocabulary`` largest statistics stay. None without labels.
+    A feature counts where at least ``least`` documents and the share ``least_share`` of all hold it and the numbers of
+    documents that do in the two classes differ with the statistic ``chi2``, near copies counted once; the
+    ``vocabulary`` largest statistics stay. None without labels.
     """
     marks = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    found = F.udf(lambda t: sorted(features(t)), "array<string>")
+    found = F.udf(features, "map<string,int>")
     # near copies share their two least hashes of words as a rule, and count once
-    least_two = F.slice(F.sort_array(F.transform("f", lambda x: F.xxhash64(x))), 1, 2)
+    least_two = F.slice(F.sort_array(F.transform(F.map_keys("f"), lambda x: F.xxhash64(x))), 1, 2)
     held = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").select(found("text").alias("f"), (F.coalesce("quality", F.lit(1)) == 0).cast("long").alias("j"), (F.coalesce("toxic", F.lit(0)) == 1).cast("long").alias("t"))
-    held = held.withColumn("g", F.xxhash64(least_two, "j", "t"))
-    held = held.select(F.explode(F.concat("f", F.array(F.lit(" all")))).alias("x"), "j", "t", "g").distinct()
-    sums = held.groupBy("x").agg(F.count("*").alias("n"), F.sum("j").alias("j"), F.sum("t").alias("t")).where(F.col("n") >= least)
-    total = sums.where("x = ' all'").first()
-    if total is None:
+    once = held.withColumn("g", F.xxhash64(least_two, "j", "t")).select(F.explode("f").alias("x", "c"), "j", "t", "g").groupBy("x", "j", "t", "g").agg(F.max("c").alias("c"))
+    sums = once.groupBy("x").agg(F.count("*").alias("n"), F.sum("j").alias("j"), F.sum("t").alias("t"), F.sum("c").alias("w"), F.sum(F.col("c") * F.col("t")).alias("wt")).where(F.col("n") >= least)
+    totals = {r.x: r for r in sums.where(F.col("x").isin(ALL, ALL_WORDS)).collect()}
+    if ALL not in totals:
         return None
-    sums = sums.where(F.col("n") >= least_share * total.n)
+    total = totals[ALL]
+    own = sums.where(~F.col("x").isin(ALL, ALL_WORDS)).where(F.col("n") >= least_share * total.n)
 
-    def model(col: str, kind: str) -> Model:
+    def told_by(col: str, rows: DataFrame, ratio) -> list:  # noqa: ANN001
         a, n, bad, all_ = F.col(col), F.col("n"), float(total[col]), float(total.n)
+        if not 0 < bad < all_:
+            return []
         expected = n * bad / all_
         stat = (a - expected) ** 2 / F.greatest(expected, F.lit(1e-9)) + (a - expected) ** 2 / F.greatest(n - expected, F.lit(1e-9))
-        own = sums.where("x <> ' all'").where(kind).withColumn("stat", stat).where(F.col("stat") >= chi2)
-        ratio = F.log((a + 0.1) / (bad + 0.2)) - F.log((n - a + 0.1) / (all_ - bad + 0.2))
-        rows = own.orderBy(F.desc("stat"), "x").limit(vocabulary).select("x", ratio.alias("r")).collect() if 0 < bad < all_ else []
-        return Model({r.x: r.r for r in rows}, logit(bad / all_))
+        return rows.withColumn("stat", stat).where(F.col("stat") >= chi2).withColumn("r", ratio).orderBy(F.desc("stat"), "x").limit(vocabulary).collect()
 
-    return model("j", "instr(x, ' ') > 0"), model("t", "instr(x, ' ') = 0")
+    j, n = F.col("j"), F.col("n")
+    junk = told_by("j", own.where("instr(x, ' ') > 0"), F.log((j + 0.1) / (total.j + 0.2)) - F.log((n - j + 0.1) / (total.n - total.j + 0.2)))
+    words = totals.get(ALL_WORDS)
+    bad, good = (words.wt + 1, words.w - words.wt + 1) if words else (1, 1)
+    w, wt = F.col("w"), F.col("wt")
+    told = told_by("t", own.where("instr(x, ' ') = 0"), F.log((wt + 0.1) / bad) - F.log((w - wt + 0.1) / good))
+    told = {r.x: r for r in told if r.r > 0}
+    # a word of the lexicon whose beginning stands there too is counted with it
+    roots = [r for x, r in told.items() if not any(f"{x[:size]}-" in told and f"{x[:size]}-" != x for size in BEGINNINGS)]
+    other = math.log(max(1.0, bad - sum(r.wt for r in roots)) / bad) - math.log(max(1.0, good - sum(r.w - r.wt for r in roots)) / good)
+    return Marks({r.x: r.r for r in junk}, logit(total.j / total.n)), Lexicon({x: r.r for x, r in told.items()}, other if told else 0.0, logit(total.t / total.n))
 
 
 def shrunk(scored: DataFrame, col: str) -> DataFrame:
@@ -123,8 +167,8 @@ def judged(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
 
     @F.pandas_udf("junk double, toxic double")
     def evidence(texts: pd.Series) -> pd.DataFrame:
-        found = [features(t) for t in texts]
-        return pd.DataFrame({"junk": [junk.score(f) for f in found], "toxic": [toxic.score(f) for f in found]})
+        found = [(t or "", words_of(t)) for t in texts]
+        return pd.DataFrame({"junk": [junk.score(*f) for f in found], "toxic": [toxic.score(*f) for f in found]})
 
     def chance(x):  # noqa: ANN001, ANN202
         return 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), x))))
