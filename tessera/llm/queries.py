@@ -14,6 +14,7 @@ from .op04_decontaminate import contaminated
 from .op05_minhash import near_duplicates
 from .op06_secrets import scan_secrets
 from .op09_packing import pack_documents
+from .op10_suffix_dedup import repeated_passages
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,8 +47,12 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_token_orc, op3_quality_classifier, op4_decontamination, op5_minhash_near_dedup, op6_secret_scan, op9_best_fit_packing)}
+    return {f.__name__: f for f in (op1_license_scan, op2_token_orc, op3_quality_classifier, op4_decontamination, op5_minhash_near_dedup, op6_secret_scan, op9_best_fit_packing, op10_suffix_array_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
