@@ -13,6 +13,7 @@ from .op03_quality import judged
 from .op04_decontaminate import contaminated
 from .op05_minhash import near_duplicates
 from .op06_secrets import scan_secrets
+from .op07_template_extract import extracted
 from .op08_embedding_dedup import near_vectors
 from .op09_packing import pack_documents
 from .op10_suffix_dedup import repeated_passages
@@ -44,6 +45,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op7_template_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -57,7 +62,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_token_orc, op3_quality_classifier, op4_decontamination, op5_minhash_near_dedup, op6_secret_scan, op8_embedding_near_dedup, op9_best_fit_packing, op10_suffix_array_dedup)}
+    return {f.__name__: f for f in (op1_license_scan, op2_token_orc, op3_quality_classifier, op4_decontamination, op5_minhash_near_dedup, op6_secret_scan, op7_template_extract, op8_embedding_near_dedup, op9_best_fit_packing, op10_suffix_array_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
