@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_of
+from .common import stored, words_of
 from .shingles import mixed
 
 #: Empty words after a text; no walk is longer.
@@ -196,5 +196,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2,
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; rows with a null doc_id stay."""
-    bad = contaminated(docs, benchmark, **options).select("doc_id").distinct()
+    bad = stored(contaminated(docs, benchmark, **options).select("doc_id").distinct(), "contaminated")  # a small table joins without a shuffle of texts
     return docs.join(bad, "doc_id", "left_anti").select(docs.columns)

@@ -18,8 +18,6 @@ from .common import components, stored
 from .shingles import document_frequencies, idf_levels, mixed, sampler, shingles, weighted, weighted_jaccard, word_hashes
 
 SIGS = "doc_id long, k1 long, k2 long, bands array<long>, sig binary"
-#: Buckets up to this size are compared pair by pair where their members are not yet connected.
-SMALL = 16
 
 
 def signatures(docs: DataFrame, levels, k: int, bands: int, rows: int) -> DataFrame:
@@ -113,36 +111,35 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands:
     pairs = members.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
     tested = stored(likely(pairs, own_sigs, 0.5), "pairs")
     links = stored(similar(tested, texts, levels, k, threshold), "links")
-    largest, many = members.agg(F.max("n")).first()[0] or 0, 1
-    while True:
+    many, done = 8, False
+    while not done:
         comps = components(links)
-        pairs, members = open_pairs(members, comps, many)
+        pairs, members, done = open_pairs(members, comps, many, 4 * n_docs)
         pairs = stored(likely(pairs.join(tested, ["a", "b"], "left_anti"), own_sigs, 0.5), "pairs")
-        done = members.isEmpty() or many >= largest
+        links = comps.select(F.col("id").alias("a"), F.col("component").alias("b"))
         if not pairs.isEmpty():
             tested = tested.unionByName(pairs)
             links = links.unionByName(stored(similar(pairs, texts, levels, k, threshold), "links"))
-        if done:
-            break
-        many *= 2
+        many *= 8
     classes = components(links.unionByName(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
     return docs.select("doc_id").distinct().join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("class_id"))
 
 
-def open_pairs(members: DataFrame, comps: DataFrame, many: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of texts of one bucket that are not connected yet, and the members of buckets that need another round.
+def open_pairs(members: DataFrame, comps: DataFrame, many: int, most: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Pairs of texts of one bucket that are not connected yet, the members for another round, and whether none is needed.
 
-    A small bucket gives all such pairs and is done. Of a large one, the texts not connected with its smallest id
-    are held against about ``many`` others, one of a component, chosen by a hash; that number doubles each round until
-    it is all of them.
+    The texts of a bucket that are not connected with its smallest id meet all others there that they are not
+    connected with. Where that makes more than ``most`` pairs, they meet about ``many`` others, one of a component,
+    chosen by a hash; the caller raises that number each round, and components grow meanwhile.
     """
     with_c = members.select("key", "doc_id").join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("c"))
     hubs = with_c.groupBy("key").agg(F.count("*").alias("n"), F.min_by("c", "doc_id").alias("hub_c"), F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").drop("low", "high")
     open_ = stored(with_c.join(hubs, "key"), "open")
-    small = open_.where(F.col("n") <= SMALL).groupBy("key").agg(F.collect_set(F.struct("doc_id", "c")).alias("m"))
-    two = small.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y")).where("x.doc_id > y.doc_id AND x.c <> y.c")
-    pairs = two.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-    rest = stored(open_.where((F.col("n") > SMALL) & (F.col("c") != F.col("hub_c"))).select("key", "doc_id", "c", "n"), "rest")
-    lows = rest.groupBy("key", "c", "n").agg(F.min("doc_id").alias("hub")).where(F.pmod(F.xxhash64("hub"), F.greatest(F.lit(1), F.floor(F.col("n") / many))) == 0)
-    more = rest.join(lows.select("key", "hub", F.col("c").alias("hub_c")), "key").where("c <> hub_c").select(F.greatest("doc_id", "hub").alias("a"), F.least("doc_id", "hub").alias("b"))
-    return pairs.unionByName(more).distinct(), rest.drop("c", "n")
+    rest = open_.where("c <> hub_c")
+    work = rest.groupBy("key").agg(F.max("n").alias("n"), F.count("*").alias("m")).agg(F.sum(F.col("n") * F.col("m")), F.max("n")).first()
+    done = (work[0] or 0) <= most or many >= work[1]
+    others = open_
+    if not done:
+        others = rest.groupBy("key", "c", "n").agg(F.min("doc_id").alias("doc_id")).where(F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.floor(F.col("n") / many))) == 0)
+    met = rest.select("key", "doc_id", "c").join(others.select("key", F.col("doc_id").alias("other"), F.col("c").alias("other_c")), "key").where("c <> other_c")
+    return met.select(F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b")).distinct(), open_.select("key", "doc_id"), done
