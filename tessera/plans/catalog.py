@@ -389,10 +389,10 @@ def watch_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return watch.next_state(old, new, "event_id")
 
 
-@query("""WITH mid AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS m FROM events), k AS (SELECT event_id, ts, user_id || '|' || event_type AS sighting FROM events)
+@query("""WITH mid AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS m FROM events), k AS (SELECT event_id, ts, user_id || '|' || event_type || '|' || floor(value)::BIGINT AS sighting FROM events)
 SELECT sighting, event_id FROM k, mid WHERE ts > m AND sighting NOT IN (SELECT sighting FROM k, mid WHERE ts <= m) QUALIFY row_number() OVER (PARTITION BY sighting ORDER BY event_id) = 1""")
 def seen_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.events(spark, sf_dir).select("event_id", "ts", F.concat("resource_id", F.lit("|"), "event_type").alias("sighting"))
+    rows = views.events(spark, sf_dir).select("event_id", "ts", F.concat_ws("|", "resource_id", "event_type", F.floor("value").cast("string")).alias("sighting"))
     span = rows.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
     middle = F.lit(span.a + (span.b - span.a) / 2 if span.a else None)
     return watch.unseen(rows.where(F.col("ts") > middle), rows.where(F.col("ts") <= middle), "sighting", ["event_id"]).select("sighting", "event_id")

@@ -38,4 +38,4 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as resources: a user's newest properties are the resource's content."""
     rows = table(spark, sf_dir, "events")
-    return rows.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").cast("string").alias("resource_id"), F.col("props").alias("url"), F.lit("").alias("checksum"), "event_type")
+    return rows.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").cast("string").alias("resource_id"), F.col("props").alias("url"), F.lit("").alias("checksum"), "event_type", "value")
