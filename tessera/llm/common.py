@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: A word: a run of ASCII letters, digits and characters beyond ASCII. Texts are lower-cased (A-Z only) first.
@@ -84,13 +84,14 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
 
     sig = None
     while True:
-        nxt = stored(star(star(edges, True), False), name)
-        now = nxt.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
+        seen = Observation()
+        nxt = stored(star(star(edges, True), False).observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")), name)
+        now = (seen.get["n"], seen.get["h"])
         dropped(edges)
         edges = nxt
-        if (now.n, now.h) == sig:
+        if now == sig or not now[0]:
             break
-        sig = (now.n, now.h)
+        sig = now
     roots = edges.select(F.col("v").alias("id")).distinct().withColumn("component", F.col("id"))
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 

@@ -52,7 +52,7 @@ def likely(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("sa")), "a").join(sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("sb")), "b")
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
+    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 def similar(pairs: DataFrame, texts: DataFrame, levels, k: int, threshold: float, per_task: int = 100) -> DataFrame:
@@ -61,7 +61,6 @@ def similar(pairs: DataFrame, texts: DataFrame, levels, k: int, threshold: float
     Texts travel to the b of their pairs, at most ``per_task`` to one copy of b; rows come sorted with b first, so a
     task holds one b and one row at a time.
     """
-    pairs = pairs.select("a", "b")
     large = pairs.groupBy("b").count().where(F.col("count") > per_task).select("b", F.ceil(F.col("count") / per_task).cast("long").alias("n"))
     dealt = pairs.join(large, "b", "left").withColumn("salt", F.pmod(F.xxhash64("a"), F.coalesce("n", F.lit(1)))).drop("n")
     ways = dealt.select(F.col("a").alias("doc_id"), "b", "salt").unionByName(dealt.select(F.col("b").alias("doc_id"), "b", "salt").distinct())
@@ -80,18 +79,19 @@ def similar(pairs: DataFrame, texts: DataFrame, levels, k: int, threshold: float
                     out.append((doc, b))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    routed = ways.join(texts, "doc_id").select("b", "salt", "doc_id", "text").repartition("b", "salt").sortWithinPartitions("b", "salt", F.expr("doc_id <> b"), "doc_id")
+    routed = ways.join(texts.select("doc_id", "text"), "doc_id").select("b", "salt", "doc_id", "text").repartition("b", "salt").sortWithinPartitions("b", "salt", F.expr("doc_id <> b"), "doc_id")
     return routed.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands: int = 12, rows: int = 4, idf_strength: float = 0.1) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands: int = 12, rows: int = 4, idf_strength: float = 0.1, least_agreed: float = 0.6) -> DataFrame:
     """(doc_id, class_id) for every distinct doc_id of ``docs`` (doc_id, text).
 
     class_id is the smallest doc_id that links of similarity ``threshold`` or more reach. Weights are
     tf * (1 + idf_strength * idf) with idf from 0 to 1: shared passages count somewhat less than rare ones, while
     an edit, whose shingles are all rare, does not outweigh the text it stands in. A text without words (null and
     empty ones) is a class of its own; rows of one doc_id are one document; a null doc_id gives a row with a null
-    class. Other columns are not read.
+    class. Other columns are not read. Candidates whose samples agree in less than ``least_agreed`` are not verified; of
+    texts at the threshold, the samples of one in some thousands do.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -105,41 +105,72 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands:
     members = reps.select(F.explode("bands").alias("key"), "doc_id").distinct()
     buckets = stored(members.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("hub")).where("n > 1"), "buckets")
     members = stored(members.join(buckets, "key"), "members")
-    involved = stored(members.select("doc_id").distinct(), "involved")
-    own_sigs = stored(sigs.join(involved, "doc_id", "left_semi").select("doc_id", "sig"), "own-signatures")
-    texts = stored(docs.join(involved, "doc_id", "left_semi"), "texts")
+    texts = docs.join(members.select("doc_id"), "doc_id", "left_semi").join(sigs.select("doc_id", "bands", "sig"), "doc_id")
+    texts = stored(texts.select("doc_id", "text", "bands", "sig"), "texts")
     pairs = members.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
-    tested = stored(likely(pairs, own_sigs, 0.5), "pairs")
-    links = stored(similar(tested, texts, levels, k, threshold), "links")
-    many, done = 8, False
-    while not done:
-        comps = components(links)
-        pairs, members, done = open_pairs(members, comps, many, 4 * n_docs)
-        pairs = stored(likely(pairs.join(tested, ["a", "b"], "left_anti"), own_sigs, 0.5), "pairs")
-        links = comps.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        if not pairs.isEmpty():
-            tested = tested.unionByName(pairs)
-            links = links.unionByName(stored(similar(pairs, texts, levels, k, threshold), "links"))
-        many *= 8
-    classes = components(links.unionByName(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
-    return docs.select("doc_id").distinct().join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("class_id"))
-
-
-def open_pairs(members: DataFrame, comps: DataFrame, many: int, most: int) -> tuple[DataFrame, DataFrame, bool]:
-    """Pairs of texts of one bucket that are not connected yet, the members for another round, and whether none is needed.
-
-    The texts of a bucket that are not connected with its smallest id meet all others there that they are not
-    connected with. Where that makes more than ``most`` pairs, they meet about ``many`` others, one of a component,
-    chosen by a hash; the caller raises that number each round, and components grow meanwhile.
+    pairs = stored(likely(pairs, sigs, least_agreed), "pairs")
+    comps = components(stored(similar(pairs, texts, levels, k, threshold), "links"))
+    links = stored(cross_links(members, comps, texts, levels, k, threshold, least_agreed), "cross-links")
+    if not links.isEmpty():
+        comps = components(links.unionByName(comps.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+    ids = docs.select("doc_id").distinct()
+    if n_docs > ids.count():  # texts of one id tie their classes together
+        classes = components(comps.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
+    else:
+        own = copies.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select(F.col("doc_id").alias("id"), F.coalesce("component", "rep").alias("component"))
+        classes = comps.unionByName(own)
+    return ids.join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("class_id"))
+
+
+def cross_links(members: DataFrame, comps: DataFrame, texts: DataFrame, levels, k: int, threshold: float, least_agreed: float, rest_block: int = 100, block: int = 200) -> DataFrame:
+    """Links (a, b) between texts of one bucket that are not connected yet.
+
+    The texts of a bucket that are not connected with its smallest id are the rest. Blocks of the rest meet blocks of
+    the whole bucket, so a large bucket is many small groups, and a pair never becomes a row: it is looked at in the
+    bucket of its first common band, if its components differ there and its samples agree.
     """
     with_c = members.select("key", "doc_id").join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("c"))
-    hubs = with_c.groupBy("key").agg(F.count("*").alias("n"), F.min_by("c", "doc_id").alias("hub_c"), F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").drop("low", "high")
-    open_ = stored(with_c.join(hubs, "key"), "open")
-    rest = open_.where("c <> hub_c")
-    work = rest.groupBy("key").agg(F.max("n").alias("n"), F.count("*").alias("m")).agg(F.sum(F.col("n") * F.col("m")), F.max("n")).first()
-    done = (work[0] or 0) <= most or many >= work[1]
-    others = open_
-    if not done:
-        others = rest.groupBy("key", "c", "n").agg(F.min("doc_id").alias("doc_id")).where(F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.floor(F.col("n") / many))) == 0)
-    met = rest.select("key", "doc_id", "c").join(others.select("key", F.col("doc_id").alias("other"), F.col("c").alias("other_c")), "key").where("c <> other_c")
-    return met.select(F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b")).distinct(), open_.select("key", "doc_id"), done
+    hubs = with_c.groupBy("key").agg(F.count("*").alias("n"), F.min_by("c", "doc_id").alias("hub_c"), F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
+    open_ = stored(with_c.join(hubs.drop("low", "high"), "key"), "open")
+    rests = open_.where("c <> hub_c").groupBy("key").agg(F.count("*").alias("m"))
+    sized = open_.join(rests, "key").select("key", "doc_id", "c", (F.col("c") != F.col("hub_c")).alias("rest"), F.ceil(F.col("m") / rest_block).alias("rows"), F.ceil(F.col("n") / block).alias("cols"))
+    own_row, own_col = (F.pmod(F.xxhash64("doc_id"), F.col(x)) for x in ("rows", "cols"))
+    left = sized.where("rest").select("key", "doc_id", "c", own_row.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("cols") - 1)).alias("j"), F.lit(0).alias("side"))
+    right = sized.select("key", "doc_id", "c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("i"), own_col.alias("j"), F.lit(1).alias("side"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lv, at = levels.value, None
+        held: list[tuple] = []
+        done: set[tuple[int, int]] = set()
+        table: tuple = ()
+        for batch in batches:
+            out = []
+            for key, i, j, side, doc, c, text, bands, sig in zip(*(batch.column(x).to_pylist() for x in ("key", "i", "j", "side", "doc_id", "c", "text", "bands", "sig")), strict=True):
+                if (key, i, j) != at:
+                    at, held, done, table = (key, i, j), [], set(), ()
+                own = (doc, c, text, np.array(bands, np.int64), np.frombuffer(sig, "<u4"))
+                if side == 0:
+                    held.append(own)
+                    continue
+                if not held:
+                    continue
+                if not table:
+                    table = (np.array([h[1] for h in held]), np.array([h[3] for h in held]), np.array([h[4] for h in held]), {})
+                cs, all_bands, all_sigs, sets = table
+                same = all_bands == own[3]
+                first = np.where(same.any(axis=1), own[3][same.argmax(axis=1)], 0) == key
+                mine = None
+                for x in np.flatnonzero((cs != c) & first & ((all_sigs == own[4]).mean(axis=1) >= least_agreed)).tolist():
+                    other = held[x]
+                    if (other[0], c) in done:
+                        continue
+                    mine = weighted(shingles(word_hashes(text), k), lv) if mine is None else mine
+                    if x not in sets:
+                        sets[x] = weighted(shingles(word_hashes(other[2]), k), lv)
+                    if weighted_jaccard(mine, sets[x]) >= threshold:
+                        done.add((other[0], c))
+                        out.append((max(doc, other[0]), min(doc, other[0])))
+            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], pa.int64()) for n in (0, 1)], ["a", "b"])
+
+    blocks = left.unionByName(right).join(texts, "doc_id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "doc_id")
+    return blocks.select("key", "i", "j", "side", "doc_id", "c", "text", "bands", "sig").mapInArrow(run, "a long, b long")
