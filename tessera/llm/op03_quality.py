@@ -11,44 +11,49 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_of
+from .common import stored, words_of
 
 LINE = re.compile(r"[^\n]+")
+UPPER, SIGNS, DIGITS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"*$%&#!|<>{}[]=~^@\\", b"0123456789"
 #: Lengths of beginnings of words, longest first.
 BEGINNINGS = (6, 5, 4)
-#: Features that count documents and distinct words.
-ALL, ALL_WORDS = " all", " words"
+#: Features that count documents, those without near copies, and distinct words of the latter.
+ALL, ONE, ALL_WORDS = " all", " one", " words"
 
 
 def style_marks(text: str, words: list[str]) -> list[str]:
     """Categorical marks of a text's form; they hold a character that no word holds."""
-    n = max(1, len(text))
+    n, raw = max(1, len(text)), text.encode()
     letters = sum(map(len, words)) or 1
-    upper = sum(text.count(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-    signs = sum(text.count(c) for c in "*$%&#!|<>{}[]=~^@\\")
-    digits = sum(text.count(c) for c in "0123456789")
+    upper, signs, digits = (len(raw) - len(raw.translate(None, kind)) for kind in (UPPER, SIGNS, DIGITS))
     lines = LINE.findall(text)
     repeated = 1 - len(set(lines)) / len(lines) if lines else 0.0
     variety = len(set(words)) / len(words) if words else 0.0
     return [f"upper {min(9, int(10 * upper / letters))}", f"signs {min(9, int(40 * signs / n))}", f"digits {min(9, int(20 * digits / n))}", f"lines {int(5 * repeated)}", f"variety {int(8 * variety)}", f"length {len(words).bit_length()}", f"mean {min(15, letters // max(1, len(words)))}"]
 
 
-def features(text: str | None) -> dict[str, int]:
-    """Distinct words (1 each), beginnings of words (ending in a hyphen) with how many distinct words share them, marks of
-    form (they hold a space), the number of distinct words, and 1 for the document."""
-    words = words_of(text)
-    own = set(words)
+def word_features(text: str | None) -> dict[str, int]:
+    """Distinct words (1 each), beginnings of words (ending in a hyphen) with how many distinct words share them, the number
+    of distinct words, and 1 for the document."""
+    own = set(words_of(text))
     out = dict.fromkeys(own, 1)
     for size in BEGINNINGS:
         out.update(Counter([f"{w[:size]}-" for w in own if len(w) > size]))
-    out.update(dict.fromkeys(style_marks(text or "", words), 1))
-    return out | {ALL_WORDS: len(own), ALL: 1}
+    return out | {ALL_WORDS: len(own), ONE: 1}
+
+
+def mark_features(text: str | None) -> dict[str, int]:
+    return dict.fromkeys([*style_marks(text or "", words_of(text)), ALL], 1)
 
 
 @dataclass
@@ -90,7 +95,43 @@ def logit(p: float) -> float:
     return math.log(p / (1 - p))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, vocabulary: int = 20_000, least: int = 5, least_share: float = 0.002, chi2: float = 16.0) -> tuple[Marks, Lexicon] | None:
+def summed_features(held: DataFrame, least: int) -> DataFrame:
+    """(x, n, j, t, w, wt) of features of labelled texts (doc_id, text, j, t): documents that hold it, all, junk and toxic;
+    distinct words with it, of all and of toxic documents.
+
+    Marks of form count in all texts. Near copies share their two least hashes of words as a rule; of those one counts for
+    words. Tasks sum up before the shuffle.
+    """
+    def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            g = [hash_of(sorted({xxhash.xxh3_64_intdigest(w) for w in words_of(t)})[:2]) for t in b.column("text").to_pylist()]
+            yield b.append_column("g", pa.array(g, pa.int64()))
+
+    def sums(batches: Iterator[pa.RecordBatch], of) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+        by: dict[str, list[int]] = {}
+        for b in batches:
+            for text, j, t in zip(*(b.column(c).to_pylist() for c in ("text", "j", "t")), strict=True):
+                for x, c in of(text).items():
+                    own = by.setdefault(x, [0, 0, 0, 0, 0])
+                    for i, v in enumerate((1, j, t, c, c * t)):
+                        own[i] += v
+        keys = list(by)
+        for i in range(0, len(keys), 50_000):
+            part = keys[i : i + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *(pa.array([by[x][k] for x in part], pa.int64()) for k in range(5))], ["x", "n", "j", "t", "w", "wt"])
+
+    marked = held.mapInArrow(copies, "doc_id long, text string, j long, t long, g long")
+    one = marked.groupBy("g", "j", "t").agg(F.min_by("text", "doc_id").alias("text")).select("text", "j", "t")
+    schema = "x string, n long, j long, t long, w long, wt long"
+    parts = one.mapInArrow(partial(sums, of=word_features), schema).unionByName(held.select("text", "j", "t").mapInArrow(partial(sums, of=mark_features), schema))
+    return parts.groupBy("x").agg(*(F.sum(c).alias(c) for c in ("n", "j", "t", "w", "wt"))).where(F.col("n") >= least)
+
+
+def hash_of(values: list[int]) -> int:
+    return xxhash.xxh3_64_intdigest(repr(values)) - (1 << 63)
+
+
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 6_000, vocabulary: int = 20_000, least: int = 5, least_share: float = 0.002, chi2: float = 16.0) -> tuple[Marks, Lexicon] | None:
     """Models of junk and of toxic text, from at most ``max_labelled`` labelled documents, chosen by a hash of the id.
 
     A feature counts where at least ``least`` documents and the share ``least_share`` of all hold it and the numbers of
@@ -98,21 +139,17 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, vocabu
     ``vocabulary`` largest statistics stay. None without labels.
     """
     marks = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    found = F.udf(features, "map<string,int>")
-    # near copies share their two least hashes of words as a rule, and count once
-    least_two = F.slice(F.sort_array(F.transform(F.map_keys("f"), lambda x: F.xxhash64(x))), 1, 2)
-    held = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").select(found("text").alias("f"), (F.coalesce("quality", F.lit(1)) == 0).cast("long").alias("j"), (F.coalesce("toxic", F.lit(0)) == 1).cast("long").alias("t"))
-    once = held.withColumn("g", F.xxhash64(least_two, "j", "t")).select(F.explode("f").alias("x", "c"), "j", "t", "g").groupBy("x", "j", "t", "g").agg(F.max("c").alias("c"))
-    sums = once.groupBy("x").agg(F.count("*").alias("n"), F.sum("j").alias("j"), F.sum("t").alias("t"), F.sum("c").alias("w"), F.sum(F.col("c") * F.col("t")).alias("wt")).where(F.col("n") >= least)
-    totals = {r.x: r for r in sums.where(F.col("x").isin(ALL, ALL_WORDS)).collect()}
+    marks = stored(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled), "marks")
+    held = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(marks), "doc_id").select("doc_id", "text", (F.coalesce("quality", F.lit(1)) == 0).cast("long").alias("j"), (F.coalesce("toxic", F.lit(0)) == 1).cast("long").alias("t"))
+    sums = stored(summed_features(held, least), "features")
+    totals = {r.x: r for r in sums.where(F.col("x").isin(ALL, ONE, ALL_WORDS)).collect()}
     if ALL not in totals:
         return None
     total = totals[ALL]
-    own = sums.where(~F.col("x").isin(ALL, ALL_WORDS)).where(F.col("n") >= least_share * total.n)
+    own = sums.where(~F.col("x").isin(ALL, ONE, ALL_WORDS)).where(F.col("n") >= least_share * total.n)
 
-    def told_by(col: str, rows: DataFrame, ratio) -> list:  # noqa: ANN001
-        a, n, bad, all_ = F.col(col), F.col("n"), float(total[col]), float(total.n)
+    def told_by(col: str, rows: DataFrame, ratio, of) -> list:  # noqa: ANN001
+        a, n, bad, all_ = F.col(col), F.col("n"), float(of[col]), float(of.n)
         if not 0 < bad < all_:
             return []
         expected = n * bad / all_
@@ -120,11 +157,11 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, vocabu
         return rows.withColumn("stat", stat).where(F.col("stat") >= chi2).withColumn("r", ratio).orderBy(F.desc("stat"), "x").limit(vocabulary).collect()
 
     j, n = F.col("j"), F.col("n")
-    junk = told_by("j", own.where("instr(x, ' ') > 0"), F.log((j + 0.1) / (total.j + 0.2)) - F.log((n - j + 0.1) / (total.n - total.j + 0.2)))
+    junk = told_by("j", own.where("instr(x, ' ') > 0"), F.log((j + 0.1) / (total.j + 0.2)) - F.log((n - j + 0.1) / (total.n - total.j + 0.2)), total)
     words = totals.get(ALL_WORDS)
     bad, good = (words.wt + 1, words.w - words.wt + 1) if words else (1, 1)
     w, wt = F.col("w"), F.col("wt")
-    told = told_by("t", own.where("instr(x, ' ') = 0"), F.log((wt + 0.1) / bad) - F.log((w - wt + 0.1) / good))
+    told = told_by("t", own.where("instr(x, ' ') = 0"), F.log((wt + 0.1) / bad) - F.log((w - wt + 0.1) / good), totals.get(ONE, total))
     told = {r.x: r for r in told if r.r > 0}
     # a word of the lexicon whose beginning stands there too is counted with it
     roots = [r for x, r in told.items() if not any(f"{x[:size]}-" in told and f"{x[:size]}-" != x for size in BEGINNINGS)]
@@ -150,14 +187,16 @@ def shrunk(scored: DataFrame, col: str) -> DataFrame:
     return scored.join(host, "host").select("host", "path", (F.log(post / (1 - post)) - logit(mean)).alias(col))
 
 
+#: Documents whose probability of being junk or toxic is this or more go: a wrong rejection costs more than a miss.
+REJECT = 0.85
+
+
 def judged(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", **options) -> DataFrame:
     """``docs`` with a struct column ``judged`` added: junk and toxic (probabilities) and bad (that of either).
 
     A null host or path is one of its own. Texts are scored whole (null: empty); repeated rows are judged alike.
     Without labels every probability is 0. Extra columns stay; one named judged is replaced.
     """
-    from .common import stored
-
     models = train(docs, labels, **options)
     docs = docs.drop("judged")
     if models is None:
@@ -183,7 +222,7 @@ def judged(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(j.alias("junk"), t.alias("toxic"), (1 - (1 - j) * (1 - t)).alias("bad")).alias("judged"))
 
 
-def accepted(docs: DataFrame, labels: DataFrame, most: float = 0.5, **options) -> DataFrame:
+def accepted(docs: DataFrame, labels: DataFrame, most: float = REJECT, **options) -> DataFrame:
     """The rows of ``docs`` whose probability of being junk or toxic is below ``most``, with the columns of ``docs``."""
     out = judged(docs, labels, **options)
     return out.where(F.col("judged.bad") < most).select(*[F.col(f"`{c}`") for c in docs.columns if c != "judged"])

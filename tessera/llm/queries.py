@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .op01_licenses import scan_licenses
 from .op02_token_orc import token_table
-from .op03_quality import judged
+from .op03_quality import REJECT, judged
 from .op04_decontaminate import contaminated
 from .op05_minhash import near_duplicates
 from .op06_secrets import scan_secrets
@@ -30,7 +31,7 @@ def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that the classifier keeps, with their probabilities."""
     out = judged(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), table(spark, sf_dir, "labels"))
-    return out.where("judged.bad < 0.5").select("doc_id", "judged.junk", "judged.toxic", "judged.bad")
+    return out.where(F.col("judged.bad") < REJECT).select("doc_id", "judged.junk", "judged.toxic", "judged.bad")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
