@@ -22,7 +22,7 @@ def read_texts(spark: SparkSession, folder: str) -> DataFrame:
     rank = F.when(F.col("path").endswith(FORMATS[0]), 0).otherwise(1)
     best = Window.partitionBy("source_file").orderBy("rank", "path")
     rows = raw.where(F.col("path").rlike(r"\.(md|txt)$")).select(name.alias("source_file"), rank.alias("rank"), "path", "content")
-    return rows.withColumn("n", F.row_number().over(best)).where("n = 1").select("source_file", stripped(F.decode("content", "UTF-8")).alias("text"))
+    return rows.withColumn("n", F.row_number().over(best)).where("n = 1").select("source_file", stripped(F.make_valid_utf8(F.col("content").cast("string"))).alias("text"))
 
 
 def multi_subject_sources(spark: SparkSession, file: str, order: list[tuple[str | None, str]], exclude: frozenset[str] = frozenset()) -> DataFrame:
