@@ -70,7 +70,7 @@ def sample_words(docs: DataFrame, rows: int, chars: int) -> list[str]:
     """
     share = min(1.0, 4 * rows / max(1, docs.count()))
     texts = docs.select(F.substring("text", 1, chars).alias("t"), F.xxhash64(F.lit(11), "text").alias("h")).where("t IS NOT NULL")
-    texts = texts.where(F.col("h") <= F.lit(int((2 * share - 1) * (2**63 - 1)))).orderBy("h", "t").limit(rows)
+    texts = texts.where(F.col("h") <= F.lit(min(2**63 - 1, int((2 * share - 1) * 2**63)))).orderBy("h", "t").limit(rows)
     out: list[str] = []
     for r in texts.collect():
         hit = base_spans(r.t)
