@@ -105,7 +105,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands:
     members = reps.select(F.explode("bands").alias("key"), "doc_id").distinct()
     buckets = stored(members.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("hub")).where("n > 1"), "buckets")
     members = stored(members.join(buckets, "key"), "members")
-    texts = docs.join(members.select("doc_id"), "doc_id", "left_semi").join(sigs.select("doc_id", "bands", "sig"), "doc_id")
+    # what is involved grows with the corpus: texts are sorted and merged with it at every size, never broadcast
+    involved = members.select("doc_id").hint("merge")
+    texts = docs.join(involved, "doc_id", "left_semi").join(sigs.select("doc_id", "bands", "sig").hint("merge"), "doc_id")
     texts = stored(texts.select("doc_id", "text", "bands", "sig"), "texts")
     pairs = members.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
     pairs = stored(likely(pairs, sigs, least_agreed), "pairs")
