@@ -1,6 +1,7 @@
 """Every query with SQL against DuckDB, and the plans of the searches."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 from tessera.plans import catalog
@@ -20,7 +21,7 @@ def db():
 
 def rows_of(frame):
     cols = sorted(frame.columns)
-    plain = [tuple(None if v is None or v != v else float(v) if not isinstance(v, str) else v for v in r) for r in frame[cols].astype(object).itertuples(index=False)]
+    plain = [tuple(None if pd.isna(v) else v if isinstance(v, str) else float(v) for v in r) for r in frame[cols].astype(object).itertuples(index=False)]
     return cols, sorted(plain, key=repr)
 
 
