@@ -206,8 +206,8 @@ def judged(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
 
     @F.pandas_udf("junk double, toxic double")
     def evidence(texts: pd.Series) -> pd.DataFrame:
-        found = [(t or "", words_of(t)) for t in texts]
-        return pd.DataFrame({"junk": [junk.score(*f) for f in found], "toxic": [toxic.score(*f) for f in found]})
+        rows = [(junk.score(t or "", w), toxic.score(t or "", w)) for t in texts for w in (words_of(t),)]  # one text's words at a time
+        return pd.DataFrame(rows, columns=["junk", "toxic"], dtype="float64")
 
     def chance(x):  # noqa: ANN001, ANN202
         return 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), x))))

@@ -19,7 +19,7 @@ MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB),
 class WordHash(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    limit = 400_000
+    limit = 200_000
 
     def __missing__(self, word: str) -> int:
         h = xxhash.xxh3_64_intdigest(word)

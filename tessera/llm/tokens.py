@@ -34,7 +34,7 @@ class Encoder:
     set go to the library whole.
     """
 
-    def __init__(self, path: str, memo: int = 1_000_000) -> None:
+    def __init__(self, path: str, memo: int = 600_000) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
