@@ -2,8 +2,8 @@
 
 Tokens are tags at their place in the page's tree and whole runs of text there. Tokens with one occurrence vector over
 the pages of a host form an equivalence class; classes that nearly all pages hold, in one order, are valid and nest
-into the host's template. What the template leaves open are slots; those in the article, or outside all menus,
-notices and the like where a page has none, are the main text.
+into the host's template. What the template leaves open are slots, inside an article too. Tags and class words only
+check the slots: those in the article, or outside all menus, notices and the like where a page has none, are the main text.
 """
 
 from __future__ import annotations
@@ -99,23 +99,25 @@ def token_of(kind: str, path: str, text: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{kind} {path} {text}") - (1 << 63)
 
 
-def page_tokens(page: str | None) -> dict[int, list[int]]:
-    """The places of each token of a page, counted in tokens."""
+def page_tokens(page: str | None) -> tuple[int, dict[int, list[int]]]:
+    """A hash of a page's content (its text in the article, or else beside no aside), and the places of each token, counted in tokens."""
     out: dict[int, list[int]] = {}
-    at = 0
-    for kind, path, text, _, _ in parsed(page or ""):
+    at, texts = 0, {True: [], False: []}
+    for kind, path, text, aside, article in parsed(page or ""):
         if kind == "end" or kind == "text" and not (text := squeezed(text)):
             continue
+        if kind == "text" and not aside:
+            texts[article].append(text)
         out.setdefault(token_of(kind, path, text), []).append(at)
         at += 1
-    return out
+    return token_of("page", "", " ".join(texts[True] or texts[False])), out
 
 
 def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
     """The main text of one page: its blocks in page order, joined by two line ends.
 
-    Where the page has an article (or main) element, blocks in it count; else blocks in slots, that is, runs of text
-    that are no token of the template. Blocks beside the main text never do.
+    Blocks in slots count, that is, those with a run of text that is no token of the template; where the page has an
+    article (or main) element, only those in it. Blocks beside the main text never do.
     """
     runs: list[tuple[bool, bool, str]] = []  # article, template token, block
     block: list[tuple[bool, bool, bool, str]] = []
@@ -128,7 +130,7 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
 
     for kind, path, text, aside, article in parsed(page or ""):
         if kind == "text":
-            fixed = bool(template) and not article and token_of("text", path, squeezed(text)) in template
+            fixed = bool(template) and token_of("text", path, squeezed(text)) in template
             block.append((aside, article, fixed, text))
         elif kind == "open":
             if text in BLOCKS:
@@ -138,8 +140,8 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
         elif path in BLOCKS:
             flush()
     flush()
-    own = [t for article, _, t in runs if article] if any(r[0] for r in runs) else [t for _, fixed, t in runs if not fixed]
-    return "\n\n".join(own)
+    within = any(r[0] for r in runs)
+    return "\n\n".join(t for article, fixed, t in runs if not fixed and (article or not within))
 
 
 def host_of(url: str = "url"):  # noqa: ANN201
@@ -149,22 +151,29 @@ def host_of(url: str = "url"):  # noqa: ANN201
 def templates(pages: DataFrame, share: float = 0.9, least_pages: int = 3) -> DataFrame:
     """host, class, parent, gap, tokens: the valid classes of each host's pages, nested.
 
-    A class is all tokens of one occurrence vector over the pages of the host (compared by a sum of hashes of page
-    and count). It is valid with two tokens or more, on the share ``share`` of the host's pages and ``least_pages`` at least,
-    where the tokens stand in one order on every page. Its parent is the class whose tokens enclose it most
+    A class is all tokens of one occurrence vector over the distinct contents of the host's pages (compared by a sum of
+    hashes of content and count), so that copies of a page, whatever stands around the main text, are no template. It is
+    valid with two tokens or more, on the share ``share`` of the host's contents and ``least_pages`` at least, where the
+    tokens stand in one order on every page. Its parent is the class whose tokens enclose it most
     tightly, gap the place among them; null at the root. Pages without a host are one host; a null html is empty.
     """
     spark = pages.sparkSession
-    own = pages.select(F.xxhash64("page_id", "url").alias("page"), host_of().alias("host"), F.col("html"))
-    # a host's token rows are summed up in each task first, so that a host with many pages is no large group
+    own = pages.select(host_of().alias("host"), F.col("html"))
+    # a host's token rows are grouped by content, then summed up in each task, so that a host with many pages is no large
+    # group; the row without a token stands for the content itself
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(host, page, token, len(at)) for page, host, text in zip(*(b.column(c).to_pylist() for c in ("page", "host", "html")), strict=True) for token, at in page_tokens(text).items()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["host", "page", "token", "n"])
-
-    sizes = own.groupBy("host").agg(F.count("*").alias("pages"))
-    vectors = own.mapInArrow(tokens, "host string, page long, token long, n long").groupBy("host", "token").agg(F.count("*").alias("support"), F.sum(F.pmod(F.xxhash64("page", "n"), F.lit(1 << 40))).alias("vector"))
-    often = vectors.where(F.col("support") >= least_pages).join(sizes, "host").where(F.col("support") >= share * F.col("pages"))
+            rows = []
+            for host, text in zip(*(b.column(c).to_pylist() for c in ("host", "html")), strict=True):
+                content, places = page_tokens(text)
+                rows += [(host, content, None, 1), *((host, content, token, len(at)) for token, at in places.items())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["host", "content", "token", "n"])
+
+    distinct = own.mapInArrow(tokens, "host string, content long, token long, n long").groupBy("host", "token", "content").agg(F.max("n").alias("n"))
+    vectors = distinct.groupBy("host", "token").agg(F.count("*").alias("support"), F.sum(F.pmod(F.xxhash64("content", "n"), F.lit(1 << 40))).alias("vector"))
+    vectors = stored(vectors.where(F.col("support") >= least_pages), "vectors")
+    sizes = vectors.where("token IS NULL").select("host", F.col("support").alias("contents"))
+    often = vectors.where("token IS NOT NULL").join(sizes, "host").where(F.col("support") >= share * F.col("contents"))
     classes = often.groupBy("host", "vector", "support").agg(F.sort_array(F.collect_list("token")).alias("tokens")).where(F.size("tokens") > 1)
     classes = stored(classes.select("host", F.col("vector").alias("class"), "tokens"), "classes")
     by_host = stored(classes.groupBy("host").agg(F.collect_list(F.struct("class", "tokens")).alias("classes")), "host-classes")
@@ -173,7 +182,7 @@ def templates(pages: DataFrame, share: float = 0.9, least_pages: int = 3) -> Dat
         for b in batches:
             rows = []
             for host, text, known in zip(*(b.column(c).to_pylist() for c in ("host", "html", "classes")), strict=True):
-                at = page_tokens(text)
+                at = page_tokens(text)[1]
                 places = {c["class"]: sorted((p, t) for t in c["tokens"] for p in at.get(t, ())) for c in known}
                 spans = {c: (p[0][0], p[-1][0]) for c, p in places.items() if p}
                 for c, (s, e) in spans.items():

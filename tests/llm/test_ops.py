@@ -400,6 +400,18 @@ def test_pages_without_article_drop_the_template(spark):
     assert frame.where("host = 'h.example'").count() >= 1 and op07_template_extract.extracted(pages.limit(0)).count() == 0
 
 
+def test_pages_with_article_drop_the_template_and_keep_copies(spark):
+    body = "<html><body><div>Site</div>{1}<article><h1>{0}</h1><p>Read more on our site</p><p>Text {0}</p><p>All of it since 1999</p></article></body></html>"
+    rows = [(i, f"http://a.example/{i}", body.format(n, "")) for i, n in enumerate(["alpha", "beta", "gamma", "delta"])]
+    rows += [(10 + i, f"http://copy.example/{i}", body.format("one", f"<nav>{i}</nav>")) for i in range(9)] + [(19, "http://copy.example/9", body.format("two", ""))]
+    rows += [(20, "http://plain.example/", "<div>x</div><p>Text of a page</p>")] * 5
+    rows = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in op07_template_extract.extracted(rows).collect()}
+    assert [out[i] for i in range(4)] == [f"{n}\n\nText {n}" for n in ("alpha", "beta", "gamma", "delta")]
+    assert all(out[i] == "one\n\nRead more on our site\n\nText one\n\nAll of it since 1999" for i in range(10, 19))
+    assert out[20] == "x\n\nText of a page"
+
+
 # --- 8 ---
 
 
