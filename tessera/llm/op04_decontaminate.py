@@ -2,13 +2,16 @@
 
 A window of words walks through its CGK embedding: at step j it puts out the word it stands at and moves on
 where a random bit of that word for step j says so. A small edit distance becomes a small Hamming distance of
-the outputs. Each table hashes a few sampled outputs; a window of a document whose hash equals an item's is a
-candidate, and the edit distance of item and text (in words, free ends in the text) decides.
+the outputs. Each table hashes a few sampled outputs; an item puts in the walks from each of its words, so that edits
+anywhere in an item of any length leave some walk whole. A window of a document whose hash equals an item's is a
+candidate, and the edit distance of item and text (in words, free ends in the text) decides. There are as many walks as
+find the share TARGET of simulated items that have all the edits allowed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +21,11 @@ from pyspark.sql import functions as F
 from .common import stored, words_of
 from .shingles import mixed
 
-#: Empty words after a text; no walk is longer.
-GAP = 61
+#: Steps of a walk at most, and empty words after a text, which no walk goes beyond.
+STEPS = 24
+GAP = STEPS + 1
+#: The share of items with all the edits allowed that the walks of a class find in a simulation of TRIALS items, and walks at most.
+TARGET, TRIALS, MOST_WALKS = 0.99, 300, 64
 SCHEMA = "doc_id long, item_id long, start_word long, n_words long, edits long"
 
 
@@ -57,7 +63,7 @@ class Walks:
 
     def __init__(self, low: int, walks: int, tables: int, samples: int, seed: int) -> None:
         rng = np.random.default_rng(seed)
-        self.steps = max(1, min(GAP - 1, int(1.5 * low)))
+        self.steps = min(STEPS, low)
         self.bits = rng.integers(0, 1 << 63, walks, dtype=np.uint64)
         #: For each walk and step, the tables that sample the output of the step.
         self.picked = [[[] for _ in range(self.steps)] for _ in range(walks)]
@@ -67,6 +73,10 @@ class Walks:
                 for j in rng.choice(self.steps, min(samples, self.steps), replace=False):
                     by_step[j].append(t)
 
+    def offsets(self, n: int) -> np.ndarray:
+        """Where the walks of an item of ``n`` words start: where it has the words that a walk passes on average."""
+        return np.arange(max(1, n - self.steps // 2 + 1))
+
     def keys(self, words: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(table, 64-bit keys) of the windows at ``starts``; ``words`` goes on for all steps after them."""
         table = 0
@@ -90,6 +100,35 @@ class Walks:
                 table += 1
 
 
+@lru_cache(maxsize=256)
+def enough_walks(low: int, high: int, max_edits: float, walks: int, tables: int, samples: int, seed: int) -> Walks:
+    """``walks`` walks or more for items of ``low`` to ``high`` words: as many as find TARGET of simulated items (MOST_WALKS at most).
+
+    Simulated items are of random words and have as many edits as allowed, at random places or at equal distances.
+    """
+    rng = np.random.default_rng(seed)
+    items, texts = [], []
+    for trial in range(TRIALS):
+        n = (low, high)[trial % 2]
+        item = rng.integers(2, 1 << 63, n, dtype=np.uint64)
+        edits = int(max_edits * n)
+        at = rng.choice(n, edits, replace=False) if trial % 4 < 2 else np.arange(1, edits + 1) * n // (edits + 1)
+        text = [[x] for x in item]
+        for i, kind, new in zip(at.tolist(), rng.integers(0, 3, edits), rng.integers(2, 1 << 63, edits, dtype=np.uint64), strict=True):
+            text[i] = ([], [new], [item[i], new])[kind]
+        items.append(np.concatenate([item, np.zeros(GAP, np.uint64)]))
+        texts.append(np.concatenate([np.array([x for own in text for x in own], np.uint64), rng.integers(2, 1 << 63, GAP, dtype=np.uint64)]))
+    while True:
+        walk = Walks(low, walks, tables, samples, seed)
+        found = 0
+        for item, text in zip(items, texts, strict=True):
+            pairs = zip(walk.keys(item, walk.offsets(len(item) - GAP)), walk.keys(text, np.arange(len(text) - GAP)), strict=True)
+            found += any(np.isin(a, b).any() for (_, a), (_, b) in pairs)
+        if found >= TARGET * TRIALS or walks >= MOST_WALKS:
+            return walk
+        walks = min(MOST_WALKS, 2 * walks)
+
+
 class Block:
     """A block of items, ready to find in texts."""
 
@@ -110,15 +149,15 @@ class Block:
         self.classes = []
         for size, own in sorted(by.items()):
             low, high = min(len(self.items[x][1]) for x in own), max(len(self.items[x][1]) for x in own)
-            walk, held = Walks(low, walks, tables, samples, size), {}
-            for x in own:
-                for t, k in walk.keys(np.concatenate([self.random[self.items[x][1]], np.zeros(GAP, np.uint64)]), np.zeros(1, np.int64)):
-                    held.setdefault(t, []).append((int(k[0]), x))
+            walk = enough_walks(low, high, max_edits, walks, tables, samples, size)
+            ends = np.cumsum([0] + [len(self.items[x][1]) + GAP for x in own])
+            words = np.concatenate([np.append(self.random[self.items[x][1]], np.zeros(GAP, np.uint64)) for x in own])
+            offsets = [walk.offsets(len(self.items[x][1])) for x in own]
+            starts, of_item, offset = np.concatenate([e + o for e, o in zip(ends, offsets, strict=False)]), np.repeat(own, [len(o) for o in offsets]), np.concatenate(offsets)
             index = []
-            for t in range(len(held)):
-                k = np.array([k for k, _ in held[t]], np.uint64)
+            for _, k in walk.keys(words, starts):
                 o = np.argsort(k, kind="stable")
-                index.append((k[o], np.array([x for _, x in held[t]])[o]))
+                index.append((k[o], of_item[o], offset[o]))
             self.classes.append((low, high, walk, index))
 
     def find(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
@@ -132,44 +171,58 @@ class Block:
             numbers += end
         w, begin = np.array(numbers, np.int64), np.array([*begins, len(numbers)])
         random, known = self.random[w], np.concatenate([[0], np.cumsum(w > 1)])
+        in_text = np.zeros(len(self.random), bool)
         found: dict[tuple[int, int], tuple[int, int, int]] = {}
         for low, high, walk, index in self.classes:
             most = int(self.max_edits * high)
-            # a window with more words of no item than edits allowed can't match
-            last = max(0, len(w) - GAP)
-            starts = np.flatnonzero(low - (known[low : last + low] - known[:last]) <= most)
-            near: dict[tuple[int, int], set[int]] = {}
+            # a window with more words of no item than edits allowed can't match; walks start up to an item's end after it
+            n = max(0, len(w) - GAP)
+            to = np.minimum(np.arange(n) + low, len(w))
+            first = np.concatenate([[0], np.cumsum(low - (known[to] - known[:n]) <= most)])
+            starts = np.flatnonzero(first[1:] > first[np.maximum(np.arange(n) - high - most, 0)])
             if not len(starts):
                 continue
+            hits = []
             for t, keys in walk.keys(random, starts):
-                k, x = index[t]
+                k, x, offset = index[t]
                 left = np.searchsorted(k, keys)
-                for i in np.flatnonzero(k[np.minimum(left, len(k) - 1)] == keys).tolist():
-                    doc, j = int(np.searchsorted(begin, starts[i], "right")) - 1, int(left[i])
-                    while j < len(k) and k[j] == keys[i]:
-                        near.setdefault((doc, int(x[j])), set()).add(int(starts[i]))
-                        j += 1
+                i = np.flatnonzero(k[np.minimum(left, len(k) - 1)] == keys)
+                if len(i):
+                    left = left[i]
+                    count = np.searchsorted(k, keys[i], "right") - left
+                    j = np.repeat(left - np.cumsum(count) + count, count) + np.arange(count.sum())
+                    s = np.repeat(starts[i], count)
+                    hits.append(np.stack([np.searchsorted(begin, s, "right") - 1, x[j], s - offset[j]], axis=1))
+            near: dict[tuple[int, int], list[int]] = {}
+            for doc, x, s in np.unique(np.concatenate(hits), axis=0).tolist() if hits else ():
+                near.setdefault((doc, x), []).append(s)
             for (doc, x), places in near.items():
                 item_id, item = self.items[x]
                 most = int(self.max_edits * len(item))
-                upto = -1
-                for s in sorted(places):
-                    if s < upto:  # held against the text around already
+                upto = None
+                for s in places:
+                    if upto is not None and s < upto:  # held against the text around already
                         continue
                     a, b = max(begin[doc], s - most), min(begin[doc + 1] - GAP, s + 2 * len(item) + 2 * most)
                     upto = s + len(item)
+                    in_text[w[a:b]] = True
+                    gone = len(item) - np.count_nonzero(in_text[item])
+                    in_text[w[a:b]] = False
+                    if gone > most:  # each item word that the text lacks is an edit
+                        continue
                     e, p, q = edits_within(item, w[a:b], most)
                     if e <= most and e < found.get((doc, x), (0, 0, most + 1))[2]:
                         found[doc, x] = (int(a - begin[doc]) + p, q - p, e)
         return [(doc, self.items[x][0], *hit) for (doc, x), hit in sorted(found.items())]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, walks: int = 4, tables: int = 4, samples: int = 4, block_chars: int = 4 << 20) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, walks: int = 1, tables: int = 4, samples: int = 4, block_chars: int = 4 << 20) -> DataFrame:
     """The items found in each document: doc_id, item_id, start_word, n_words, edits (one row per pair, its best place).
 
     An item is found where a part of the text is within ``max_edits`` of its number of words (rounded down), in words of
     lower case without punctuation. Items go to the tasks in blocks of at most ``block_chars`` characters; each
-    block meets every whole text. Items and texts without words match nothing; repeated items and rows give repeated
+    block meets every whole text. ``walks`` is the least number of walks; a class of items gets as many as find TARGET of
+    items at ``max_edits``. Items and texts without words match nothing; repeated items and rows give repeated
     results; ids may be null. Other columns are not read.
     """
     spark, out = docs.sparkSession, None

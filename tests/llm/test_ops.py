@@ -275,6 +275,21 @@ def test_decontamination_recall_and_precision(spark, odd, none):
     assert op04_decontaminate.contaminated(none, bench).count() == op04_decontaminate.contaminated(odd, bench.limit(0)).count() == 0
 
 
+def test_decontamination_at_all_edits_allowed_and_in_long_items(spark):
+    rng = random.Random(4)
+    items = [(i, prose(rng, n)) for i, n in enumerate([rng.randint(15, 59) for _ in range(150)] + [100, 130, 180, 250, 400, 900] * 5)]
+    texts = []
+    for _, t in items:
+        w = [[x] for x in t.split()]
+        for p in rng.sample(range(len(w)), int(0.2 * len(w))):
+            w[p] = rng.choice(([], ["zz"], [*w[p], "qq"]))
+        texts.append(f"{prose(rng, 40)} {' '.join(x for own in w for x in own)} {prose(rng, 30)}")
+    got = {(r.doc_id, r.item_id) for r in op04_decontaminate.contaminated(docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert all(d == i for d, i in got) and len(got) >= 0.98 * len(items)
+    long = spark.createDataFrame([(0, prose(rng, 63)), (1, prose(rng, 70))], "item_id long, text string")
+    assert op04_decontaminate.contaminated(docs_of(spark, [prose(rng, 500)]), long).count() == 0
+
+
 # --- 5 ---
 
 
