@@ -1,7 +1,7 @@
 """Best-fit packing of token pieces into sequences, in rounds.
 
 Partitions pack their pieces by best fit and emit the nearly full bins. Underfull bins go on as items of the
-next round, where fewer partitions pack them, until one round is left whose bins all stay. Bins keep their
+next round, where fewer partitions pack them, until they fit one partition or no longer merge; then all bins stay. Bins keep their
 content in place, so a piece's final offset is the sum of the offsets on its way.
 """
 
@@ -99,22 +99,27 @@ def packer(capacity: int, round_: int) -> Callable[[Iterator[pa.RecordBatch]], I
 def pack(items: DataFrame, capacity: int = 2048, nearly_full: float = 0.995, per_partition: int = 200_000, fan_in: int = 8) -> DataFrame:
     """(item, sequence_id, offset) for ``items`` (item long unique, size long from 1 to ``capacity``).
 
-    A partition packs about ``per_partition`` items; a round's underfull bins meet those of ``fan_in`` others
-    until they fit one partition, and that last round keeps all of its bins.
+    A partition packs about ``per_partition`` items in every round. A round's underfull bins are dealt anew to as few
+    partitions as that allows (the next round has a ``fan_in``-th of them at least), until they fit one partition or
+    a round lowers the number of bins by less than 2 %; that last round keeps all of its bins.
     """
     todo = items.select("item", "size")
     n = todo.count()
     parts, round_, made = max(1, -(-n // per_partition)), 1, []
     while True:
-        last = parts == 1
         spread = todo.repartition(parts, "item") if parts > 1 else todo.coalesce(1)
         done = stored(spread.mapInArrow(packer(capacity, round_), "item long, bin long, at long, fill long"), f"round{round_}")
         made.append(done)
-        if last:
+        if parts == 1:
             break
-        todo = done.where(F.col("fill") < int(capacity * nearly_full)).groupBy("bin").agg(F.max("fill").alias("size")).withColumnRenamed("bin", "item")
-        left = todo.count()
-        parts = min(-(-parts // fan_in), max(1, -(-left // per_partition)))
+        bins = done.groupBy("bin").agg(F.max("fill").alias("size")).withColumnRenamed("bin", "item")
+        under = F.col("size") < int(capacity * nearly_full)
+        todo = bins.where(under)
+        now, left = bins.agg(F.count("*"), F.count_if(under)).first()
+        fewest = max(1, -(-left // per_partition))
+        if not left or round_ > 1 and parts == fewest and now > 0.98 * n:
+            break
+        parts, n = max(fewest, -(-parts // fan_in)), left
         round_ += 1
     placed = None
     for done in reversed(made):  # from the last round down to the pieces

@@ -204,6 +204,17 @@ def test_packing_rounds_agree(spark):
     assert len(places) <= 1.05 * sum(sizes) / 100  # bins more than half full don't merge
 
 
+def test_packing_tasks_stay_small_where_bins_do_not_merge(spark, monkeypatch):
+    rng, made = random.Random(2), []
+    keep = op09_packing.stored
+    monkeypatch.setattr(op09_packing, "stored", lambda df, name: made.append(keep(df, name)) or made[-1])
+    items = spark.createDataFrame([(i, rng.randint(51, 90)) for i in range(3000)], "item long, size long")
+    out = op09_packing.pack(items, capacity=100, per_partition=150, fan_in=8).collect()
+    assert len(out) == len({r.sequence_id for r in out}) == 3000 and {r.offset for r in out} == {0}
+    for done in made:
+        assert max(r["count"] for r in done.groupBy(F.shiftright("bin", 36)).count().collect()) < 300
+
+
 # --- 3 ---
 
 
