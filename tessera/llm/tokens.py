@@ -31,14 +31,15 @@ class Encoder:
 
     Byte-level BPE works on one pre-token at a time, so the ids of a pre-token are kept, as bytes, in a memo of at most
     ``memo`` entries; missing ones go to the tokenizers library together. Texts with characters outside the plain
-    set go to the library whole.
+    set, or with the content of an added token, go to the library whole.
     """
 
     def __init__(self, path: str, memo: int = 600_000) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added)) if added else None
         self.memo: dict[str, bytes] = {}
         self.limit = memo
         (self.newline,) = self.tok.encode("\n", add_special_tokens=False).ids
@@ -46,7 +47,7 @@ class Encoder:
     def ids(self, text: str | None, end_id: int) -> np.ndarray:
         """The ids of a text (null: empty) and ``end_id``, as unsigned 32-bit integers."""
         end = end_id.to_bytes(4, "little")
-        if text and SIMPLE.fullmatch(text):
+        if text and SIMPLE.fullmatch(text) and not (self.added and self.added.search(text)):
             raw = self.joined(ASCII_SPLIT.findall(text))
         else:
             raw = packed(self.tok.encode(text, add_special_tokens=False).ids) if text else b""

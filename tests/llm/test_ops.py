@@ -83,6 +83,15 @@ def test_encoder_equals_the_library():
     assert enc.ids(None, 2).tolist() == enc.ids("", 2).tolist() == [2]
 
 
+def test_encoder_keeps_added_tokens():
+    from tokenizers import Tokenizer
+
+    enc, tok = Encoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
+    for t in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "é漢 <|endoftext|>", "<|endoftext|", "a b"):
+        assert enc.ids(t, 7).tolist() == [*tok.encode(t, add_special_tokens=False).ids, 7]
+    assert 50256 in enc.ids("a <|endoftext|> b", 7)
+
+
 def test_sampler_estimates_weighted_jaccard():
     rng, own = np.random.default_rng(0), WeightedSampler(512)
     for share in (0.5, 0.8, 0.95):
