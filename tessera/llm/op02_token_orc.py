@@ -21,28 +21,29 @@ from .tokens import crc32_of, encoder, tokenizer_path
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 2, stripe_bytes: int = 16 << 20) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 2, stripe_bytes: int = 16 << 20, file_bytes: int = 64 << 20) -> None:
     """Encodes every whole text (null: empty), appends ``end_id`` and writes the ORC files.
 
     Rows go to files by ranges of doc_id and stand in ascending order (null first, equal ids by text);
-    repeated rows are kept. Only one document's ids and a batch are in memory at once.
+    repeated rows are kept. A file takes about ``file_bytes`` of text, less where the cluster has more cores than that
+    gives files. Only the ids of a part of a batch are in memory at once.
     """
-    at = tokenizer or tokenizer_path()
+    spark, at = docs.sparkSession, tokenizer or tokenizer_path()
+    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = max(spark.sparkContext.defaultParallelism, -(-held // file_bytes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, start = encoder(at), TaskContext.get().partitionId(), 0
         for whole in batches:
             for i in range(0, whole.num_rows, 500):
                 b = whole.slice(i, 500)
-                ids = [enc.ids(t, end_id) for t in b.column("text").to_pylist()]
-                n = np.array([len(x) for x in ids], dtype=np.int64)
+                ids, n = enc.batch(b.column("text").to_pylist(), end_id)
                 ends = np.cumsum(n)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.concatenate(ids).view(np.int32)))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(np.full(len(n), part, dtype=np.int32)), pa.array(start + ends - n), pa.array(n), lists], ["doc_id", "part", "part_start", "n_tokens", "ids"])
                 start += int(ends[-1])
 
-    spark = docs.sparkSession
-    ordered = docs.select("doc_id", "text").repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select("doc_id", "text").repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
     (ordered.mapInArrow(run, FILE_SCHEMA).write.option("compression", "lz4").option("orc.stripe.size", str(stripe_bytes)).option("orc.create.index", "true")
      .option("orc.row.index.stride", "1000").option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").orc(path))
 

@@ -34,13 +34,14 @@ def token_pieces(docs: DataFrame, capacity: int, tokenizer: str | None, end_id:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, number = encoder(at), TaskContext.get().partitionId() << 36
-        for b in batches:
-            rows = []
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                ids = enc.ids(text, end_id)
-                for k, (s, n) in enumerate(cut(len(ids), capacity)):
-                    rows.append((doc, k, s, n, crc32_of(ids[s : s + n]), number))
+        for b in (whole.slice(i, 500) for whole in batches for i in range(0, whole.num_rows, 500)):
+            ids, sizes = enc.batch(b.column("text").to_pylist(), end_id)
+            rows, begin = [], 0
+            for doc, size in zip(b.column("doc_id").to_pylist(), sizes.tolist(), strict=True):
+                for k, (s, n) in enumerate(cut(size, capacity)):
+                    rows.append((doc, k, s, n, crc32_of(ids[begin + s : begin + s + n]), number))
                     number += 1
+                begin += size
             cols = list(zip(*rows, strict=True)) if rows else [()] * 6
             kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)

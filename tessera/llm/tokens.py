@@ -1,19 +1,28 @@
-"""Token ids through the tokenizers library, with a bounded memo of pre-token ids."""
+"""Token ids through the tokenizers library, with a bounded memo of the ids of words."""
 
 from __future__ import annotations
 
 import re
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
-#: The public byte-level pre-token pattern, for the standard re module (letters are [^\W\d_] less
-#: the other numbers, so a text is split by the regex module where it holds a number beyond ASCII digits).
-ASCII_SPLIT = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ɏ]+|\s+(?!\S)|\s+")
-#: Texts made of these characters alone are split alike by ASCII_SPLIT and by the public pattern.
-SIMPLE = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ɏ]*")
-LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
+#: Letters of which every Unicode version has the same (Latin, Greek, Cyrillic), and signs that are neither
+#: letters nor numbers nor white space. Texts of these alone are cut by the standard re module as by the public pattern.
+LETTER = "A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ώЀ-ҁ"
+SIGN = "!-/:-@\\[-`{-~¡-©«-±´¶-¸»¿×÷‐-‧€"
+SIMPLE = re.compile(rf"[\t\n\r 0-9{LETTER}{SIGN}]*")
+#: Fixed value: the public byte-level pre-token pattern for such texts.
+SPLIT = re.compile(rf"'(?:[sdmt]|ll|ve|re)| ?[{LETTER}]+| ?[0-9]+| ?[^\s0-9{LETTER}]+|\s+(?!\S)|\s+")
+#: A space is the beginning of a pre-token unless it stands so; one of these pairs must be there then.
+INNER_SPACE = re.compile(r"\s \s|\s $")
+PAIRS = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
+#: Where a comma or a full stop stands apart from other signs and spaces it is a pre-token of its own.
+JOINED_STOP = re.compile(rf"[.,](?:(?<=[\s{SIGN}][.,])|[{SIGN}])")
+#: Stands before the key of a text part without a space before it.
+BARE = "\0"
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -22,63 +31,137 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def packed(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+class Memo(dict):
+    """Slots of keys; a new key gets the next slot and waits for its ids."""
+
+    def __init__(self) -> None:
+        self.waiting: list[str] = []
+        self.start, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.flat, self.used = np.zeros(1 << 14, np.uint32), 0
+
+    def __missing__(self, key: str) -> int:
+        self.waiting.append(key)
+        slot = self[key] = len(self)
+        return slot
+
+    def fill(self, slots: list[int], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """The ids of slots: ``ids`` holds those of one slot after the other."""
+        while len(self) > len(self.start):
+            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.start[slots] = self.used + np.cumsum(sizes) - sizes
+        self.size[slots] = sizes
+        self.used += len(ids)
+
+    def gathered(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of slots in a row, and how many are of each."""
+        n = self.size[slots]
+        first = np.cumsum(n) - n
+        return self.flat[np.repeat(self.start[slots] - first, n) + np.arange(n.sum())], n
 
 
 class Encoder:
     """Ids of texts, equal to Tokenizer.encode(text, add_special_tokens=False).ids.
 
-    Byte-level BPE works on one pre-token at a time, so the ids of a pre-token are kept, as bytes, in a memo of at most
-    ``memo`` entries; missing ones go to the tokenizers library together. Texts with characters outside the plain
-    set, or with the content of an added token, go to the library whole.
+    Byte-level BPE works on one pre-token at a time, and a space is the beginning of one, so a text is cut at its spaces
+    and the ids of the parts are kept in a memo. New parts are cut into pre-tokens, which go to the tokenizers library
+    together. A memo of ``limit`` parts becomes the older one, whose parts pass to the new one when they are met again;
+    an older memo before it is forgotten. Texts with characters outside the plain set, or with the content of an
+    added token, go to the library whole.
     """
 
-    def __init__(self, path: str, memo: int = 600_000) -> None:
+    def __init__(self, path: str, limit: int = 500_000) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         added = [re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(added)) if added else None
-        self.memo: dict[str, bytes] = {}
-        self.limit = memo
+        self.memo, self.older, self.limit = Memo(), Memo(), limit
         (self.newline,) = self.tok.encode("\n", add_special_tokens=False).ids
 
+    def parts(self, text: str) -> list[str] | None:
+        """Keys of the parts of a text; None where the library has to see it whole."""
+        if not SIMPLE.fullmatch(text) or self.added and self.added.search(text):
+            return None
+        if any(p in text for p in PAIRS) and INNER_SPACE.search(text):
+            return [p[1:] if p[0] == " " else BARE + p for p in SPLIT.findall(text)]
+        if not JOINED_STOP.search(text):  # words then have one part, with or without a stop after them
+            text = text.replace(".", f" {BARE}.").replace(",", f" {BARE},")
+        out = text.split(" ")
+        out[0] = BARE + out[0].lstrip(BARE)
+        return out
+
+    def batch(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts (null: empty), each followed by ``end_id``, in a row, and how many are of each text."""
+        end = f"{BARE}{BARE}{end_id}"
+        parts = [self.parts(t) if t else [] for t in texts]
+        whole = [i for i, p in enumerate(parts) if p is None]
+        parts = [[end] if p is None else [*p, end] for p in parts]
+        lengths = np.array([len(p) for p in parts], np.int64)
+        slots = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(parts)), np.int64, int(lengths.sum()))
+        self.learn()
+        ids, n = self.memo.gathered(slots)
+        upto = np.concatenate([[0], np.cumsum(n)])[np.cumsum(lengths)]
+        sizes = np.diff(upto, prepend=0)
+        if whole:
+            found = {i: np.array(e.ids, np.uint32) for i, e in zip(whole, self.tok.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False), strict=True)}
+            ids = np.concatenate([x for i, (s, e) in enumerate(zip(upto - sizes, upto, strict=True)) for x in (found.get(i, ids[:0]), ids[s:e])])
+            sizes[whole] += [len(found[i]) for i in whole]
+        if len(self.memo) > self.limit:
+            self.memo, self.older = Memo(), self.memo
+        return ids, sizes
+
     def ids(self, text: str | None, end_id: int) -> np.ndarray:
         """The ids of a text (null: empty) and ``end_id``, as unsigned 32-bit integers."""
-        end = end_id.to_bytes(4, "little")
-        if text and SIMPLE.fullmatch(text) and not (self.added and self.added.search(text)):
-            raw = self.joined(ASCII_SPLIT.findall(text))
-        else:
-            raw = packed(self.tok.encode(text, add_special_tokens=False).ids) if text else b""
-        return np.frombuffer(raw + end, dtype="<u4")
-
-    def joined(self, pieces: list[str]) -> bytes:
-        memo = self.memo
-        try:
-            return b"".join(map(memo.__getitem__, pieces))
-        except KeyError:
-            new = self.encoded(set(pieces).difference(memo))
-        if len(memo) + len(new) <= self.limit:
-            memo.update(new)
-            return b"".join(map(memo.__getitem__, pieces))
-        known = memo.get
-        return b"".join([known(p) or new[p] for p in pieces])
-
-    def encoded(self, missing: set[str]) -> dict[str, bytes]:
-        """Ids of each of these pre-tokens."""
-        plain = [p for p in missing if LETTERS.fullmatch(p)]
-        found: dict[str, bytes] = {}
-        if plain:  # one call; a newline between letters is a pre-token of its own
-            ids = np.array(self.tok.encode("\n".join(plain), add_special_tokens=False).ids, dtype="<u4")
-            raw, ends = ids.tobytes(), [*np.flatnonzero(ids == self.newline).tolist(), len(ids)]
-            at = 0
-            for p, e in zip(plain, ends, strict=True):
-                found[p] = raw[4 * at : 4 * e]
-                at = e + 1
-        for p in missing.difference(found):
-            found[p] = packed(self.tok.encode(p, add_special_tokens=False).ids)
-        return found
+        return self.batch([text], end_id)[0]
+
+    def learn(self) -> None:
+        """Finds the ids of the parts that wait: in the older memo, or from their pre-tokens."""
+        memo, older, waiting = self.memo, self.older, self.memo.waiting
+        known: list[tuple[int, int]] = []
+        several: list[tuple[int, list[int]]] = []
+        alone: list[tuple[int, str]] = []
+        ends: list[tuple[int, int]] = []
+        for slot, key in enumerate(waiting, len(memo) - len(waiting)):  # grows as pre-tokens of parts are met
+            if key in older:
+                known.append((slot, older[key]))
+            elif key.isalpha():
+                alone.append((slot, " " + key))
+            elif key.startswith(BARE * 2):
+                ends.append((slot, int(key[2:])))
+            else:
+                pre = SPLIT.findall(key[1:] if key[:1] == BARE else " " + key)
+                if len(pre) == 1:
+                    alone.append((slot, pre[0]))
+                else:
+                    several.append((slot, [memo[p[1:] if p[0] == " " and len(p) > 1 else BARE + p] for p in pre]))
+        if known:
+            memo.fill([s for s, _ in known], *older.gathered(np.array([o for _, o in known])))
+        if ends:
+            memo.fill([s for s, _ in ends], np.array([e for _, e in ends], np.uint32), np.ones(len(ends), np.int64))
+        for slots, ids, sizes in self.encoded(alone):
+            memo.fill(slots, ids, sizes)
+        if several:
+            of = np.array([len(p) for _, p in several])
+            ids, n = memo.gathered(np.array([s for _, p in several for s in p], np.int64))
+            upto = np.concatenate([[0], np.cumsum(n)])[np.cumsum(of)]
+            memo.fill([s for s, _ in several], ids, np.diff(upto, prepend=0))
+        waiting.clear()
+
+    def encoded(self, alone: list[tuple[int, str]], group: int = 5_000):  # noqa: ANN201
+        """(slots, ids, sizes) of pre-tokens; many go in one call, as a newline between two is a pre-token of its own."""
+        plain = [x for x in alone if not x[1].isspace()]
+        for i in range(0, len(plain), group):
+            own = plain[i : i + group]
+            ids = np.array(self.tok.encode_batch_fast(["\n".join(p for _, p in own)], add_special_tokens=False)[0].ids, np.uint32)
+            cut = np.append(np.flatnonzero(ids == self.newline), len(ids))
+            yield [s for s, _ in own], ids[ids != self.newline], np.diff(cut, prepend=-1) - 1
+        for slot, p in alone:
+            if p.isspace():
+                ids = self.tok.encode(p, add_special_tokens=False).ids
+                yield [slot], np.array(ids, np.uint32), np.array([len(ids)])
 
 
 @lru_cache(maxsize=2)

@@ -74,7 +74,7 @@ def test_components(spark):
 
 
 def test_encoder_equals_the_library():
-    enc = Encoder(tokenizer_path(), memo=50)
+    enc = Encoder(tokenizer_path(), limit=50)
     rng = random.Random(1)
     alphabet = "abc XYZ 019 \n\t'.,!?;:-_()éÀÿßñ’²½漢ǆ  ́😀"
     for _ in range(300):
@@ -170,6 +170,30 @@ def test_token_files_ascend(spark):
     assert [r.doc_id for r in rows] == list(range(50)) and all(r.n_tokens == len(r.ids) for r in rows)
 
 
+def test_token_files_skip_and_split_by_stripes(spark):
+    """A filter on doc_id reads few rows; stripes read one by one, in any order, are the whole."""
+    from pyarrow import fs, orc
+
+    rng = random.Random(4)
+    n, path = 60_000, scratch(spark, "test-stripes")
+    texts = [" ".join(map(str, rng.choices(range(10**6), k=8))) for _ in range(n)]
+    op02_token_orc.write_tokens(docs_of(spark, texts), path, stripe_bytes=1 << 16, file_bytes=1 << 19)
+    rows = {r.doc_id: (r.start, r.ids) for r in op02_token_orc.read_tokens(spark, path).collect()}
+    one = op02_token_orc.read_tokens(spark, path).where("doc_id = 7000").select("doc_id", "ids")
+    (found,) = one.collect()
+    assert found.ids == rows[7000][1]
+    names = [f.path for f in fs.LocalFileSystem().get_file_info(fs.FileSelector(path.removeprefix("file://"))) if f.path.endswith(".orc")]
+    files = [orc.ORCFile(f) for f in names]
+    stripes = [(f, i) for f in files for i in range(f.nstripes)]
+    assert len(names) > 4 and len(stripes) > len(names)
+    got = {d: ids for f, i in rng.sample(stripes, len(stripes)) for d, ids in zip(*(f.read_stripe(i, columns=[c]).column(c).to_pylist() for c in ("doc_id", "ids")), strict=True)}
+    assert got == {d: ids for d, (_, ids) in rows.items()}
+    read = spark.read.schema(op02_token_orc.FILE_SCHEMA).orc(path).where("doc_id = 7000")
+    read.collect()
+    scan = read._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numOutputRows").value() <= 2000 and "EqualTo(doc_id" in read._jdf.queryExecution().toString()
+
+
 def test_cut():
     for n in (1, 5, 6, 7, 12, 13):
         parts = op09_packing.cut(n, 6)
