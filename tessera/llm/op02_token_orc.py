@@ -25,18 +25,18 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     """Encodes every whole text (null: empty), appends ``end_id`` and writes the ORC files.
 
     Rows go to files by ranges of doc_id and stand in ascending order (null first, equal ids by text);
-    repeated rows are kept. A file takes about ``file_bytes`` of text, less where the cluster has more cores than that
-    gives files. Only the ids of a part of a batch are in memory at once.
+    repeated rows are kept. A file takes about ``file_bytes`` of text, less where the session's shuffle has more partitions
+    than that gives files. Only the ids of a part of a batch are in memory at once.
     """
     spark, at = docs.sparkSession, tokenizer or tokenizer_path()
     held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    files = max(spark.sparkContext.defaultParallelism, -(-held // file_bytes))
+    files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held // file_bytes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, start = encoder(at), TaskContext.get().partitionId(), 0
         for whole in batches:
-            for i in range(0, whole.num_rows, 500):
-                b = whole.slice(i, 500)
+            for i in range(0, whole.num_rows, 250):
+                b = whole.slice(i, 250)
                 ids, n = enc.batch(b.column("text").to_pylist(), end_id)
                 ends = np.cumsum(n)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.view(np.int32)))

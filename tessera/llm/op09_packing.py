@@ -34,7 +34,7 @@ def token_pieces(docs: DataFrame, capacity: int, tokenizer: str | None, end_id:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, number = encoder(at), TaskContext.get().partitionId() << 36
-        for b in (whole.slice(i, 500) for whole in batches for i in range(0, whole.num_rows, 500)):
+        for b in (whole.slice(i, 250) for whole in batches for i in range(0, whole.num_rows, 250)):
             ids, sizes = enc.batch(b.column("text").to_pylist(), end_id)
             rows, begin = [], 0
             for doc, size in zip(b.column("doc_id").to_pylist(), sizes.tolist(), strict=True):

@@ -72,7 +72,7 @@ class Encoder:
     added token, go to the library whole.
     """
 
-    def __init__(self, path: str, limit: int = 500_000) -> None:
+    def __init__(self, path: str, limit: int = 300_000) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
