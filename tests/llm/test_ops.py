@@ -544,9 +544,23 @@ def test_passages_equal_brute_force(spark):
         for i in range(len(w) - 49):
             own.setdefault(tuple(w[i : i + 50]), set()).add(d)
     want = {(d, j) for d, w in enumerate(words) for i in range(len(w) - 49) if len(own[tuple(w[i : i + 50])]) > 1 for j in range(i, i + 50)}
-    out = repeated_passages(docs_of(spark, texts), rows_per_task=500).collect()
-    assert {(r.doc_id, j) for r in out for j in range(r.start_word, r.start_word + r.n_words)} == want
-    assert all(r.n_words >= 50 for r in out)
+    for rows in (100_000, 500, 40):
+        out = repeated_passages(docs_of(spark, texts), rows_per_task=rows).collect()
+        assert {(r.doc_id, j) for r in out for j in range(r.start_word, r.start_word + r.n_words)} == want
+        assert all(r.n_words >= 50 for r in out)
+
+
+def test_passages_of_a_hot_gram_do_not_depend_on_tasks(spark):
+    """All documents hold 40 words; pairs of them share some words before it as well."""
+    rng = random.Random(3)
+    hot, texts = prose(rng, 40), []
+    for _ in range(100):
+        own = prose(rng, 12)
+        texts += [f"{prose(rng, 20)} {own} {hot} {prose(rng, 20)}" for _ in range(2)] + [f"{prose(rng, 25)} {hot} {prose(rng, 20)}"]
+    want = {(i, 20, 52) for i in range(300) if i % 3 < 2}
+    for rows in (100_000, 40):
+        got = {(r.doc_id, r.start_word, r.n_words) for r in repeated_passages(docs_of(spark, texts), rows_per_task=rows).collect()}
+        assert {(d, s) for d, s, _ in want} == {(d, s) for d, s, _ in got if s == 20} and {d for d, _, _ in got} == {d for d, _, _ in want}
 
 
 def test_passages_odd_rows(spark, odd, none):
