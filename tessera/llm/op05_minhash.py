@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from .common import components, stored
 from .shingles import document_frequencies, idf_levels, mixed, sampler, shingles, weighted, weighted_jaccard, word_hashes
 
+#: Over so many tasks the rows of one bucket are spread in joins.
+SALTS = 8
 SIGS = "doc_id long, k1 long, k2 long, bands array<long>, sig binary"
 
 
@@ -42,6 +44,12 @@ def signatures(docs: DataFrame, levels, k: int, bands: int, rows: int) -> DataFr
     return docs.select("doc_id", "text").mapInArrow(run, SIGS)
 
 
+def with_bucket(rows: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``rows`` (key, doc_id, ...) joined with ``buckets`` (key, ...), so that a large bucket's rows go to several tasks."""
+    spread = buckets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(spread, ["key", "salt"]).drop("salt")
+
+
 def likely(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose samples agree in the share ``least``, far below what similar texts reach."""
 
@@ -83,15 +91,15 @@ def similar(pairs: DataFrame, texts: DataFrame, levels, k: int, threshold: float
     return routed.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands: int = 12, rows: int = 4, idf_strength: float = 0.1, least_agreed: float = 0.6) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands: int = 12, rows: int = 4, idf_strength: float = 0.1, least_agreed: float = 0.4) -> DataFrame:
     """(doc_id, class_id) for every distinct doc_id of ``docs`` (doc_id, text).
 
     class_id is the smallest doc_id that links of similarity ``threshold`` or more reach. Weights are
     tf * (1 + idf_strength * idf) with idf from 0 to 1: shared passages count somewhat less than rare ones, while
     an edit, whose shingles are all rare, does not outweigh the text it stands in. A text without words (null and
     empty ones) is a class of its own; rows of one doc_id are one document; a null doc_id gives a row with a null
-    class. Other columns are not read. Candidates whose samples agree in less than ``least_agreed`` are not verified; of
-    texts at the threshold, the samples of one in some thousands do.
+    class. Other columns are not read. Candidates whose samples agree in less than ``least_agreed`` need no
+    verification: samples of texts at the threshold do so with a chance below 1e-9.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -104,7 +112,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands:
     reps = sigs.select("doc_id", "k1", "k2", "bands").join(copies.select("doc_id", "k1", "k2"), ["doc_id", "k1", "k2"], "left_anti")
     members = reps.select(F.explode("bands").alias("key"), "doc_id").distinct()
     buckets = stored(members.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("hub")).where("n > 1"), "buckets")
-    members = stored(members.join(buckets, "key"), "members")
+    members = stored(with_bucket(members, buckets), "members")
     # what is involved grows with the corpus: texts are sorted and merged with it at every size, never broadcast
     involved = members.select("doc_id").hint("merge")
     texts = docs.join(involved, "doc_id", "left_semi").join(sigs.select("doc_id", "bands", "sig").hint("merge"), "doc_id")
@@ -133,9 +141,9 @@ def cross_links(members: DataFrame, comps: DataFrame, texts: DataFrame, levels,
     """
     with_c = members.select("key", "doc_id").join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("c"))
     hubs = with_c.groupBy("key").agg(F.count("*").alias("n"), F.min_by("c", "doc_id").alias("hub_c"), F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
-    open_ = stored(with_c.join(hubs.drop("low", "high"), "key"), "open")
+    open_ = stored(with_bucket(with_c, hubs.drop("low", "high")), "open")
     rests = open_.where("c <> hub_c").groupBy("key").agg(F.count("*").alias("m"))
-    sized = open_.join(rests, "key").select("key", "doc_id", "c", (F.col("c") != F.col("hub_c")).alias("rest"), F.ceil(F.col("m") / rest_block).alias("rows"), F.ceil(F.col("n") / block).alias("cols"))
+    sized = with_bucket(open_, rests).select("key", "doc_id", "c", (F.col("c") != F.col("hub_c")).alias("rest"), F.ceil(F.col("m") / rest_block).alias("rows"), F.ceil(F.col("n") / block).alias("cols"))
     own_row, own_col = (F.pmod(F.xxhash64("doc_id"), F.col(x)) for x in ("rows", "cols"))
     left = sized.where("rest").select("key", "doc_id", "c", own_row.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("cols") - 1)).alias("j"), F.lit(0).alias("side"))
     right = sized.select("key", "doc_id", "c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("i"), own_col.alias("j"), F.lit(1).alias("side"))

@@ -16,7 +16,7 @@ from tessera.llm.common import components, scratch, words_of
 from tessera.llm.op05_minhash import near_duplicates
 from tessera.llm.op08_embedding_dedup import audited_recall, near_vectors
 from tessera.llm.op10_suffix_dedup import repeated_passages
-from tessera.llm.shingles import WeightedSampler, mixed, weighted_jaccard
+from tessera.llm.shingles import WeightedSampler, document_frequencies, idf_levels, mixed, shingles, weighted, weighted_jaccard, word_hashes
 from tessera.llm.tokens import Encoder, tokenizer_path
 
 from ..conftest import SF
@@ -373,6 +373,27 @@ def test_near_duplicates_equal_brute_force(spark):
     assert sum(mild[i] == find(i) for i in mild) > 0.9 * len(texts)
 
 
+def test_near_duplicates_equal_brute_force_with_the_weights_in_use(spark):
+    rng, texts = random.Random(21), []
+    for _ in range(30):
+        t = prose(rng, rng.randint(40, 150)).split()
+        for _ in range(rng.randint(1, 5)):
+            u = list(t)
+            for _ in range(rng.randint(0, len(u) // 20)):
+                u[rng.randrange(len(u))] = rng.choice(VOCABULARY)
+            texts.append(" ".join(u))
+    docs = docs_of(spark, texts)
+    levels = idf_levels(document_frequencies(docs, 5), len(texts), 0.1)
+    sets = [weighted(shingles(word_hashes(t), 5), levels) for t in texts]
+    up = list(range(len(texts)))
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if weighted_jaccard(sets[i], sets[j]) >= 0.8]
+    for i, j in links:
+        a, b = root(up, i), root(up, j)
+        up[max(a, b)] = min(a, b)
+    got = {r.doc_id: r.class_id for r in near_duplicates(docs).collect()}
+    assert len(links) > 20 and got == {i: root(up, i) for i in range(len(texts))}
+
+
 def test_near_duplicates_in_large_buckets(spark):
     """Communities that share most of a text but link only within themselves."""
     rng = random.Random(2)
