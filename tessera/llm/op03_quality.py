@@ -169,21 +169,31 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 6_000, vocabul
     return Marks({r.x: r.r for r in junk}, logit(total.j / total.n)), Lexicon({x: r.r for x, r in told.items()}, other if told else 0.0, logit(total.t / total.n))
 
 
+def strength(within: float, spread: float, groups: int, n: float) -> float:
+    """How many documents the level above counts for: the variance within groups over that between them.
+
+    ``spread`` is the sum of squares between ``groups`` groups beyond those above (their number taken off) over ``n`` documents.
+    """
+    between = max(0.0, (spread - groups * within) / n) if n else 0.0
+    return min(1e4, max(1.0, within / between)) if between > 0 else 1e4
+
+
 def shrunk(scored: DataFrame, col: str) -> DataFrame:
     """host, path and ``col``: what a path's posterior adds to the log-odds of its documents.
 
-    ``scored`` has host, path and n, s_<col>: the number of documents of a path and the sum of their probabilities.
+    ``scored`` has host, path and n, s_<col>: the number of documents of a path and the sum of their probabilities. Hosts are
+    shrunk towards the mean of all, paths towards their host, each level by a strength of its own.
     """
     s = f"s_{col}"
-    hosts = scored.groupBy("host").agg(F.sum("n").alias("hn"), F.sum(s).alias("hs"))
-    t = hosts.agg(F.sum("hn").alias("n"), F.sum("hs").alias("s"), F.count("*").alias("k"), F.sum(F.col("hs") * F.col("hs") / F.col("hn")).alias("q")).first()
+    hosts = scored.groupBy("host").agg(F.sum("n").alias("hn"), F.sum(s).alias("hs"), F.count("*").alias("paths"), F.sum(F.col(s) * F.col(s) / F.col("n")).alias("pq"))
+    t = hosts.agg(F.sum("hn").alias("n"), F.sum("hs").alias("s"), F.count("*").alias("k"), F.sum("paths").alias("p"), F.sum(F.col("hs") * F.col("hs") / F.col("hn")).alias("q"), F.sum("pq").alias("pq")).first()
     mean = (t.s or 0.0) / max(1, t.n or 0)
     within = mean * (1 - mean)
-    between = max(0.0, (t.q - t.n * mean * mean - (t.k - 1) * within) / t.n) if t.n else 0.0
-    strength = min(1e4, max(1.0, within / between)) if between > 0 else 1e4
-    host = hosts.select("host", ((F.col("hs") + strength * mean) / (F.col("hn") + strength)).alias("hm"))
+    of_host = strength(within, (t.q or 0.0) - (t.n or 0) * mean * mean, t.k - 1, t.n)
+    of_path = strength(within, (t.pq or 0.0) - (t.q or 0.0), (t.p or 0) - t.k, t.n)
+    host = hosts.select("host", ((F.col("hs") + of_host * mean) / (F.col("hn") + of_host)).alias("hm"))
     low = F.lit(1e-6)
-    post = F.greatest(low, F.least(1 - low, (F.col(s) + strength * F.col("hm")) / (F.col("n") + strength)))
+    post = F.greatest(low, F.least(1 - low, (F.col(s) + of_path * F.col("hm")) / (F.col("n") + of_path)))
     return scored.join(host, "host").select("host", "path", (F.log(post / (1 - post)) - logit(mean)).alias(col))
 
 
@@ -195,7 +205,8 @@ def judged(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
     """``docs`` with a struct column ``judged`` added: junk and toxic (probabilities) and bad (that of either).
 
     A null host or path is one of its own. Texts are scored whole (null: empty); repeated rows are judged alike.
-    Without labels every probability is 0. Extra columns stay; one named judged is replaced.
+    Without labels every probability is 0. Extra columns stay whatever their names; one named judged is replaced. Texts are
+    scored once for the sums of their paths and once for themselves, which costs less than to shuffle or store them.
     """
     models = train(docs, labels, **options)
     docs = docs.drop("judged")
@@ -215,10 +226,12 @@ def judged(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
     key = [F.coalesce(F.col(c).cast("string"), F.lit("")) if c in docs.columns else F.lit("") for c in (host, path)]
     scored = docs.select(key[0].alias("host"), key[1].alias("path"), evidence("text").alias("e"))
     sums = stored(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(chance(F.col("e.junk"))).alias("s_junk"), F.sum(chance(F.col("e.toxic"))).alias("s_toxic")), "paths")
-    posts = stored(shrunk(sums, "junk").join(shrunk(sums, "toxic"), ["host", "path"]).select(F.struct("host", "path").alias("at"), F.struct("junk", "toxic").alias("shift")), "posteriors")
+    names = {c.lower() for c in docs.columns}
+    at, shift = (next(x for i in range(len(names) + 1) if (x := f"{name}{i or ''}") not in names) for name in ("at", "shift"))  # no column of docs
+    posts = stored(shrunk(sums, "junk").join(shrunk(sums, "toxic"), ["host", "path"]).select(F.struct("host", "path").alias(at), F.struct("junk", "toxic").alias(shift)), "posteriors")
     with_e = docs.withColumn("judged", F.struct(F.struct(key[0].alias("host"), key[1].alias("path")).alias("at"), evidence("text").alias("e")))
-    out = with_e.join(posts, F.col("judged.at") == F.col("at"), "left")
-    j, t = (chance(F.col(f"judged.e.{c}") + F.coalesce(F.col(f"shift.{c}"), F.lit(0.0))) for c in ("junk", "toxic"))
+    out = with_e.join(posts, F.col("judged.at") == F.col(at), "left")
+    j, t = (chance(F.col(f"judged.e.{c}") + F.coalesce(F.col(f"{shift}.{c}"), F.lit(0.0))) for c in ("junk", "toxic"))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(j.alias("junk"), t.alias("toxic"), (1 - (1 - j) * (1 - t)).alias("bad")).alias("judged"))
 
 
