@@ -1,8 +1,8 @@
 """Secret scans: fixed patterns, and strings that a Markov model of random strings fits better than ordinary words.
 
 Two character models of order one are trained on labelled samples: random strings (drawn from the alphabets of
-keys by a fixed seed) and ordinary identifiers (words of a bounded sample of the texts at hand that no pattern
-marks). A long run of key characters is a secret where its mean log-likelihood ratio is above a threshold.
+keys by a fixed seed) and ordinary identifiers (those of all whole texts that no pattern marks, summed up within the
+tasks). A long run of key characters is a secret where its mean log-likelihood ratio is above a threshold.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+SHORTEST = 16
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}")
 #: Alphabets of keys.
 ALPHABETS = ("0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-")
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_markov long"
@@ -41,20 +42,28 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
 
 
-def transitions(strings: list[str]) -> np.ndarray:
-    """Log-probabilities of a character after another (ASCII; 0 stands for the start and for what is beyond)."""
-    n = np.full((128, 128), 0.05)
-    for s in strings:
-        codes = np.array([0, *(ord(c) if ord(c) < 128 else 0 for c in s)])
-        np.add.at(n, (codes[:-1], codes[1:]), 1)
+def pairs_of(strings: Iterable[str]) -> np.ndarray:
+    """How often a character follows another (ASCII; 0 stands for the start and for what is beyond), for all strings."""
+    raw = ("\0" + "\0".join(strings)).encode("ascii", "replace").replace(b"?", b"\0")
+    codes = np.frombuffer(raw, np.uint8).astype(np.int64)
+    keep = codes[1:] != 0  # a start, and what is beyond, follow nothing
+    return np.bincount(codes[:-1][keep] * 128 + codes[1:][keep], minlength=128 * 128).reshape(128, 128)
+
+
+def transitions(counts: np.ndarray) -> np.ndarray:
+    """Log-probabilities of a character after another."""
+    n = counts + 0.05
     return np.log(n / n.sum(axis=1, keepdims=True))
 
 
-def train(ordinary: list[str], seed: int = 7, per_alphabet: int = 2000) -> np.ndarray:
-    """The table of log-likelihood ratios of transitions, random strings over ordinary identifiers."""
+def train(ordinary: np.ndarray | Iterable[str], seed: int = 7, per_alphabet: int = 2000) -> np.ndarray:
+    """The table of log-likelihood ratios of transitions, random strings over ordinary identifiers.
+
+    The samples of random strings are drawn, so they are labelled; those of ``ordinary`` are strings, or counts of pairs.
+    """
     rng = random.Random(seed)
     strings = ["".join(rng.choices(a, k=32)) for a in ALPHABETS for _ in range(per_alphabet)]
-    return transitions(strings) - transitions(ordinary)
+    return transitions(pairs_of(strings)) - transitions(ordinary if isinstance(ordinary, np.ndarray) else pairs_of(ordinary))
 
 
 def mean_ratio(model: np.ndarray, s: str) -> float:
@@ -62,22 +71,43 @@ def mean_ratio(model: np.ndarray, s: str) -> float:
     return float(model[codes[:-1], codes[1:]].mean())
 
 
-def sample_words(docs: DataFrame, rows: int, chars: int) -> list[str]:
-    """Ordinary identifiers: parts of the first ``chars`` characters of the ``rows`` texts that come first by a hash.
+RUN, DIGIT = re.compile(r"[A-Za-z0-9+/_=-]+"), re.compile(r"[0-9]")
+
 
-    Only the share of hashes that holds about four times as many rows is sorted, so that what tasks send to the
-    driver doesn't grow with the table.
+def ordinary_pairs(docs: DataFrame) -> np.ndarray:
+    """Pairs of characters in the runs of key characters that no pattern marks, over all whole texts.
+
+    The patterns label the runs: one that they mark is a secret, any other an ordinary identifier. A run of CANDIDATE's length
+    with both digits and letters may be either and counts for neither. Each task adds up a table, tables are summed
+    up by rows, and one table of 128 x 128 sums reaches the driver.
     """
-    share = min(1.0, 4 * rows / max(1, docs.count()))
-    texts = docs.select(F.substring("text", 1, chars).alias("t"), F.xxhash64(F.lit(11), "text").alias("h")).where("t IS NOT NULL")
-    texts = texts.where(F.col("h") <= F.lit(min(2**63 - 1, int((2 * share - 1) * 2**63)))).orderBy("h", "t").limit(rows)
-    out: list[str] = []
-    for r in texts.collect():
-        hit = base_spans(r.t)
-        for m in re.finditer(r"[A-Za-z0-9+/_=-]+", r.t):
-            if not any(s < m.end() and m.start() < e for s, _, e in hit):
-                out.append(m.group())
-    return out or ["the", "of", "and"]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((128, 128), np.int64)
+        for b in batches:
+            for text in b.column("text").to_pylist():
+                if text:
+                    marked = base_spans(text)
+                    plain = "\0".join(cut_out(text, marked)) if marked else text
+                    total += pairs_of(s for s in RUN.findall(plain) if len(s) < SHORTEST or s.isdigit() or not DIGIT.search(s))
+        rows = np.flatnonzero(total.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(total[rows].tolist(), pa.list_(pa.int64()))], ["row", "sums"])
+
+    parts = docs.select("text").mapInArrow(count, "row long, sums array<long>")
+    out = np.zeros((128, 128), np.int64)
+    for r in parts.select("row", F.posexplode("sums").alias("col", "n")).groupBy("row", "col").agg(F.sum("n").alias("n")).where("n > 0").collect():
+        out[r.row, r.col] = r.n
+    return out if out.any() else pairs_of(["the", "of", "and"])
+
+
+def cut_out(text: str, spans: list[tuple[int, int, int]]) -> Iterator[str]:
+    """What of a text stands outside all spans."""
+    at = 0
+    for s, _, e in sorted(spans):
+        if s > at:
+            yield text[at:s]
+        at = max(at, e)
+    yield text[at:]
 
 
 def all_spans(text: str, model: np.ndarray, threshold: float) -> list[tuple[int, int, int]]:
@@ -96,9 +126,9 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def model_of(docs: DataFrame, sample_rows: int = 400, sample_chars: int = 4000) -> np.ndarray:
-    """The model for these texts; the ordinary identifiers come from a sample bounded by the two parameters."""
-    return train(sample_words(docs, sample_rows, sample_chars))
+def model_of(docs: DataFrame) -> np.ndarray:
+    """The model for these texts."""
+    return train(ordinary_pairs(docs))
 
 
 def scan_secrets(docs: DataFrame, threshold: float = 0.5, model: np.ndarray | None = None) -> DataFrame:
