@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|iframe|textarea|svg|select)\b[^>]*>.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|iframe|textarea|svg|select)\b[^>]*>.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)>|<[!?][^>]*>", re.S | re.I)
+UNFINISHED = re.compile(r"<[a-zA-Z/!?][^>]*$")
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 #: Elements that end a block of text, elements without content, and elements that hold no main text.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -28,16 +29,26 @@ ASIDE = frozenset("aside button dialog footer form head menu nav option title".s
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words in class, id and role that mark menus, notices, adverts, comments and the like.
 MARKS = frozenset("ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie cookies dialog disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice paywall popup promo related replies respond search share sharing sidebar social sponsor sponsored subscribe subscription toolbar topbar widget".split())
+#: Words that say of what form such a part is.
+FORMS = frozenset("area bar block bottom box button buttons container content footer form header icons inner item items left link links list outer panel right section slot thread title top unit widget wrap wrapper".split())
 MARK = re.compile(r"[a-z]+")
 
 
-def marked(attributes: str) -> bool:
-    """Whether class, id or role names something beside the main text, or the element is hidden."""
+def marked(attributes: str, within: bool = False) -> bool:
+    """Whether class, id or role names something beside the main text, or the element is hidden.
+
+    A word of the name tells it. Within the article, where a name may well speak of such a thing (share-price-table), all words
+    of it have to.
+    """
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
-        if name in ("class", "id", "role") and not MARKS.isdisjoint(MARK.findall(value)):
+        if name not in ("class", "id", "role"):
+            continue
+        if not within and not MARKS.isdisjoint(MARK.findall(value)):
+            return True
+        if within and any(MARKS.intersection(own) and MARKS.union(FORMS).issuperset(own) for own in map(MARK.findall, value.split())):
             return True
     return False
 
@@ -79,7 +90,7 @@ def parsed(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
         path = f"{path}/{name}.{first[1]}" if first else f"{path}/{name}"
         if name in ("article", "main") and not marked(attributes):
             article = True
-        elif name in ASIDE or name == "header" and not article or name not in ("html", "body", "article", "main") and attributes and marked(attributes):
+        elif name in ASIDE or name == "header" and not article or name not in ("html", "body", "article", "main") and attributes and marked(attributes, article):
             aside = True
         elif name in ("article", "main"):
             aside = True
@@ -88,7 +99,7 @@ def parsed(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
             stack.append((name, path, aside, article))
     if at < len(page):
         _, path, aside, article = stack[-1]
-        yield "text", path, page[at:].partition("<")[0] if page[at:].startswith("<") else page[at:], aside, article
+        yield "text", path, UNFINISHED.sub("", page[at:]), aside, article
 
 
 def squeezed(text: str) -> str:
@@ -155,7 +166,8 @@ def templates(pages: DataFrame, share: float = 0.9, least_pages: int = 3) -> Dat
     hashes of content and count), so that copies of a page, whatever stands around the main text, are no template. It is
     valid with two tokens or more, on the share ``share`` of the host's contents and ``least_pages`` at least, where the
     tokens stand in one order on every page. Its parent is the class whose tokens enclose it most
-    tightly, gap the place among them; null at the root. Pages without a host are one host; a null html is empty.
+    tightly, gap the place among them; null at the root. A class that is not in one gap of one parent on the share ``share`` of
+    its pages does not nest and is no part of the template. Pages without a host are one host; a null html is empty.
     """
     spark = pages.sparkSession
     own = pages.select(host_of().alias("host"), F.col("html"))
@@ -193,8 +205,11 @@ def templates(pages: DataFrame, share: float = 0.9, least_pages: int = 3) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))], ["host", "class", "ordered", "parent", "gap"])
 
     seen = own.join(by_host, "host").select("host", "html", "classes").mapInArrow(orders, "host string, class long, ordered long, parent long, gap long")
-    # tokens that occur alike but in another order on some page are no frame
-    nested = seen.groupBy("host", "class").agg(F.min("ordered").alias("a"), F.max("ordered").alias("b"), F.mode(F.struct("parent", "gap"), True).alias("p")).where("a = b")
+    # tokens that occur alike but in another order on some page are no frame; nor are those that don't nest
+    by_place = seen.groupBy("host", "class", "parent", "gap").agg(F.count("*").alias("n"), F.min("ordered").alias("a"), F.max("ordered").alias("b"))
+    place = F.struct("n", "parent", "gap")
+    nested = by_place.groupBy("host", "class").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.sum("n").alias("n"), F.max(place).alias("p"))
+    nested = nested.where(F.col("a") == F.col("b")).where(F.col("p.n") >= share * F.col("n"))
     return classes.join(nested.select("host", "class", "p"), ["host", "class"]).select("host", "class", "p.parent", "p.gap", "tokens")
 
 

@@ -265,7 +265,33 @@ def test_quality_shrinks_sparse_sites(spark):
     assert out["a"] > out["c"] > out["d"] > out["b"]
 
 
+def test_quality_posteriors_equal_a_plain_reading(spark):
+    rng = random.Random(5)
+    rows = [(f"h{h}", f"p{p}", rng.randint(1, 50)) for h in range(12) for p in range(rng.randint(1, 6))]
+    rows = [(h, p, n, n * min(0.95, max(0.02, 0.05 * int(h[1:]) + rng.gauss(0, 0.1)))) for h, p, n in rows]
+    n, s = sum(r[2] for r in rows), sum(r[3] for r in rows)
+    m, by = s / n, {}
+    for h, _, a, b in rows:
+        x = by.setdefault(h, [0, 0.0])
+        x[0], x[1] = x[0] + a, x[1] + b
+    v = m * (1 - m)
+    host_sq, path_sq = sum(b * b / a for a, b in by.values()), sum(b * b / a for _, _, a, b in rows)
+
+    def k(square, groups):
+        tau = (square - groups * v) / n
+        return min(1e4, max(1.0, v / tau)) if tau > 0 else 1e4
+
+    kh, kp = k(host_sq - n * m * m, len(by) - 1), k(path_sq - host_sq, len(rows) - len(by))
+    assert kh != kp
+    got = {(r.host, r.path): r.junk for r in op03_quality.shrunk(spark.createDataFrame(rows, "host string, path string, n long, s_junk double"), "junk").collect()}
+    for h, p, a, b in rows:
+        post = (b + kp * (by[h][1] + kh * m) / (by[h][0] + kh)) / (a + kp)
+        post = min(1 - 1e-6, max(1e-6, post))
+        assert math.isclose(got[h, p], math.log(post / (1 - post)) - math.log(m / (1 - m)), abs_tol=1e-9)
+
+
 def test_quality_odd_rows(spark, odd, none):
+    odd = odd.withColumn("at", F.lit(1)).withColumn("shift", F.lit(2)).withColumn("AT1", F.lit(3)).withColumn("host", F.lit(4)).withColumn("e", F.lit(5))
     labels = spark.createDataFrame([(0, 0, 0), (5, 1, 1), (None, 0, 1), (6, None, None)], "doc_id long, quality int, toxic int")
     assert op03_quality.judged(odd, labels).count() == len(ODD) + 4
     kept = op03_quality.accepted(odd, labels.limit(0))
@@ -445,6 +471,21 @@ def test_markov_model_held_out():
     assert sum(op06_secrets.mean_ratio(model, x) > 0.5 for x in keys) > 0.95 * len(keys)
 
 
+def test_markov_spans_of_whole_texts(spark):
+    """Random keys anywhere in long texts are found by a model of the texts themselves, ordinary identifiers are not."""
+    rng, texts, keys = random.Random(18), [], {}
+    names = ["_".join(rng.choices(VOCABULARY, k=4)) for _ in range(200)]
+    for i in range(150):
+        parts = [prose(rng, 700), rng.choice(names), prose(rng, 20)]
+        if i % 3 == 0:
+            keys[i] = "".join(rng.choices(op06_secrets.ALPHABETS[3 + i % 3], k=40))
+            parts.insert(2, f"({keys[i]})")
+        texts.append(" ".join(parts))
+    out = {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("markov")] for r in op06_secrets.scan_secrets(docs_of(spark, texts)).collect()}
+    assert sum([texts[i][s:e] for s, e in out[i]] == [k] for i, k in keys.items()) >= 0.95 * len(keys)
+    assert not any(out[i] for i in out if i not in keys)
+
+
 def test_redaction(spark):
     docs = docs_of(spark, ["a password=hunter22 b", "clean", None])
     out = op06_secrets.redact_secrets(docs, model=op06_secrets.train(["word"])).orderBy("doc_id").collect()
@@ -492,6 +533,38 @@ def test_pages_with_article_drop_the_template_and_keep_copies(spark):
     assert out[20] == "x\n\nText of a page"
 
 
+def test_pages_keep_text_after_odd_quotes_and_signs():
+    read = op07_template_extract.main_text
+    assert read("<p data-x=it's>Don't lose this text</p><p>two</p>") == "Don't lose this text\n\ntwo"
+    assert read("<p>one</p>< 5 apples and the rest") == "one\n\n< 5 apples and the rest"
+    assert read("<p>one</p>two <p class='x") == "one\n\ntwo"
+    assert read("""<p title="a > b" data-y='<i>'>one</p>""") == "one"
+    page = "<article><div class='share-price-table'>prices</div><p class='banner-history'>past</p><div class='share-bar'>Share</div><ul class='comment list'><li>Nice</ul></article>"
+    assert read(page) == "prices\n\npast"
+    assert read("<article>" + "<p>word</p>" * 50_000 + "</article>").count("word") == 50_000
+
+
+def test_pages_classes_equal_brute_force(spark):
+    """Tokens of one occurrence vector over the distinct contents of a host, in one order, make a class."""
+    rng = random.Random(9)
+    bodies = [f"<div>Top</div><ul><li>Menu</li></ul><article><h1>t{i}</h1>" + "".join(f"<p>{rng.choice(('Often', 'x y z'))} {rng.randrange(40)}</p>" for _ in range(rng.randint(1, 4))) + "<p>Read on</p></article><div>End</div>" for i in range(30)]
+    pages = spark.createDataFrame([(i, "http://h.example/", b) for i, b in enumerate(bodies)], "page_id long, url string, html string")
+    by = {}
+    for b in bodies:
+        content, places = op07_template_extract.page_tokens(b)
+        for t, at in places.items():
+            by.setdefault(t, {})[content] = len(at)
+    vectors = {}
+    for t, own in by.items():
+        if len(own) >= 27:
+            vectors.setdefault(frozenset(own.items()), set()).add(t)
+    want = {frozenset(own) for own in vectors.values() if len(own) > 1}
+    got = {frozenset(r.tokens) for r in op07_template_extract.templates(pages).collect()}
+    assert got and got <= want
+    main = max(want, key=len)
+    assert main in got
+
+
 # --- 8 ---
 
 
