@@ -28,17 +28,53 @@ TEMPLATES = {
         "released under the MIT License",
         "This project is released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ],
     "bsd": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES",
         "Licensed under the BSD License",
+        "Licensed under the BSD 3-Clause License",
+        "Licensed under the BSD 2-Clause License",
+    ],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+        "Licensed under the ISC License",
+    ],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
+    "zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote the original software.",
+    ],
+    "bsl-1.0": [
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software",
+        "Distributed under the Boost Software License, Version 1.0.",
     ],
     "gpl": [
         "Licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
     ],
-    "cc-by": ["Licensed under CC BY 4.0", "Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "lgpl": [
+        "Licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "agpl": [
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "cc-by": ["Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "cc-by-sa": ["Licensed under CC BY-SA 4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "cc-by-nd": ["Licensed under CC BY-ND 4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
+    "cc-by-nc": ["Licensed under CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "cc-by-nc-sa": ["Licensed under CC BY-NC-SA 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."],
+    "cc-by-nc-nd": ["Licensed under CC BY-NC-ND 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."],
+    "cc0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "CC0 1.0 Universal Public Domain Dedication"],
     "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"],
+    "epl-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0"],
 }
 
 SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans string"
@@ -152,10 +188,15 @@ class Automaton:
                 for start, end, covered in chains(own, max_gap):
                     share = min(1.0, covered / len(ws))
                     if share >= min_cover or covered >= 3 * min_match:
-                        labels.add(label)
-                        score = max(score, share)
-                        spans.append((start, end, label))
-        return places, base, labels, score, sorted(set(spans))
+                        spans.append((start, end, label, covered, share))
+        spans = told_apart(spans)
+        labels.update(x[2] for x in spans)
+        return places, base, labels, max([score, *(x[4] for x in spans)]), sorted({x[:3] for x in spans})
+
+
+def told_apart(spans: list[tuple[int, int, str, int, float]]) -> list[tuple[int, int, str, int, float]]:
+    """The spans (start, end, label, covered, share) that no other licence covers with more words at the same place."""
+    return [x for x in spans if not any(y[2] != x[2] and y[3] > x[3] and y[0] <= x[0] and x[1] <= y[1] for y in spans)]
 
 
 def chains(matches: list[tuple[int, int, int]], max_gap: int) -> list[tuple[int, int, int]]:
@@ -188,7 +229,8 @@ def scan_licenses(docs: DataFrame, min_match: int = 4, max_gap: int = 8, min_cov
 
     n_base counts every place of a base phrase, first_word and last_word are the smallest and largest start
     (null without any). labels adds the templates of which a chain of matches of ``min_match`` or more words,
-    with gaps up to ``max_gap``, covers the share ``min_cover`` or 3 * min_match words. score is the largest
+    with gaps up to ``max_gap``, covers the share ``min_cover`` or 3 * min_match words, and no template of another licence
+    more words at the place. score is the largest
     share covered, 1 where a base phrase stands. A null text counts as empty, a null doc_id stays null, repeated rows
     give repeated results, other columns are not read.
     """

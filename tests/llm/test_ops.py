@@ -136,6 +136,23 @@ def test_matching_statistics_equal_brute_force():
             assert n == best
 
 
+def test_licenses_find_every_template_where_it_stands(spark):
+    """Each template, with one word replaced in longer ones, gives its label at its place and no other licence's."""
+    rng, texts, want = random.Random(6), [], []
+    for label, templates in op01_licenses.TEMPLATES.items():
+        for t in templates:
+            w = words_of(t)
+            if len(w) > 14:
+                w[len(w) // 2] = "zzz"
+            texts.append(f"{prose(rng, 30)} {' '.join(w)} {prose(rng, 20)}")
+            want.append((label, 30, 30 + len(w)))
+    for r in op01_licenses.scan_licenses(docs_of(spark, texts)).collect():
+        label, start, end = want[r.doc_id]
+        spans = [(x.rsplit(":", 2)[0], *map(int, x.rsplit(":", 2)[1:])) for x in r.spans.split(",")]
+        assert any(x == label and s <= start + 2 and e >= end - 2 for x, s, e in spans) and label in r.labels.split(",")
+        assert {x for x, _, _ in spans} == {label}
+
+
 def test_licenses_find_statements(spark, odd, none):
     mit = op01_licenses.TEMPLATES["mit"][2]
     edited = mit.replace("free of charge", "gratis").replace("merge,", "")
