@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: A word: a run of ASCII letters, digits and characters beyond ASCII. Texts are lower-cased (A-Z only) first.
@@ -21,9 +21,11 @@ def words_of(text: str | None) -> list[str]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one in local mode where that is unset."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = "file://" + tempfile.mkdtemp(prefix="tessera-shared-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -55,12 +57,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tables_size(spark: SparkSession, path: str) -> int:
-    """Bytes below a path."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-
-
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """(id, component) for every id in ``links`` (a, b); component is the smallest id reachable.
 
@@ -94,7 +90,3 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         sig = now
     roots = edges.select(F.col("v").alias("id")).distinct().withColumn("component", F.col("id"))
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
-
-
-def text_of(col: str = "text") -> Column:
-    return F.coalesce(F.col(col), F.lit(""))

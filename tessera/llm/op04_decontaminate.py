@@ -243,6 +243,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2,
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(5)], names)
 
         hits = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
+        if n_blocks > 1:  # one block at a time in the driver and in the tasks
+            hits = stored(hits, "block")
+            shared.destroy()
         out = hits if out is None else out.unionByName(hits)
     return out
 
