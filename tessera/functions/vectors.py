@@ -6,11 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-
-def doubles(v: Column) -> Column:
-    return F.transform(v, lambda x: x.cast("double"))
-
-
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
@@ -41,3 +36,9 @@ def hashed_components(term_counts: DataFrame, keys: list[str], dims: int = 64) -
     """
     sign = F.when((F.floor(F.col("term_id") / dims) % 2) == 0, 1).otherwise(-1)
     return term_counts.groupBy(*keys, (F.col("term_id") % dims).alias("dim")).agg(F.sum(F.col("tf") * sign).alias("val")).where("val <> 0")
+
+
+def hashed_vectors(term_counts: DataFrame, key: str, dims: int = 64) -> DataFrame:
+    """(key, embedding): the components of ``hashed_components`` as arrays; a text without any has no row."""
+    by_dim = hashed_components(term_counts, [key], dims).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(F.col("dim").cast("int"), F.col("val").cast("double")))).alias("m"))
+    return by_dim.select(key, F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("embedding"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fnv1a, tokens
+from ..functions.vectors import hashed_vectors
+from .chunks import faceted
 
 TOP_K, PREFETCH_FACTOR, PREFETCH_LEAST, RRF_K = 5, 4, 20, 60
-SCORERS, FUSIONS = ("tf_idf", "bm25"), ("rrf", "dbsf")
-#: Learned sparse weights only make sense together with the dense model of the same name.
+SCORERS, FUSIONS, MODES = ("tf_idf", "bm25"), ("rrf", "dbsf"), ("hybrid", "dense", "sparse")
+#: Learned sparse weights (``learned_terms``) only make sense together with the dense model of the same name.
 PAIRED_SPARSE = {"learned": "learned"}
 
 
@@ -33,6 +35,12 @@ def term_counts(texts: DataFrame, keys: list[str]) -> DataFrame:
     return by_token.select(*keys, fnv1a(F.col("token")).alias("term_id"), "n").groupBy(*keys, "term_id").agg(F.sum("n").alias("tf"))
 
 
+def learned_terms(rows: DataFrame, keys: list[str], weights: str = "weights") -> DataFrame:
+    """(keys, term_id, tf) from a map of token ids to weights that a learned model gave; weights of zero or less go."""
+    terms = rows.select(*keys, F.explode(F.col(weights)).alias("term_id", "tf"))
+    return terms.select(*keys, F.col("term_id").cast("long").alias("term_id"), F.col("tf").cast("double").alias("tf")).where("tf > 0")
+
+
 def inverse_frequencies(counts: DataFrame, n_docs: int) -> DataFrame:
     """(term_id, df, idf) with idf = ln(1 + (N - df + 0.5) / (df + 0.5)) over the whole collection."""
     df = counts.groupBy("term_id").agg(F.count("*").alias("df"))
@@ -45,74 +53,79 @@ def ranked(scores: DataFrame, query: str, doc: str, k: int) -> DataFrame:
     return scores.withColumn("score", F.round("score", 6)).withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= k)
 
 
+#: Up to so many terms of the queries are broadcast (about 100 bytes each); more are shuffled.
+MOST_BROADCAST = 1_000_000
+
+
 def sparse_scores(queries: DataFrame, docs: DataFrame, query: str = "item_id", doc: str = "doc_id", scorer: str = "tf_idf", k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """(query, doc, score) for every pair that shares a term.
 
     ``tf_idf`` sums query tf * idf * document tf, without saturation or length normalisation; ``bm25`` has both.
-    Postings are cut to the queries' terms before they are joined.
+    The distinct tokens of the documents are hashed once; those whose hash is a term of a query are kept before
+    documents' tokens are counted, so that postings of other terms never exist.
     """
     if scorer not in SCORERS:
         raise ValueError(f"unknown scorer {scorer}; there are {', '.join(SCORERS)}")
     own = term_counts(queries, [query]).withColumnRenamed("tf", "q_tf")
-    counts = term_counts(docs, [doc])
-    n_docs = docs.select(doc).distinct().count()
-    wanted = own.join(inverse_frequencies(counts.join(own.select("term_id").distinct(), "term_id", "left_semi"), n_docs), "term_id").select(query, "term_id", (F.col("q_tf") * F.col("idf")).alias("w"))
+    asked = own.select("term_id").distinct()
+    small = asked.count() <= MOST_BROADCAST
+    vocabulary = docs.select(F.explode(tokens(F.col("text"))).alias("token")).distinct().select("token", fnv1a(F.col("token")).alias("term_id"))
+    wanted = vocabulary.join(F.broadcast(asked) if small else asked, "term_id", "left_semi")
+    words = tokens(F.col("text"))
+    rows = docs.select(doc, F.size(words).alias("dl"), F.explode(words).alias("token")).join(F.broadcast(wanted) if small else wanted, "token")
+    postings = rows.groupBy(doc, "dl", "term_id").agg(F.count("*").alias("tf"))
+    n_docs, mean = docs.agg(F.count_distinct(doc), F.avg(F.size(words)) if scorer == "bm25" else F.lit(None)).first()
+    idf = postings.groupBy("term_id").agg(F.log(1 + (F.lit(n_docs) - F.count("*") + 0.5) / (F.count("*") + 0.5)).alias("idf"))
+    weights = own.join(idf, "term_id").select(query, "term_id", (F.col("q_tf") * F.col("idf")).alias("w"))
+    tf = F.col("tf")
     if scorer == "bm25":
-        lengths = docs.select(doc, F.size(tokens(F.col("text"))).alias("dl"))
-        mean = lengths.agg(F.avg("dl")).first()[0] or 1.0
-        counts = counts.join(lengths, doc).withColumn("tf", F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.lit(float(mean)))))
-    return counts.join(wanted, "term_id").groupBy(query, doc).agg(F.sum(F.col("w") * F.col("tf")).alias("score"))
+        tf = tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / F.lit(float(mean or 1.0))))
+    return postings.join(weights, "term_id").groupBy(query, doc).agg(F.sum(F.col("w") * tf).alias("score"))
 
 
 def sparse_top(queries: DataFrame, docs: DataFrame, k: int = TOP_K, **options) -> DataFrame:
     return ranked(sparse_scores(queries, docs, **options), options.get("query", "item_id"), options.get("doc", "doc_id"), k)
 
 
-def dense_top(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, block: int = 2000) -> DataFrame:
-    """(query_id, vec_id, score, rank): the ``k`` vectors of greatest cosine for each query vector, itself left out.
+def dense_top(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, block: int = 2000, query: str = "query_id", doc: str = "vec_id", same_ids: bool = True) -> DataFrame:
+    """(query, doc, score, rank): the ``k`` vectors of greatest cosine for each query vector; where ids are of one kind,
+    the vector of the query's own id is left out.
 
-    Queries (query_id, embedding) go to the tasks in blocks of ``block``; a task keeps the best ``k`` of its rows
-    for each query, so what is shuffled doesn't grow with the vectors of a task.
+    Queries (query, embedding) go to the tasks in blocks of ``block``; a task keeps the best ``k`` of its rows
+    for each query, so what is shuffled doesn't grow with the vectors of a task. Null and zero vectors are left out.
     """
     n, out = queries.count(), None
     blocks = max(1, -(-n // block))
-    numbered = queries.select(F.col("query_id").cast("long"), "embedding", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block"))
+    numbered = queries.where("embedding IS NOT NULL").select(F.col(query).cast("long").alias("id"), "embedding", F.pmod(F.xxhash64(query), F.lit(blocks)).alias("block"))
+    schema = f"{query} long, {doc} long, score double"
     for i in range(blocks):
-        rows = numbered.where(F.col("block") == i).orderBy("query_id").collect()
+        rows = numbered.where(F.col("block") == i).orderBy("id").collect()
         if not rows:
             continue
-        q = np.array([r.embedding for r in rows], np.float64)
-        shared = queries.sparkSession.sparkContext.broadcast((np.array([r.query_id for r in rows]), q / np.linalg.norm(q, axis=1, keepdims=True)))
+        shared = queries.sparkSession.sparkContext.broadcast((np.array([r.id for r in rows]), np.array([r.embedding for r in rows], np.float64)))
 
         def best(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ids, unit = shared.value
+            ids, q = shared.value
+            q_norm = np.linalg.norm(q, axis=1)
             held_s, held_v = np.full((len(ids), 0), 0.0), np.full((len(ids), 0), 0, np.int64)
-            for b in batches:
-                x = np.array(b.column("embedding").to_pylist(), np.float64)
-                if not len(x):
-                    continue
-                v = b.column("vec_id").to_numpy()
-                s = np.round(unit @ (x / np.linalg.norm(x, axis=1, keepdims=True)).T, 6)
-                s[ids[:, None] == v[None]] = -2
+            for b in (whole.slice(j, 2000) for whole in batches for j in range(0, whole.num_rows, 2000)):
+                x = b.column("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1)
+                v, norms = b.column("vec").to_numpy(), np.outer(q_norm, np.linalg.norm(x, axis=1))
+                s = np.full(norms.shape, -2.0)
+                np.divide(q @ x.T, norms, out=s, where=norms > 0)
+                s = np.round(s, 6)
+                if same_ids:
+                    s[ids[:, None] == v[None]] = -2
                 held_s, held_v = np.hstack([held_s, s]), np.hstack([held_v, np.broadcast_to(v, s.shape)])
                 keep = np.lexsort((held_v, -held_s), axis=1)[:, :k]
                 held_s, held_v = np.take_along_axis(held_s, keep, 1), np.take_along_axis(held_v, keep, 1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, held_s.shape[1])), pa.array(held_v.ravel()), pa.array(held_s.ravel())], ["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, held_s.shape[1])), pa.array(held_v.ravel()), pa.array(held_s.ravel())], [query, doc, "score"])
 
-        part = vectors.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(best, "query_id long, vec_id long, score double").where("score > -2")
+        part = vectors.where("embedding IS NOT NULL").select(F.col(doc).cast("long").alias("vec"), "embedding").mapInArrow(best, schema).where("score > -2")
         out = part if out is None else out.unionByName(part)
     if out is None:
-        out = queries.sparkSession.createDataFrame([], "query_id long, vec_id long, score double")
-    return ranked(out, "query_id", "vec_id", k)
-
-
-def component_scores(queries: DataFrame, docs: DataFrame, query: str, doc: str) -> DataFrame:
-    """(query, doc, score): cosines of sparse component tables (query, dim, val) and (doc, dim, val)."""
-    q = queries.select(query, "dim", F.col("val").alias("q_val"))
-    q_norm = q.groupBy(query).agg(F.sqrt(F.sum(F.col("q_val") * F.col("q_val"))).alias("q_norm"))
-    d_norm = docs.groupBy(doc).agg(F.sqrt(F.sum(F.col("val") * F.col("val"))).alias("d_norm"))
-    dots = docs.join(F.broadcast(q), "dim").groupBy(query, doc).agg(F.sum(F.col("q_val") * F.col("val")).alias("dot"))
-    return dots.join(q_norm, query).join(d_norm, doc).select(query, doc, (F.col("dot") / (F.col("q_norm") * F.col("d_norm"))).alias("score"))
+        out = queries.sparkSession.createDataFrame([], schema)
+    return ranked(out, query, doc, k)
 
 
 def prefetch_limit(top_k: int, multiplier: int = PREFETCH_FACTOR) -> int:
@@ -146,6 +159,50 @@ def hybrid_top(legs: list[DataFrame], query: str, doc: str, top_k: int = TOP_K,
     return ranked(fused([leg.where(F.col("rank") <= limit) for leg in legs], query, doc, fusion), query, doc, top_k)
 
 
+def hybrid_search(queries: DataFrame, chunks: DataFrame, query: str = "item_id", doc: str = "doc_id", top_k: int = TOP_K, fusion: str = "rrf", mode: str = "hybrid", embedder: str = "hashed", sparse_method: str = "tf_idf", facets: dict[str, str] | None = None, context: Column | None = None) -> DataFrame:
+    """(query, doc, score, rank): the best ``top_k`` chunks for each query (query, text).
+
+    Facets cut the chunks (doc, text, matiere, niveau, cycle) before both legs. ``mode`` is hybrid, dense or sparse. The dense leg
+    embeds ``context`` (the chunk's text by default) by the registered ``embedder``; ``sparse_method`` is tf_idf or bm25. Each
+    leg goes as deep as the prefetch limit.
+    """
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode}; there are {', '.join(MODES)}")
+    check_models(embedder, sparse_method)
+    own, limit, legs = faceted(chunks, **(facets or {})), prefetch_limit(top_k), []
+    if mode != "dense":
+        legs.append(sparse_top(queries, own, limit, query=query, doc=doc, scorer=sparse_method))
+    if mode != "sparse":
+        texts = own.select(doc, (F.col("text") if context is None else context).alias("text"))
+        legs.append(dense_top(embedded(queries, query, embedder), embedded(texts, doc, embedder), limit, query=query, doc=doc, same_ids=False))
+    return hybrid_top(legs, query, doc, top_k, fusion) if len(legs) > 1 else legs[0].where(F.col("rank") <= top_k)
+
+
+#: Embedders by name: each takes (rows, key) with a text column and gives (key, embedding), a batch of rows at a time.
+EMBEDDERS: dict[str, Callable[[DataFrame, str], DataFrame]] = {"hashed": lambda rows, key: hashed_vectors(term_counts(rows, [key]), key)}
+
+
+def embedded(rows: DataFrame, key: str, embedder: str = "hashed") -> DataFrame:
+    """(key, embedding) of texts by a registered embedder."""
+    if embedder not in EMBEDDERS:
+        raise ValueError(f"unknown embedder {embedder}; there are {', '.join(sorted(EMBEDDERS))}")
+    return EMBEDDERS[embedder](rows.select(key, "text"), key)
+
+
+def model_embedder(encode: Callable[[list[str]], np.ndarray], batch: int = 64) -> Callable[[DataFrame, str], DataFrame]:
+    """An embedder from a function that encodes a list of texts; each task calls it with ``batch`` texts at once. Null texts go."""
+
+    def embed(rows: DataFrame, key: str) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in (whole.slice(i, batch) for whole in batches for i in range(0, whole.num_rows, batch)):
+                x = np.asarray(encode(b.column("text").to_pylist()), np.float64)
+                yield pa.RecordBatch.from_arrays([b.column(key), pa.array(list(x), pa.list_(pa.float64()))], [key, "embedding"])
+
+        return rows.where("text IS NOT NULL").select(F.col(key).cast("long"), "text").mapInArrow(run, f"{key} long, embedding array<double>")
+
+    return embed
+
+
 def with_payload(hits: DataFrame, chunks: DataFrame, doc: str) -> DataFrame:
     """Hits with the chunks' columns, looked up for the few that are left."""
     return hits.join(chunks, doc)

@@ -126,24 +126,21 @@ LEGS_SQL = f"{TF_IDF_SQL}, {DENSE_LEG_SQL}, s_leg AS ({rank_sql('scores', 'item_
 RRF_SQL = "fused AS (SELECT item_id, doc_id, round(sum(1 / (60.0::DOUBLE + rank)), 6) AS score FROM legs GROUP BY ALL)"
 
 
-def legs(spark: SparkSession, sf_dir: str, **facets: str) -> list[DataFrame]:
-    """The sparse leg over texts and the dense one over hashed vectors of texts with their context, 20 deep each."""
-    items, docs = table(spark, sf_dir, "benchmark"), ch.faceted(views.chunks(spark, sf_dir), **facets)
-    context = docs.select("doc_id", text.contextual(vocab.label_of(F.col("matiere")), F.col("section"), F.col("text")).alias("text"))
-    dense = search.component_scores(vectors.hashed_components(search.term_counts(items, ["item_id"]), ["item_id"]), vectors.hashed_components(search.term_counts(context, ["doc_id"]), ["doc_id"]), "item_id", "doc_id")
-    limit = search.prefetch_limit(search.TOP_K)
-    return [search.sparse_top(items, docs, limit), search.ranked(dense, "item_id", "doc_id", limit)]
+def hybrid(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """Hybrid search of the benchmark's texts; the dense leg is over hashed vectors of texts with their context."""
+    context = text.contextual(vocab.label_of(F.col("matiere")), F.col("section"), F.col("text"))
+    return search.hybrid_search(table(spark, sf_dir, "benchmark"), views.chunks(spark, sf_dir), context=context, **options)
 
 
 @query(f"WITH {LEGS_SQL}, {RRF_SQL} {rank_sql('fused', 'item_id', 'doc_id', 5)}")
 def rrf_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.hybrid_top(legs(spark, sf_dir), "item_id", "doc_id")
+    return hybrid(spark, sf_dir)
 
 
 @query(f"""WITH {LEGS_SQL}, m AS (SELECT *, avg(score) OVER w AS mu, stddev_samp(score) OVER w AS sd FROM legs WINDOW w AS (PARTITION BY leg, item_id)),
 fused AS (SELECT item_id, doc_id, round(sum(CASE WHEN coalesce(sd, 0) = 0 THEN 0.5 ELSE (score - (mu - 3 * sd)) / (6 * sd) END), 6) AS score FROM m GROUP BY ALL) {rank_sql('fused', 'item_id', 'doc_id', 5)}""")
 def dbsf_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.hybrid_top(legs(spark, sf_dir), "item_id", "doc_id", fusion="dbsf")
+    return hybrid(spark, sf_dir, fusion="dbsf")
 
 
 FACET_SQL = LEGS_SQL.replace("FROM documents", "FROM docs")
@@ -151,7 +148,7 @@ FACET_SQL = LEGS_SQL.replace("FROM documents", "FROM docs")
 
 @query(f"WITH docs AS (SELECT * FROM documents WHERE source = 'src3'), {FACET_SQL}, {RRF_SQL} SELECT r.*, c.source_file, c.niveau FROM ({rank_sql('fused', 'item_id', 'doc_id', 5)}) r JOIN chunks c USING (doc_id)")
 def hybrid_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = search.hybrid_top(legs(spark, sf_dir, matiere="src3"), "item_id", "doc_id")
+    hits = hybrid(spark, sf_dir, facets={"matiere": "src3"})
     return search.with_payload(hits, views.chunks(spark, sf_dir).select("doc_id", "source_file", "niveau"), "doc_id")
 
 
@@ -310,12 +307,12 @@ def question_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
 TITLES_SQL = r"""lines AS (SELECT doc_id, source AS grp, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
 nb AS (SELECT *, coalesce(lag(trim(raw) = '') OVER w, true) AND coalesce(lead(trim(raw) = '') OVER w, true) AS alone, regexp_replace(raw, '\s+$', '') AS line FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
 ok AS (SELECT *, regexp_matches(line, '^#{2,4}\s+(.+?)\s*$') AS heading, trim(line) AS s FROM nb),
-t0 AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(translate(regexp_replace(line, '^#{2,4}\s+(.+?)\s*$', '\1'), chr(61623) || '•▪●', ''), '\*\*(.+?)\*\*|__(.+?)__|\*(.+?)\*|_(.+?)_', '\1\2\3\4', 'g'), '\*\*(.+?)\*\*|__(.+?)__|\*(.+?)\*|_(.+?)_', '\1\2\3\4', 'g'), '\*\*(.+?)\*\*|__(.+?)__|\*(.+?)\*|_(.+?)_', '\1\2\3\4', 'g') AS u FROM ok
+t0 AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(translate(regexp_replace(line, '^#{2,4}\s+(.+?)\s*$', '\1'), chr(61623) || '•▪●', ''), 'EMPHASIS', '\1\2\3\4', 'g'), 'EMPHASIS', '\1\2\3\4', 'g'), 'EMPHASIS', '\1\2\3\4', 'g') AS u FROM ok
   WHERE s <> '' AND substr(s, 1, 2) NOT IN ('- ', '* ', '• ', '→ ') AND s[1] <> '|' AND length(s) - length(replace(s, '|', '')) < 3 AND NOT (regexp_matches(s, '[.:;,]$') AND s[1] <> '#')),
-t1 AS (SELECT *, trim(regexp_replace(u, '\*\*(.+?)\*\*|__(.+?)__|\*(.+?)\*|_(.+?)_', '\1\2\3\4', 'g')) AS title, length(regexp_replace(line, '[^\p{L}]', '', 'g')) AS nl, length(regexp_replace(line, '[^\p{Lu}]', '', 'g')) AS nu FROM t0),
+t1 AS (SELECT *, trim(regexp_replace(u, 'EMPHASIS', '\1\2\3\4', 'g')) AS title, length(regexp_replace(line, '[^\p{L}]', '', 'g')) AS nl, length(regexp_replace(line, '[^\p{Lu}]', '', 'g')) AS nu FROM t0),
 titles AS (SELECT doc_id, grp, (pos - 1)::BIGINT AS pos, title, CASE WHEN heading THEN 'markdown' ELSE 'heuristic' END AS source FROM t1
   WHERE (heading AND length(title) BETWEEN 3 AND 100) OR (NOT heading AND length(line) BETWEEN 5 AND 80 AND ((nl > 0 AND nu / nl >= 0.6) OR alone) AND length(title) >= 3)
-  QUALIFY row_number() OVER (PARTITION BY doc_id, lower(title) ORDER BY pos) = 1)"""
+  QUALIFY row_number() OVER (PARTITION BY doc_id, lower(title) ORDER BY pos) = 1)""".replace("EMPHASIS", text.EMPHASIS)
 
 
 @query(f"WITH {TITLES_SQL} SELECT doc_id, pos, title, source FROM titles")
