@@ -48,6 +48,14 @@ def sections(texts: DataFrame, keys: list[str], start: Column, end: Column | Non
     return texts.join(bounds, keys).select(*keys, "first", "stop", part.alias("text"))
 
 
+def guarded_sections(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (text, ...) with enough text, and the others with a reason: a section of fewer than 200 characters without the white
+    space at its ends means that its pattern found the wrong place."""
+    n = F.length(stripped(F.coalesce("text", F.lit(""))))
+    marked = rows.withColumn("reason", F.when(n < MIN_SECTION, F.format_string("section of %d characters", n)))
+    return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")
+
+
 def token_count(text: str) -> int:
     return len(re.findall(TOKEN, text.lower()))
 

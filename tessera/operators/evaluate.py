@@ -66,3 +66,19 @@ def ndcg(hits: DataFrame, grades: DataFrame, k: int = 10) -> DataFrame:
     got = hits.where(F.col("rank") <= k).join(grades, ["query_id", "id"]).groupBy("query_id").agg(gain.alias("dcg"))
     best = grades.withColumn("rank", F.expr("row_number() over (partition by query_id order by grade desc, id)")).where(F.col("rank") <= k).groupBy("query_id").agg(gain.alias("ideal"))
     return best.join(got, "query_id", "left").select("query_id", F.when(F.col("ideal") > 0, F.coalesce("dcg", F.lit(0.0)) / F.col("ideal")).otherwise(0.0).alias("ndcg"))
+
+
+def precision(hits: DataFrame, grades: DataFrame, k: int = 5) -> DataFrame:
+    """(query_id, precision): the share of the best ``k`` places that hold a relevant id (grade above 0)."""
+    good = hits.where(F.col("rank") <= k).join(grades.where("grade > 0").select("query_id", "id").distinct(), ["query_id", "id"])
+    n = good.groupBy("query_id").agg((F.count("*") / k).alias("precision"))
+    return grades.select("query_id").distinct().join(n, "query_id", "left").select("query_id", F.coalesce("precision", F.lit(0.0)).alias("precision"))
+
+
+def recall(hits: DataFrame, grades: DataFrame, k: int = 10) -> DataFrame:
+    """(query_id, recall): the share of the relevant ids that stand among the best ``k``; 0 where none is relevant."""
+    relevant = grades.where("grade > 0").select("query_id", "id").distinct()
+    n = relevant.groupBy("query_id").agg(F.count("*").alias("n"))
+    found = hits.where(F.col("rank") <= k).join(relevant, ["query_id", "id"]).groupBy("query_id").agg(F.count_distinct("id").alias("found"))
+    rows = grades.select("query_id").distinct().join(n, "query_id", "left").join(found, "query_id", "left")
+    return rows.select("query_id", F.coalesce(F.coalesce("found", F.lit(0)) / F.col("n"), F.lit(0.0)).alias("recall"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,6 +82,46 @@ def keyword_guesses(chunks: DataFrame, doc: str, n: int = 4) -> DataFrame:
     return best.groupBy(doc).agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "token"))), lambda s: s["token"]).alias("expected_keywords"))
 
 
+def model_answers(chunks: DataFrame, ask: Callable[[str], str], request: Column, attempts: int = 3) -> DataFrame:
+    """``chunks`` with what a language model answers to ``request``: query, expected_keywords and fault (null where it is fine).
+
+    ``ask`` is the provider's hook, called in the tasks; a call that raises is repeated, ``attempts`` times in all. The answer has to be
+    JSON with a string query and a list of strings expected_keywords, and nothing else; whatever is not is a fault.
+    """
+
+    @F.pandas_udf("query string, expected_keywords array<string>, fault string")
+    def answered(requests: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one_answer(ask, r, attempts) for r in requests], columns=["query", "expected_keywords", "fault"])
+
+    return chunks.withColumn("_answer", answered(request)).select(*chunks.columns, "_answer.*")
+
+
+def one_answer(ask: Callable[[str], str], request: str, attempts: int) -> tuple[str | None, list[str] | None, str | None]:
+    fault = "no request"
+    for _ in range(attempts if request else 0):
+        try:
+            answer = ask(request)
+        except Exception as e:  # noqa: BLE001 - whatever a provider raises is recorded
+            fault = f"provider: {e}"
+            continue
+        return parsed_answer(answer)
+    return None, None, fault
+
+
+def parsed_answer(answer: str) -> tuple[str | None, list[str] | None, str | None]:
+    """(query, keywords, fault) of an answer that must be exactly as asked for."""
+    try:
+        data = json.loads(answer)
+    except (TypeError, ValueError):
+        return None, None, "no JSON"
+    if not isinstance(data, dict) or set(data) != {"query", "expected_keywords"}:
+        return None, None, "fields"
+    query, words = data["query"], data["expected_keywords"]
+    if not isinstance(query, str) or not isinstance(words, list) or not all(isinstance(w, str) for w in words):
+        return None, None, "types"
+    return query, words, None
+
+
 def holders(passages: DataFrame, docs: DataFrame, block: int = 20_000) -> DataFrame:
     """(query_id, doc_id) for every text of ``docs`` (doc_id, text) that holds a passage (query_id, text) as it is.
 

@@ -83,29 +83,38 @@ def sparse_scores(queries: DataFrame, docs: DataFrame, query: str = "item_id", d
     return postings.join(weights, "term_id").groupBy(query, doc).agg(F.sum(F.col("w") * tf).alias("score"))
 
 
-def sparse_top(queries: DataFrame, docs: DataFrame, k: int = TOP_K, **options) -> DataFrame:
-    return ranked(sparse_scores(queries, docs, **options), options.get("query", "item_id"), options.get("doc", "doc_id"), k)
-
-
-def dense_top(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, block: int = 2000, query: str = "query_id", doc: str = "vec_id", same_ids: bool = True) -> DataFrame:
+def sparse_top(queries: DataFrame, docs: DataFrame, k: int = TOP_K, query: str = "item_id", doc: str = "doc_id", within: tuple[str, ...] = (), **options) -> DataFrame:
+    """The ``k`` best documents for each query; a query that names a value of a column of ``within`` gets only those that have it."""
+    scores = sparse_scores(queries, docs, query, doc, **options)
+    if within:
+        asked = queries.select(query, *(F.nullif(c, F.lit("")).alias(f"_{c}") for c in within))
+        scores = scores.join(asked, query).join(docs.select(doc, *within), doc)
+        for c in within:
+            scores = scores.where(F.col(f"_{c}").isNull() | (F.col(f"_{c}") == F.col(c)))
+        scores = scores.select(query, doc, "score")
+    return ranked(scores, query, doc, k)
+
+
+def dense_top(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, block: int = 2000, query: str = "query_id", doc: str = "vec_id", same_ids: bool = True, within: tuple[str, ...] = ()) -> DataFrame:
     """(query, doc, score, rank): the ``k`` vectors of greatest cosine for each query vector; where ids are of one kind,
-    the vector of the query's own id is left out.
+    the vector of the query's own id is left out. A query that names a value of a column of ``within`` gets only vectors that have it.
 
     Queries (query, embedding) go to the tasks in blocks of ``block``; a task keeps the best ``k`` of its rows
     for each query, so what is shuffled doesn't grow with the vectors of a task. Null and zero vectors are left out.
     """
     n, out = queries.count(), None
     blocks = max(1, -(-n // block))
-    numbered = queries.where("embedding IS NOT NULL").select(F.col(query).cast("long").alias("id"), "embedding", F.pmod(F.xxhash64(query), F.lit(blocks)).alias("block"))
+    numbered = queries.where("embedding IS NOT NULL").select(F.col(query).cast("long").alias("id"), "embedding", F.array(*(F.coalesce(F.when(F.col(c) != "", F.xxhash64(c)), F.lit(0)) for c in within)).cast("array<long>").alias("want"), F.pmod(F.xxhash64(query), F.lit(blocks)).alias("block"))
+    has = F.array(*(F.xxhash64(c) for c in within)).cast("array<long>").alias("has")
     schema = f"{query} long, {doc} long, score double"
     for i in range(blocks):
         rows = numbered.where(F.col("block") == i).orderBy("id").collect()
         if not rows:
             continue
-        shared = queries.sparkSession.sparkContext.broadcast((np.array([r.id for r in rows]), np.array([r.embedding for r in rows], np.float64)))
+        shared = queries.sparkSession.sparkContext.broadcast((np.array([r.id for r in rows]), np.array([r.embedding for r in rows], np.float64), np.array([r.want for r in rows], np.int64)))
 
         def best(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ids, q = shared.value
+            ids, q, want = shared.value
             q_norm = np.linalg.norm(q, axis=1)
             held_s, held_v = np.full((len(ids), 0), 0.0), np.full((len(ids), 0), 0, np.int64)
             for b in (whole.slice(j, 2000) for whole in batches for j in range(0, whole.num_rows, 2000)):
@@ -114,6 +123,10 @@ def dense_top(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, block: int
                 s = np.full(norms.shape, -2.0)
                 np.divide(q @ x.T, norms, out=s, where=norms > 0)
                 s = np.round(s, 6)
+                if within:
+                    own = b.column("has").flatten().to_numpy().reshape(b.num_rows, -1)
+                    for c in range(len(within)):
+                        s[(want[:, c, None] != 0) & (want[:, c, None] != own[None, :, c])] = -2
                 if same_ids:
                     s[ids[:, None] == v[None]] = -2
                 held_s, held_v = np.hstack([held_s, s]), np.hstack([held_v, np.broadcast_to(v, s.shape)])
@@ -121,7 +134,7 @@ def dense_top(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, block: int
                 held_s, held_v = np.take_along_axis(held_s, keep, 1), np.take_along_axis(held_v, keep, 1)
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, held_s.shape[1])), pa.array(held_v.ravel()), pa.array(held_s.ravel())], [query, doc, "score"])
 
-        part = vectors.where("embedding IS NOT NULL").select(F.col(doc).cast("long").alias("vec"), "embedding").mapInArrow(best, schema).where("score > -2")
+        part = vectors.where("embedding IS NOT NULL").select(F.col(doc).cast("long").alias("vec"), "embedding", has).mapInArrow(best, schema).where("score > -2")
         out = part if out is None else out.unionByName(part)
     if out is None:
         out = queries.sparkSession.createDataFrame([], schema)
@@ -159,10 +172,11 @@ def hybrid_top(legs: list[DataFrame], query: str, doc: str, top_k: int = TOP_K,
     return ranked(fused([leg.where(F.col("rank") <= limit) for leg in legs], query, doc, fusion), query, doc, top_k)
 
 
-def hybrid_search(queries: DataFrame, chunks: DataFrame, query: str = "item_id", doc: str = "doc_id", top_k: int = TOP_K, fusion: str = "rrf", mode: str = "hybrid", embedder: str = "hashed", sparse_method: str = "tf_idf", facets: dict[str, str] | None = None, context: Column | None = None) -> DataFrame:
+def hybrid_search(queries: DataFrame, chunks: DataFrame, query: str = "item_id", doc: str = "doc_id", top_k: int = TOP_K, fusion: str = "rrf", mode: str = "hybrid", embedder: str = "hashed", sparse_method: str = "tf_idf", facets: dict[str, str] | None = None, within: tuple[str, ...] = (), context: Column | None = None) -> DataFrame:
     """(query, doc, score, rank): the best ``top_k`` chunks for each query (query, text).
 
-    Facets cut the chunks (doc, text, matiere, niveau, cycle) before both legs. ``mode`` is hybrid, dense or sparse. The dense leg
+    Facets cut the chunks (doc, text, matiere, niveau, cycle) before both legs; columns named in ``within`` do so query by
+    query, where the query has a value there. ``mode`` is hybrid, dense or sparse. The dense leg
     embeds ``context`` (the chunk's text by default) by the registered ``embedder``; ``sparse_method`` is tf_idf or bm25. Each
     leg goes as deep as the prefetch limit.
     """
@@ -171,10 +185,13 @@ def hybrid_search(queries: DataFrame, chunks: DataFrame, query: str = "item_id",
     check_models(embedder, sparse_method)
     own, limit, legs = faceted(chunks, **(facets or {})), prefetch_limit(top_k), []
     if mode != "dense":
-        legs.append(sparse_top(queries, own, limit, query=query, doc=doc, scorer=sparse_method))
+        legs.append(sparse_top(queries, own, limit, query=query, doc=doc, within=within, scorer=sparse_method))
     if mode != "sparse":
         texts = own.select(doc, (F.col("text") if context is None else context).alias("text"))
-        legs.append(dense_top(embedded(queries, query, embedder), embedded(texts, doc, embedder), limit, query=query, doc=doc, same_ids=False))
+        asked, held = embedded(queries, query, embedder), embedded(texts, doc, embedder)
+        if within:
+            asked, held = asked.join(queries.select(query, *within), query), held.join(own.select(doc, *within), doc)
+        legs.append(dense_top(asked, held, limit, query=query, doc=doc, same_ids=False, within=within))
     return hybrid_top(legs, query, doc, top_k, fusion) if len(legs) > 1 else legs[0].where(F.col("rank") <= top_k)
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import short_digest
+from ..session import settled
 
 STATE = "resource_id string, checksum string"
-GAZETTE_DEPTH = 12
 
 
 def resources(raw: DataFrame) -> DataFrame:
@@ -48,15 +48,19 @@ def change_feed(datasets: DataFrame, gazette: DataFrame) -> DataFrame:
 def programme_texts(tree: DataFrame, key: str, parent: str, title: str) -> DataFrame:
     """The texts of a tree (rows of key, parent, title, kind) below a node on education or teaching whose title speaks of a programme.
 
-    The mark passes down from node to node, level by level, to depth ``GAZETTE_DEPTH``.
+    A node's mark is that of any node above it, at any depth: each round doubles the steps that a row looks up, until all have
+    reached a root. Nodes that no root leads to (a missing parent, a circle) are left out.
     """
     name = F.coalesce(title, F.lit(""))
     on_education = name.contains("ducation") | F.lower(name).contains("enseignement")
-    nodes = tree.withColumn("own", (F.col("kind") != "text") & on_education)
-    level = nodes.where(F.col(parent).isNull()).withColumn("marked", F.col("own"))
-    out = level
-    for _ in range(GAZETTE_DEPTH):
-        up = level.select(F.col(key).alias("_up"), F.col("marked").alias("_marked"))
-        level = nodes.join(up, F.col(parent) == F.col("_up")).withColumn("marked", F.col("_marked") | F.col("own")).drop("_up", "_marked")
-        out = out.unionByName(level)
-    return out.where((F.col("kind") == "text") & F.col("marked") & F.lower(name).contains("programme")).select(key, title)
+    nodes = tree.withColumn("_own", (F.col("kind") != "text") & on_education)
+    up = settled(nodes.select(F.col(key).alias("_node"), F.col(parent).alias("_above"), F.col("_own").alias("_marked")))
+    for _ in range(max(1, up.count()).bit_length()):
+        climbing = up.where(F.col("_above").isNotNull())
+        if climbing.isEmpty():
+            break
+        above = up.select(F.col("_node").alias("_above"), F.col("_above").alias("_next"), F.col("_marked").alias("_over"))
+        moved = climbing.join(above, "_above").select("_node", F.col("_next").alias("_above"), (F.col("_marked") | F.col("_over")).alias("_marked"))
+        up = settled(up.where(F.col("_above").isNull()).unionByName(moved))
+    marked = up.where(F.col("_above").isNull() & F.col("_marked")).select(F.col("_node").alias(key))
+    return tree.where((F.col("kind") == "text") & F.lower(name).contains("programme")).join(marked, key, "left_semi").select(key, title)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ids, text, vectors, vocab
-from ..operators import audit, evaluate, golden, search, watch
+from ..operators import audit, evaluate, golden, search, stats, watch
 from ..operators import chunks as ch
 from ..session import table
 from ..sources import index_store, readers
@@ -401,7 +401,7 @@ def seen_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("WITH q AS (SELECT quantile_cont(abs(x), 0.99) AS b FROM (SELECT unnest(embedding::DOUBLE[]) AS x FROM embeddings)) SELECT vec_id, i::BIGINT AS pos, round(greatest(-b, least(b, embedding[i]::DOUBLE)) / b * 127)::TINYINT AS code FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings), q")
 def int8_quantize(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
-    bound = rows.select(F.explode("embedding").alias("x")).agg(F.percentile(F.abs(F.col("x").cast("double")), 0.99)).first()[0] or 1.0
+    bound = stats.percentile(rows.select(F.explode("embedding").alias("x")), F.abs(F.col("x").cast("double")), 0.99) or 1.0
     out = rows.select("vec_id", F.posexplode(vectors.quantized(F.col("embedding"), F.lit(bound))).alias("pos", "code"))
     return out.select("vec_id", (F.col("pos") + 1).cast("long").alias("pos"), "code")
 

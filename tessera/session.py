@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,19 @@ def session(app: str = "tessera", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def settled(rows: DataFrame) -> DataFrame:
+    """``rows`` computed once and written to the checkpoint folder, which all executors share: spark.checkpoint.dir, or in local
+    mode a temporary one."""
+    spark = rows.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        at = spark.conf.get("spark.checkpoint.dir", None)
+        if not at and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(at or tempfile.mkdtemp(prefix="tessera-checkpoints-"))
+    return rows.checkpoint()
+
+
 def collection_name(override: str | None = None) -> str:
     """The index to use: an explicit name, the environment's, or the default."""
     return override or os.environ.get("TESSERA_COLLECTION", "") or "chunks"

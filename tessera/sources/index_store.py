@@ -26,23 +26,40 @@ def upserted(old: DataFrame, new: DataFrame, order: str = "chunk_index") -> Data
 
 
 class Store:
-    """Snapshots of an index in a folder, with a pointer to the current one; readers never see a half-written one."""
+    """Numbered snapshots of an index in a folder; the last complete one is current.
+
+    A snapshot counts once its commit marker is there, which Spark writes last, so readers see the former or the new
+    one and never half of one. Two writers at once make two snapshots; the later number, then name, wins.
+    """
+
+    #: Payload columns that readers filter by: files are cut by the first, the others have Bloom filters and sorted rows.
+    FACETS = ("matiere", "niveau", "cycle", "source_file")
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
 
+    def snapshots(self) -> list[str]:
+        """Names of the complete snapshots, in order."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = path(self.folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(path(self.folder)):
+            return []
+        names = [f.getPath().getName() for f in files.listStatus(path(self.folder))]
+        return sorted(n for n in names if n.startswith("snapshot-") and files.exists(path(f"{self.folder}/{n}/_SUCCESS")))
+
     def current(self) -> DataFrame | None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/current")
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
-            return None
-        name = self.spark.read.json(f"{self.folder}/current").first()["name"]
-        return self.spark.read.parquet(f"{self.folder}/{name}")
-
-    def write(self, rows: DataFrame, partition_by: tuple[str, ...] = ("matiere",)) -> None:
-        """A new snapshot, partitioned so that facets prune files, with Bloom filters on point ids."""
-        name = f"snapshot-{uuid.uuid4().hex}"
-        rows.write.option("parquet.bloom.filter.enabled#point_id", "true").partitionBy(*partition_by).parquet(f"{self.folder}/{name}")
-        self.spark.createDataFrame([(name,)], "name string").coalesce(1).write.mode("overwrite").json(f"{self.folder}/current")
+        names = self.snapshots()
+        return self.spark.read.parquet(f"{self.folder}/{names[-1]}") if names else None
+
+    def write(self, rows: DataFrame, partition_by: tuple[str, ...] = FACETS[:1]) -> None:
+        """A new snapshot, partitioned so that facets prune files, with Bloom filters on point ids and the other facets."""
+        names = self.snapshots()
+        name = f"snapshot-{int(names[-1].split('-')[1]) + 1 if names else 0:012d}-{uuid.uuid4().hex}"
+        facets = [c for c in self.FACETS if c in rows.columns and c not in partition_by]
+        out = rows.sortWithinPartitions(*partition_by, *facets).write
+        for c in ("point_id", *facets):
+            out = out.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        out.partitionBy(*partition_by).parquet(f"{self.folder}/{name}")
 
     def create(self, rows: DataFrame, recreate: bool = False) -> bool:
         """The first snapshot; does nothing where there is one, unless ``recreate``. Tells whether it wrote."""
@@ -64,5 +81,6 @@ def status(index: DataFrame, facet: str) -> DataFrame:
 
 
 def write_json(rows: DataFrame, path: str) -> None:
-    """JSON lines; fields without a value are left out."""
+    """JSON lines with the time of writing (UTC); fields without a value are left out."""
+    rows = rows.withColumn("generated_at", F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     rows.write.mode("overwrite").option("ignoreNullFields", "true").json(path)

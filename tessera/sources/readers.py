@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -65,11 +66,13 @@ def read_questions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A state table, or an empty one where there is none yet or it can't be read."""
+    """A state table, or an empty one where there is none yet or a file of it is corrupt, which one pass over it finds out."""
     try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+        rows = spark.read.schema(schema).parquet(path)
+        rows.agg(F.max(F.xxhash64(*rows.columns))).collect()
+    except (PySparkException, Py4JJavaError):
         return spark.createDataFrame([], schema)
+    return rows
 
 
 def indexed_texts(index: DataFrame, subject: str | None = None) -> DataFrame:
@@ -83,5 +86,15 @@ def is_pdf(content: Column) -> Column:
     return F.coalesce(F.substring(content, 1, 5) == F.unhex(F.lit("255044462D")), F.lit(False))
 
 
+def downloads(files: DataFrame, folder: str) -> DataFrame:
+    """Which of ``files`` (url) stand in ``folder`` as valid PDFs: url, path (null: missing), valid.
+
+    The download itself is left to whoever has a network; a file is looked for under the last part of its URL.
+    """
+    held = files.sparkSession.read.format("binaryFile").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("name"), "path", is_pdf(F.col("content")).alias("pdf"))
+    named = files.withColumn("name", F.element_at(F.split("url", "/"), -1))
+    return named.join(held, "name", "left").select("url", "path", F.coalesce("pdf", F.lit(False)).alias("valid"))
+
+
 def is_download(url: Column, host: str, ending: str = ".pdf") -> Column:
     return F.coalesce(url.endswith(ending) & url.contains(host), F.lit(False))

@@ -21,6 +21,8 @@ class StateTable:
 
     def write(self, batch: int, state: DataFrame) -> None:
         state.write.mode("overwrite").parquet(f"{self.folder}/state-{batch}")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/state-{batch - 2}")  # a batch runs again from the one before it at most
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def watch_resources(stream: DataFrame, state: StateTable, out: str, checkpoint: str, order: str = "event_id") -> StreamingQuery:

@@ -2,10 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import audit, chunks, evaluate, golden, search, watch
+from tessera import jobs
+from tessera.operators import audit, chunks, evaluate, golden, search, stats, watch
 from tessera.sources import index_store, readers
 
 LONG = "Un texte assez long pour faire un morceau valable du programme officiel. "
@@ -192,3 +194,104 @@ def test_readers(spark, tmp_path):
     assert [r[0] for r in pdf.collect()] == [True, False, False]
     (tmp_path / "q.json").write_text('[{"question": "old"}, {"query": "new"}]')
     assert sorted(r.query for r in readers.read_questions(spark, f"file://{tmp_path}/q.json").collect()) == ["new", "old"]
+
+
+def test_percentile_equals_a_sort(spark):
+    rng = random.Random(1)
+    for values in ([3.0], [rng.gauss(0, 1) for _ in range(999)], [1e-300 * rng.randrange(5) for _ in range(50)], [float(rng.randrange(3)) for _ in range(100)] + [1e9]):
+        df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "v double")
+        for q in (0.0, 0.5, 0.99, 1.0):
+            assert stats.percentile(df, F.col("v"), q, bins=7) == pytest.approx(float(np.quantile(values, q)), rel=1e-12)
+    assert stats.percentile(df.limit(0), F.col("v"), 0.5) is None
+
+
+def test_corrupt_state_counts_as_none(spark, tmp_path):
+    spark.createDataFrame([("a", "1")], watch.STATE).coalesce(1).write.parquet(f"file://{tmp_path}/state")
+    assert readers.read_state(spark, f"file://{tmp_path}/state", watch.STATE).count() == 1
+    for f in (tmp_path / "state").glob("part-*"):
+        f.write_bytes(b"no parquet")
+    for f in (tmp_path / "state").glob(".part-*"):
+        f.unlink()
+    assert readers.read_state(spark, f"file://{tmp_path}/state", watch.STATE).count() == 0
+
+
+def test_programme_texts_at_any_depth(spark):
+    rows = [(0, None, "Enseignement", "node"), *((i, i - 1, "x", "node") for i in range(1, 40)), (40, 39, "Le programme", "text"), (50, 51, "Éducation", "node"), (51, 50, "Programme", "text"), (60, 99, "programme d'éducation", "text")]
+    tree = spark.createDataFrame(rows, "id long, up long, titre string, kind string")
+    assert [r.id for r in watch.programme_texts(tree, "id", "up", "titre").collect()] == [40]
+
+
+def test_precision_and_recall(spark):
+    hits = spark.createDataFrame([(1, r, f"d{r}") for r in range(1, 6)], "query_id long, rank long, id string")
+    grades = spark.createDataFrame([(1, "d1", 2), (1, "d4", 1), (1, "d9", 1), (1, "d2", 0), (2, "d1", 1)], "query_id long, id string, grade long")
+    assert {r.query_id: r.precision for r in evaluate.precision(hits, grades).collect()} == {1: 0.4, 2: 0.0}
+    assert {r.query_id: r.recall for r in evaluate.recall(hits, grades, 3).collect()} == pytest.approx({1: 1 / 3, 2: 0.0})
+
+
+def test_search_within_facets_and_by_a_model(spark):
+    docs = spark.createDataFrame([(1, "chat noir", "svt"), (2, "chat blanc", "emc"), (3, "chien noir", "svt"), (4, None, "svt")], "doc_id long, text string, matiere string")
+    asked = spark.createDataFrame([(7, "chat", "emc"), (8, "chat", None), (9, "chat", "")], "item_id long, text string, matiere string")
+    for mode in ("sparse", "dense", "hybrid"):
+        got = search.hybrid_search(asked, docs, mode=mode, within=("matiere",)).groupBy("item_id").agg(F.collect_set("doc_id").alias("d")).collect()
+        found = {r.item_id: set(r.d) for r in got}
+        assert found[7] == {2} and {1, 2} <= found[8] == found[9]
+    search.EMBEDDERS["lengths"] = search.model_embedder(lambda texts: np.array([[len(t), 1.0] for t in texts]), batch=2)
+    assert search.hybrid_search(asked, docs, mode="dense", embedder="lengths").where("item_id = 8").count() == 3
+    with pytest.raises(ValueError, match="unknown embedder"):
+        search.hybrid_search(asked, docs, embedder="none")
+    terms = search.learned_terms(spark.createDataFrame([(1, {5: 0.5, 6: 0.0})], "k long, weights map<int,double>"), ["k"]).collect()
+    assert [tuple(r) for r in terms] == [(1, 5, 0.5)]
+
+
+def test_answers_of_a_model():
+    assert golden.parsed_answer('{"query": "q", "expected_keywords": ["a"]}') == ("q", ["a"], None)
+    assert [golden.parsed_answer(a)[2] for a in ("x", "[]", '{"query": "q"}', '{"query": 1, "expected_keywords": []}', '{"query": "q", "expected_keywords": [1]}')] == ["no JSON", "fields", "fields", "types", "types"]
+    calls = []
+
+    def ask(_):
+        calls.append(1)
+        if len(calls) < 3:
+            raise TimeoutError("busy")
+        return '{"query": "q", "expected_keywords": []}'
+
+    assert golden.one_answer(ask, "r", 3) == ("q", [], None) and golden.one_answer(lambda r: 1 / 0, "r", 2)[2].startswith("provider")
+
+
+def test_jobs_from_sources_to_questions(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    body = "\n".join(f"## Titre {i}\n\n" + LONG * 4 for i in range(6))
+    (src / "p_cycle4_a.md").write_text(f"intro\n## **Sciences**\n{body}\n## **Autre**\nfin")
+    (src / "p_lycee_b.txt").write_text(body)
+    catalog = readers.multi_subject_sources(spark, "p_cycle4_a.md", [("svt", "Sciences"), ("emc", "Autre"), ("ses", "Absent")]).unionByName(
+        readers.whole_file_sources(spark, [("p_lycee_b.txt", "snt", "SNT"), ("p_lycee_none.txt", "nsi", "NSI")]))
+    store, folder = index_store.Store(spark, f"file://{tmp_path}/index"), f"file://{src}"
+    counts, rejects = jobs.ingest(spark, catalog, folder, store, dry_run=True)
+    assert counts["points"] == 0 and store.current() is None
+    assert {(r.matiere, r.reason) for r in rejects.collect()} == {("emc", "section of 16 characters"), ("ses", "section not found"), ("nsi", "no text")}
+    counts, _ = jobs.ingest(spark, catalog, folder, store)
+    assert counts["expanded"] == 3 * counts["raw"] == counts["valid"] and counts["points"] == counts["unique"] and counts["errors"] == 3
+    assert jobs.ingest(spark, catalog, folder, store)[0]["points"] == counts["points"] and len(store.snapshots()) == 2
+    hit = jobs.query(store, "programme officiel", facets={"matiere": "snt"}).first()
+    assert hit["rank"] == 1 and hit.matiere == "snt" and len(hit.text) <= 251
+    ask = lambda _: '{"query": "Que dit le programme officiel ?", "expected_keywords": ["programme", "officiel", "absent"]}'
+    good, bad = jobs.make_questions(store, 4, ask, out=f"file://{tmp_path}/golden")
+    row = good.first()
+    assert good.count() == 1 and row.expected_keywords == ["programme", "officiel"] and bad.count() == 0
+    scores, rolled = jobs.run_evaluation(store, readers.read_questions(spark, f"file://{tmp_path}/golden").drop("generated_at"), by="matiere", out=f"file://{tmp_path}/eval")
+    assert scores.first().verdict == "all" and rolled.first().n == 1
+    rows, lines = jobs.audit_coverage(spark, catalog, folder, store)
+    assert {r.matiere for r in rows.collect()} == {"svt", "snt"} and all(r.titles_pct == 100.0 for r in rows.collect()) and lines.count() == 2
+    moved = index_store.Store(spark, f"file://{tmp_path}/moved")
+    assert jobs.migrate(store, moved) and not jobs.migrate(store, moved) and jobs.status(moved).count() == 2
+    feed = spark.createDataFrame([("a", "u", "1"), ("b", "v", "2")], "resource_id string, url string, checksum string")
+    state = f"file://{tmp_path}/state"
+    runs = [jobs.watch_run(spark, f, state, f"file://{tmp_path}/changes") for f in (feed, feed, feed.replace("2", "3"))]
+    assert runs == [2, 0, 1] and jobs.watch_run(spark, feed, state, "none", "m", "m") == 0
+
+
+def test_downloads(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"%PDF-1.4")
+    (tmp_path / "b.pdf").write_bytes(b"<html>")
+    files = spark.createDataFrame([("http://x/a.pdf",), ("http://x/b.pdf",), ("http://x/c.pdf",)], "url string")
+    assert {r.url[-5:]: r.valid for r in readers.downloads(files, f"file://{tmp_path}").collect()} == {"a.pdf": True, "b.pdf": False, "c.pdf": False}
