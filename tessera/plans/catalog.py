@@ -54,6 +54,15 @@ def rank_sql(scores: str, key: str, doc: str, k: int) -> str:
     return f"SELECT {key}, {doc}, score, row_number() OVER (PARTITION BY {key} ORDER BY score DESC, {doc})::BIGINT AS rank FROM {scores} QUALIFY rank <= {k}"
 
 
+#: Some sources stand for subjects of the vocabulary, the others are unknown; every ninth level is unknown, every seventh index wrong.
+LABEL_SQL = "CASE matiere WHEN 'src1' THEN 'Sciences de la Vie et de la Terre' WHEN 'src2' THEN 'Enseignement Moral et Civique' WHEN 'src3' THEN 'Français' ELSE matiere END"
+
+
+def with_subjects(rows: DataFrame) -> DataFrame:
+    m = F.col("matiere")
+    return rows.withColumn("matiere", F.when(m == "src1", "svt").when(m == "src2", "emc").when(m == "src3", "francais").otherwise(m))
+
+
 # --- text, hashes and ids ---
 
 
@@ -169,15 +178,18 @@ def cycle_of_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.chunks(spark, sf_dir).groupBy(vocab.cycle_of(F.col("niveau"), strict=True).alias("cycle"), "niveau").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {CHUNKS_SQL} SELECT doc_id, md5(p) AS digest, length(p)::BIGINT AS n_chars FROM (SELECT doc_id, 'Cet extrait provient du programme officiel Éduscol de ' || matiere || ', section « ' || section || ' ».' || chr(10) || chr(10) || text AS p FROM chunks)")
+@query(f"WITH {CHUNKS_SQL} SELECT doc_id, md5(p) AS digest, length(p)::BIGINT AS n_chars FROM (SELECT doc_id, 'Cet extrait provient du programme officiel Éduscol de ' || {LABEL_SQL} || ', section « ' || section || ' ».' || chr(10) || chr(10) || text AS p FROM chunks)")
 def contextual_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = text.contextual(vocab.label_of(F.col("matiere")), F.col("section"), F.col("text"))
-    return views.chunks(spark, sf_dir).select("doc_id", F.md5(p).alias("digest"), F.length(p).cast("long").alias("n_chars"))
+    return with_subjects(views.chunks(spark, sf_dir)).select("doc_id", F.md5(p).alias("digest"), F.length(p).cast("long").alias("n_chars"))
 
 
-@query(f"WITH {CHUNKS_SQL} SELECT CASE WHEN length(text) < 50 THEN 'text' ELSE 'matiere' END AS reason, count(*) AS n FROM chunks GROUP BY ALL")
+@query(f"""WITH {CHUNKS_SQL}, c AS (SELECT *, CASE WHEN doc_id % 9 = 0 THEN 'maternelle' ELSE niveau END AS level, CASE WHEN doc_id % 7 = 0 THEN -1 ELSE chunk_index END AS i FROM chunks)
+SELECT CASE WHEN level = 'maternelle' THEN 'niveau' WHEN length(text) < 50 THEN 'text' WHEN matiere NOT IN ('src1', 'src2', 'src3') THEN 'matiere' WHEN i < 0 THEN 'chunk_index' ELSE 'valid' END AS reason, count(*) AS n FROM c GROUP BY ALL""")
 def validate_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ch.divided(views.chunks(spark, sf_dir))[1].groupBy("reason").agg(F.count("*").alias("n"))
+    rows = with_subjects(views.chunks(spark, sf_dir)).withColumn("niveau", F.when(F.col("doc_id") % 9 == 0, "maternelle").otherwise(F.col("niveau")))
+    good, bad = ch.divided(rows.withColumn("chunk_index", F.when(F.col("doc_id") % 7 == 0, -1).otherwise(F.col("chunk_index"))))
+    return good.withColumn("reason", F.lit("valid")).unionByName(bad).groupBy("reason").agg(F.count("*").alias("n"))
 
 
 @query("""WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents),
@@ -287,7 +299,7 @@ ids AS (SELECT doc_id, {UUID_SQL} AS gold_chunk_id FROM (SELECT *, sha1(unhex('{
 SELECT doc_id, gold_chunk_id, keywords FROM kept JOIN ids USING (doc_id)""")
 def keyword_grounding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.chunks(spark, sf_dir).withColumn("expected_keywords", F.concat(F.slice(F.split("text", " "), 1, 7), F.array(F.lit("no such word"))))
-    return golden.grounded(rows, F.lower).select("doc_id", "gold_chunk_id", F.array_join("expected_keywords", "|").alias("keywords"))
+    return golden.grounded(rows).select("doc_id", "gold_chunk_id", F.array_join("expected_keywords", "|").alias("keywords"))
 
 
 @query("SELECT conv_id, turn, text AS query FROM conversations WHERE role = 'user' QUALIFY row_number() OVER (PARTITION BY regexp_replace(lower(text), '^\\s+|\\s+$', '', 'g') ORDER BY conv_id, turn) = 1")
@@ -296,9 +308,12 @@ def query_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golden.distinct_questions(rows, ["conv_id", "turn"])
 
 
-@query("SELECT reason, count(*) AS n FROM (SELECT CASE WHEN NOT length(text) BETWEEN 10 AND 300 THEN 'query' ELSE 'ok' END AS reason FROM conversations WHERE role = 'user') GROUP BY ALL")
+@query("""SELECT CASE WHEN NOT length(text) BETWEEN 10 AND 300 THEN 'query' WHEN conv_id % 5 = 0 THEN 'matiere' WHEN conv_id % 7 = 0 THEN 'niveau' WHEN NOT (turn + 1) % 10 BETWEEN 2 AND 8 THEN 'expected_keywords' ELSE 'ok' END AS reason, count(*) AS n
+FROM conversations WHERE role = 'user' GROUP BY ALL""")
 def question_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "conversations").where("role = 'user'").select(F.col("text").alias("query"), F.lit("svt").alias("matiere"), F.lit("seconde").alias("niveau"), F.array(F.lit("a"), F.lit("b")).alias("expected_keywords"))
+    rows = table(spark, sf_dir, "conversations").where("role = 'user'").select(
+        F.col("text").alias("query"), F.when(F.col("conv_id") % 5 == 0, "musique").otherwise("svt").alias("matiere"), F.when(F.col("conv_id") % 7 == 0, F.lit(None)).otherwise("seconde").alias("niveau"),
+        F.array_repeat(F.lit("mot"), ((F.col("turn") + 1) % 10).cast("int")).alias("expected_keywords"))
     return rows.groupBy(F.coalesce(golden.question_fault(), F.lit("ok")).alias("reason")).agg(F.count("*").alias("n"))
 
 
