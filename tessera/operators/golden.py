@@ -22,7 +22,7 @@ def candidates(chunks: DataFrame) -> DataFrame:
 
 
 def stratified_sample(rows: DataFrame, target: int, strata: list[str], row_id: str, seed: int = 42) -> DataFrame:
-    """``target`` rows (or all, if fewer) spread over the strata.
+    """``target`` rows (or all, if fewer; ``row_id`` is unique) spread over the strata.
 
     Each stratum gives max(1, target / strata) + 2 rows, by the order of a hash of seed and id; leftovers fill up in
     that order; the rows are then ordered by another hash and cut. A stratum can vanish in the cut.
@@ -39,8 +39,8 @@ def stratified_sample(rows: DataFrame, target: int, strata: list[str], row_id: s
     taken = numbered.where(F.col("_n") <= per)
     short = target - taken.count()
     if short > 0:
-        more = numbered.where(F.col("_n") > per).orderBy("_key", row_id).limit(short)
-        return taken.unionByName(more).drop("_key", "_n")
+        more = hashed.join(taken.select(row_id), row_id, "left_anti").orderBy("_key", row_id).limit(short)
+        return taken.drop("_n").unionByName(more).drop("_key")
     return taken.orderBy(cut, row_id).limit(target).drop("_key", "_n")
 
 
