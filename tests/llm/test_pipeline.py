@@ -3,6 +3,8 @@
 import corpus_pipeline
 import pytest
 
+from tessera.llm.common import scratch
+
 SF = "/root/testdata/sf0.01"  # the smallest tables hold too few labels to learn from
 
 
@@ -39,3 +41,29 @@ def test_decisions_take_effect(spark, stages):
 
 def test_run(spark, stages):
     assert corpus_pipeline.run(spark, SF).count() == stages[-1].count()
+
+
+def test_odd_rows_pass_all_stages(spark):
+    """Nulls, empty and long texts, repeated rows and ids, extra columns with names that the operators use themselves."""
+    from pyspark.sql import functions as F
+
+    base = spark.read.parquet(f"{SF}/documents.parquet").limit(30)
+    odd = spark.createDataFrame([(None, "some text without an id"), (900_001, None), (900_002, ""), (900_003, "word " * 30_000), (900_004, "same words here"), (900_004, "same words here"), (900_005, "password = hunter2222")], "doc_id long, text string")
+    docs = base.unionByName(odd, allowMissingColumns=True)
+    for name in ("at", "shift", "key", "n", "judged", "class_id", "h", "salt", "item_id", "kept"):
+        docs = docs.withColumn(name, F.lit(1))
+    out = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        done = stage(spark, out, SF)
+        assert set(done.columns) >= {"doc_id", "text", "lang", "source", "n_chars"}
+        path = scratch(spark, "odd")
+        done.write.parquet(path)
+        out = spark.read.parquet(path)
+    rows = out.collect()
+    assert {None, 900_001, 900_002, 900_005} <= {r.doc_id for r in rows}
+    assert [r.text for r in rows if r.doc_id == 900_005] == ["[SECRET]"]
+    pieces = corpus_pipeline.STAGES[-1][1](spark, out, SF)
+    assert {r.doc_id for r in pieces.select("doc_id").collect()} == {r.doc_id for r in rows}
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0
