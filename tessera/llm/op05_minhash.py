@@ -91,15 +91,15 @@ def similar(pairs: DataFrame, texts: DataFrame, levels, k: int, threshold: float
     return routed.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands: int = 12, rows: int = 4, idf_strength: float = 0.1, least_agreed: float = 0.4) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands: int = 12, rows: int = 4, idf_strength: float = 0.1, least_agreed: float = 0.6) -> DataFrame:
     """(doc_id, class_id) for every distinct doc_id of ``docs`` (doc_id, text).
 
     class_id is the smallest doc_id that links of similarity ``threshold`` or more reach. Weights are
     tf * (1 + idf_strength * idf) with idf from 0 to 1: shared passages count somewhat less than rare ones, while
     an edit, whose shingles are all rare, does not outweigh the text it stands in. A text without words (null and
     empty ones) is a class of its own; rows of one doc_id are one document; a null doc_id gives a row with a null
-    class. Other columns are not read. Candidates whose samples agree in less than ``least_agreed`` need no
-    verification: samples of texts at the threshold do so with a chance below 1e-9.
+    class. Other columns are not read. Candidates whose samples agree in less than ``least_agreed`` are not
+    verified: the samples of texts at the threshold do so with a chance of 0.0005, a quarter of that of sharing no band.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
