@@ -72,7 +72,8 @@ def sparse_scores(queries: DataFrame, docs: DataFrame, query: str = "item_id", d
     vocabulary = docs.select(F.explode(tokens(F.col("text"))).alias("token")).distinct().select("token", fnv1a(F.col("token")).alias("term_id"))
     wanted = vocabulary.join(F.broadcast(asked) if small else asked, "term_id", "left_semi")
     words = tokens(F.col("text"))
-    rows = docs.select(doc, F.size(words).alias("dl"), F.explode(words).alias("token")).join(F.broadcast(wanted) if small else wanted, "token")
+    split = docs.select(doc, words.alias("_words"))  # a step of its own, so that a text is cut once
+    rows = split.select(doc, F.size("_words").alias("dl"), F.explode("_words").alias("token")).join(F.broadcast(wanted) if small else wanted, "token")
     postings = rows.groupBy(doc, "dl", "term_id").agg(F.count("*").alias("tf"))
     n_docs, mean = docs.agg(F.count_distinct(doc), F.avg(F.size(words)) if scorer == "bm25" else F.lit(None)).first()
     idf = postings.groupBy("term_id").agg(F.log(1 + (F.lit(n_docs) - F.count("*") + 0.5) / (F.count("*") + 0.5)).alias("idf"))
