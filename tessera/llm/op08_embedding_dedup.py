@@ -155,7 +155,7 @@ def chosen_centres(reps: DataFrame, target: int, most: int, deviations: float |
     for key, own in by.items():
         c = unit(own)
         cells.centres[key] = c
-        eigen = np.linalg.eigvalsh(np.cov(c[:4096].T)) if len(c) > 1 else np.ones(1)
+        eigen = np.linalg.eigvalsh(np.atleast_2d(np.cov(c[:4096].T))) if len(c) > 1 else np.ones(1)
         dims = max(1.0, eigen.sum() ** 2 / max(1e-300, (eigen**2).sum()))
         cells.spread[key] = 1.0 if deviations is None else min(1.0, deviations / np.sqrt(dims))
     return cells
