@@ -44,10 +44,10 @@ def signatures(docs: DataFrame, levels, k: int, bands: int, rows: int) -> DataFr
     return docs.select("doc_id", "text").mapInArrow(run, SIGS)
 
 
-def with_bucket(rows: DataFrame, buckets: DataFrame) -> DataFrame:
-    """``rows`` (key, doc_id, ...) joined with ``buckets`` (key, ...), so that a large bucket's rows go to several tasks."""
-    spread = buckets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(spread, ["key", "salt"]).drop("salt")
+def with_bucket(rows: DataFrame, buckets: DataFrame, key: str = "key", doc: str = "doc_id", how: str = "inner") -> DataFrame:
+    """``rows`` (key, doc, ...) joined with ``buckets`` (key, ...), so that the rows of a large bucket go to several tasks."""
+    spread = buckets.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(doc), F.lit(SALTS)).cast("int")).join(spread, [key, "_salt"], how).drop("_salt")
 
 
 def likely(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
@@ -70,7 +70,7 @@ def similar(pairs: DataFrame, texts: DataFrame, levels, k: int, threshold: float
     task holds one b and one row at a time.
     """
     large = pairs.groupBy("b").count().where(F.col("count") > per_task).select("b", F.ceil(F.col("count") / per_task).cast("long").alias("n"))
-    dealt = pairs.join(large, "b", "left").withColumn("salt", F.pmod(F.xxhash64("a"), F.coalesce("n", F.lit(1)))).drop("n")
+    dealt = with_bucket(pairs, large, "b", "a", "left").withColumn("salt", F.pmod(F.xxhash64("a"), F.coalesce("n", F.lit(1)))).drop("n")
     ways = dealt.select(F.col("a").alias("doc_id"), "b", "salt").unionByName(dealt.select(F.col("b").alias("doc_id"), "b", "salt").distinct())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
