@@ -7,6 +7,7 @@ into spans per template; a phrase is found where its words stand consecutively.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -196,7 +197,13 @@ class Automaton:
 
 def told_apart(spans: list[tuple[int, int, str, int, float]]) -> list[tuple[int, int, str, int, float]]:
     """The spans (start, end, label, covered, share) that no other licence covers with more words at the same place."""
-    return [x for x in spans if not any(y[2] != x[2] and y[3] > x[3] and y[0] <= x[0] and x[1] <= y[1] for y in spans)]
+    spans = sorted(spans)
+    starts, widest = [x[0] for x in spans], max((x[1] - x[0] for x in spans), default=0)
+
+    def around(x: tuple[int, int, str, int, float]) -> list[tuple[int, int, str, int, float]]:
+        return spans[bisect_left(starts, x[0] - widest) : bisect_right(starts, x[0])]
+
+    return [x for x in spans if not any(y[2] != x[2] and y[3] > x[3] and x[1] <= y[1] for y in around(x))]
 
 
 def chains(matches: list[tuple[int, int, int]], max_gap: int) -> list[tuple[int, int, int]]:
