@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word: a run of ASCII letters, digits and characters beyond ASCII. Texts are lower-cased (A-Z only) first.
@@ -90,3 +90,17 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         sig = now
     roots = edges.select(F.col("v").alias("id")).distinct().withColumn("component", F.col("id"))
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
+
+
+def numbered(rows: DataFrame, *order: str, name: str = "numbered", per_task: int = 200_000) -> DataFrame:
+    """``rows`` with ``place``, their number from 0 by the columns ``order`` (nulls first).
+
+    Range partitions of about ``per_task`` rows are sorted on their own; a row's place is its number there and the sum
+    of the partitions before, one small row each. Rows that are equal in all of ``order`` come in any order.
+    """
+    parts = max(1, -(-rows.count() // per_task))
+    spread = rows.repartitionByRange(parts, *order) if parts > 1 else rows.coalesce(1)
+    held = stored(spread.sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")), name)
+    sums = held.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sums.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return held.join(before, "_part").withColumn("place", F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_part", "_at", "_before")

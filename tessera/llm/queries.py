@@ -18,6 +18,7 @@ from .op07_template_extract import extracted
 from .op08_embedding_dedup import near_vectors
 from .op09_packing import pack_documents
 from .op10_suffix_dedup import repeated_passages
+from .op11_manifest import audited
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,8 +63,13 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and check; every fifth one by the CRC-32 of its id was tampered with."""
+    return audited(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_token_orc, op3_quality_classifier, op4_decontamination, op5_minhash_near_dedup, op6_secret_scan, op7_template_extract, op8_embedding_near_dedup, op9_best_fit_packing, op10_suffix_array_dedup)}
+    return {f.__name__: f for f in (op1_license_scan, op2_token_orc, op3_quality_classifier, op4_decontamination, op5_minhash_near_dedup, op6_secret_scan, op7_template_extract, op8_embedding_near_dedup, op9_best_fit_packing, op10_suffix_array_dedup, op11_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
