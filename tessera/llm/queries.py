@@ -19,6 +19,8 @@ from .op08_embedding_dedup import near_vectors
 from .op09_packing import pack_documents
 from .op10_suffix_dedup import repeated_passages
 from .op11_manifest import audited
+from .op12_mixing import mixed, taken
+from .op13_whitening import whitened
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,8 +70,16 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audited(table(spark, sf_dir, "documents"))
 
 
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken(mixed(table(spark, sf_dir, "documents")))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_token_orc, op3_quality_classifier, op4_decontamination, op5_minhash_near_dedup, op6_secret_scan, op7_template_extract, op8_embedding_near_dedup, op9_best_fit_packing, op10_suffix_array_dedup, op11_merkle_manifest)}
+    return {f.__name__: f for f in (op1_license_scan, op2_token_orc, op3_quality_classifier, op4_decontamination, op5_minhash_near_dedup, op6_secret_scan, op7_template_extract, op8_embedding_near_dedup, op9_best_fit_packing, op10_suffix_array_dedup, op11_merkle_manifest, op12_source_mixing, op13_embedding_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
