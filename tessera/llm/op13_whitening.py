@@ -126,9 +126,9 @@ class Spectrum:
         return {"part": part, "n": self.n, "sums": self.sums.tolist(), "mean": self.mean.tolist(), "values": self.values.tolist(), "vectors": self.vectors.ravel().tolist()}
 
     @classmethod
-    def of(cls, row) -> Spectrum:
-        d = len(row.mean)
-        return cls(int(row.n), np.array(row.sums, np.int64), np.array(row.mean), np.array(row["values"] if isinstance(row, pd.Series) else row.values), np.array(row.vectors).reshape(d, d))
+    def of(cls, row) -> Spectrum:  # noqa: ANN001 - a row of Spark or pandas
+        mean = np.array(row["mean"], np.float64)
+        return cls(int(row["n"]), np.array(row["sums"], np.int64), mean, np.array(row["values"]), np.array(row["vectors"]).reshape(len(mean), -1))
 
 
 def matrix(column: pa.Array, d: int) -> np.ndarray:
@@ -162,7 +162,7 @@ def combined(parts: DataFrame, fan_in: int = FAN_IN) -> Spectrum:
     """The spectrum of all: groups of ``fan_in`` are merged at a time, and the last one comes to the driver (d^2 numbers)."""
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        every = [Spectrum.of(r) for _, r in rows.sort_values("part").iterrows()]
+        every = [Spectrum.of(r) for r in rows.sort_values("part").to_dict("records")]
         for other in every[1:]:
             every[0].merge(other)
         return pd.DataFrame([every[0].row(int(rows.part.min()) // fan_in)])
@@ -172,8 +172,7 @@ def combined(parts: DataFrame, fan_in: int = FAN_IN) -> Spectrum:
     while last:
         held = stored(held.groupBy(F.expr(f"part div {fan_in}").alias("to")).applyInPandas(merge, SPECTRUM), "spectra")
         last //= fan_in
-    row = held.first()
-    return Spectrum(row.n, np.array(row.sums, np.int64), np.array(row.mean), np.array(row["values"]), np.array(row.vectors).reshape(len(row.mean), -1))
+    return Spectrum.of(held.first())
 
 
 def projected_moment(fit: DataFrame, basis: np.ndarray, n: int, sums: np.ndarray) -> np.ndarray:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm.op13_whitening import Spectrum, rank_one, whitened
+from tessera.llm.op13_whitening import Spectrum, combined, rank_one, spectra, whitened
 
 ROWS = "vec_id long, embedding array<float>, label int"
 
@@ -44,6 +44,16 @@ def test_spectra_of_parts_combine():
     assert parts[0].n == 3000 and (parts[0].sums == x.sum(axis=0)).all()
 
 
+def test_spectra_of_many_tasks_combine_in_a_tree(spark):
+    rng = np.random.default_rng(6)
+    x = rng.integers(-40, 40, size=(500, 6)) + 1_000_000
+    fit = spark.createDataFrame([(row.tolist(),) for row in x], "x array<long>").repartition(11)
+    got = combined(spectra(fit, 6), fan_in=2)
+    scatter = np.cov(x.T.astype(float), bias=True) * len(x)
+    assert np.abs(got.vectors @ np.diag(got.values) @ got.vectors.T - scatter).max() < 1e-10 * np.abs(scatter).max()
+    assert got.n == 500 and (got.sums == x.sum(axis=0)).all()
+
+
 def held_to_plain(df, rows, d, k=16):
     """Deviations and explained shares are equal, whitened values up to the sign, or up to a turn within equal eigenvalues."""
     good = [(i, v) for i, v, _ in rows if v is not None and len(v) == d and all(c is not None and math.isfinite(c) for c in v)]
