@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .functions.text import contextual, question_request, shortened
 from .functions.vocab import label_of
 from .operators import audit, chunks, evaluate, golden, search, watch
+from .session import settled
 from .sources import index_store, readers
 
 
@@ -36,8 +37,9 @@ def source_sections(catalog: DataFrame, texts: DataFrame) -> tuple[DataFrame, Da
     return good.withColumnRenamed("section_name", "section"), faults
 
 
-def ingest(spark: SparkSession, catalog: DataFrame, folder: str, store: index_store.Store, subject: str | None = None, dry_run: bool = False, recreate: bool = False) -> tuple[dict[str, int], DataFrame]:
-    """Cuts the catalog's sources into chunks and upserts them; counts of each step, and what was left out with its reason.
+def ingest(spark: SparkSession, catalog: DataFrame, folder: str, store: index_store.Store, subject: str | None = None, dry_run: bool = False, recreate: bool = False, embedder: str = "hashed") -> tuple[dict[str, int], DataFrame]:
+    """Cuts the catalog's sources into chunks, upserts them and indexes what changed, terms and dense vectors in one pass; counts of
+    each step, and what was left out with its reason.
 
     A source or chunk that fails does not stop the others. ``dry_run`` writes nothing.
     """
@@ -52,8 +54,10 @@ def ingest(spark: SparkSession, catalog: DataFrame, folder: str, store: index_st
     rejects = faults.unionByName(bad.select("source_file", "matiere", "reason"))
     if dry_run:
         rows.write.format("noop").mode("overwrite").save()
-    elif not store.create(rows, recreate):
-        store.upsert(rows)
+    else:
+        if not store.create(rows, recreate):
+            store.upsert(rows)
+        indexed_points(store, embedder, recreate)
     counts = {"raw": raw.get["n"], "expanded": expanded.get["n"], "valid": valid.get["n"], "unique": unique.get["n"]}
     return counts | {"errors": rejects.count(), "points": 0 if dry_run else store.current().count()}, rejects
 
@@ -66,6 +70,11 @@ def indexed(store: index_store.Store) -> DataFrame:
     return rows.withColumn("chunk_id", F.xxhash64("point_id"))
 
 
+def indexed_points(store: index_store.Store, embedder: str = "hashed", anew: bool = False) -> int:
+    """Indexes the points that are new or changed; how many they are."""
+    return search.indexed_into(store.index(), indexed(store), "chunk_id", embedder, with_context(), anew)
+
+
 def with_context() -> Column:
     return contextual(label_of(F.col("matiere")), F.col("section"), F.col("text"))
 
@@ -74,7 +83,7 @@ def query(store: index_store.Store, text: str, top_k: int = search.TOP_K, full:
     """(rank, score, matiere, niveau, section, text): the best chunks for one question, texts cut to 250 characters unless ``full``."""
     own = indexed(store)
     one = store.spark.createDataFrame([(0, text)], "query_id long, text string")
-    hits = search.hybrid_search(one, own, "query_id", "chunk_id", top_k, facets=facets, context=with_context(), **options)
+    hits = search.hybrid_search(one, store.index(), "query_id", "chunk_id", top_k, facets=facets, **options)
     shown = search.with_payload(hits, own, "chunk_id")
     return shown.select("rank", F.round("score", 4).alias("score"), "matiere", "niveau", "section", (F.col("text") if full else shortened(F.col("text"))).alias("text")).orderBy("rank")
 
@@ -87,9 +96,9 @@ def run_evaluation(store: index_store.Store, questions: DataFrame, top_k: int =
     for c, kind in (("matiere", "string"), ("niveau", "string"), ("expected_keywords", "array<string>"), ("gold_chunk_id", "string")):
         if c not in questions.columns:
             questions = questions.withColumn(c, F.lit(None).cast(kind))
-    asked = questions.withColumn("query_id", F.xxhash64("query", "matiere", "niveau", "gold_chunk_id")).dropDuplicates(["query_id"])
+    asked = settled(questions.withColumn("query_id", F.monotonically_increasing_id()))  # every question counts, also one asked twice
     own = indexed(store)
-    hits = search.hybrid_search(asked.withColumn("text", F.col("query")), own, "query_id", "chunk_id", top_k, within=("matiere", "niveau"), context=with_context(), **options)
+    hits = search.hybrid_search(asked.withColumn("text", F.col("query")), store.index(), "query_id", "chunk_id", top_k, within=("matiere", "niveau"), **options)
     found = search.with_payload(hits, own.select("chunk_id", "point_id", "text"), "chunk_id").select("query_id", "rank", F.col("point_id").alias("id"), "text")
     scores = evaluate.verdict(evaluate.question_scores(asked.withColumnRenamed("gold_chunk_id", "gold_id"), found))
     rolled = evaluate.summary(scores, by)
@@ -123,7 +132,10 @@ def audit_coverage(spark: SparkSession, catalog: DataFrame, folder: str, store:
 
 def migrate(old: index_store.Store, new: index_store.Store, recreate: bool = False) -> bool:
     """The current points of one store in another, cut and indexed anew; tells whether it wrote."""
-    return new.create(indexed(old).drop("chunk_id"), recreate)
+    wrote = new.create(indexed(old).drop("chunk_id"), recreate)
+    if wrote:
+        indexed_points(new, anew=True)
+    return wrote
 
 
 def watch_run(spark: SparkSession, current: DataFrame, state: str, out: str, modified: str | None = None, known_modified: str | None = None, force: bool = False) -> int:

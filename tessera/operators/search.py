@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fnv1a, tokens
 from ..functions.vectors import hashed_vectors
-from .chunks import faceted
+from ..session import fresh_path
+from ..sources.postings import InvertedIndex
 
 TOP_K, PREFETCH_FACTOR, PREFETCH_LEAST, RRF_K = 5, 4, 20, 60
-SCORERS, FUSIONS, MODES = ("tf_idf", "bm25"), ("rrf", "dbsf"), ("hybrid", "dense", "sparse")
+SCORERS, FUSIONS, MODES = ("tf_idf", "bm25", "learned"), ("rrf", "dbsf"), ("hybrid", "dense", "sparse")
 #: Learned sparse weights (``learned_terms``) only make sense together with the dense model of the same name.
 PAIRED_SPARSE = {"learned": "learned"}
 
@@ -53,47 +55,50 @@ def ranked(scores: DataFrame, query: str, doc: str, k: int) -> DataFrame:
     return scores.withColumn("score", F.round("score", 6)).withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= k)
 
 
-#: Up to so many terms of the queries are broadcast (about 100 bytes each); more are shuffled.
-MOST_BROADCAST = 1_000_000
+def index_of(docs: DataFrame, doc: str = "doc_id", facets: tuple[str, ...] = (), dense: bool = False, embedder: str = "hashed", context: Column | None = None, folder: str | None = None) -> InvertedIndex:
+    """The documents (doc, text, facets) in an index in ``folder``, or in a new one in the shared folder; see ``indexed_into``."""
+    spark = docs.sparkSession
+    index = InvertedIndex(spark, folder or fresh_path(spark, "index"), facets, dense)
+    indexed_into(index, docs, doc, embedder, context)
+    return index
 
 
-def sparse_scores(queries: DataFrame, docs: DataFrame, query: str = "item_id", doc: str = "doc_id", scorer: str = "tf_idf", k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(query, doc, score) for every pair that shares a term.
+def indexed_into(index: InvertedIndex, docs: DataFrame, doc: str = "doc_id", embedder: str = "hashed", context: Column | None = None, anew: bool = False) -> int:
+    """Adds the documents that an index lacks, with their dense vectors where it has such; how many they are.
 
-    ``tf_idf`` sums query tf * idf * document tf, without saturation or length normalisation; ``bm25`` has both.
-    The distinct tokens of the documents are hashed once; those whose hash is a term of a query are kept before
-    documents' tokens are counted, so that postings of other terms never exist.
+    The hashed embedder is part of the pass over the texts. Any other is called once for each distinct ``context`` (the text by
+    default) that is not in the index's table of vectors by digest, and gives learned weights in the same call if it has such.
+    """
+    if not index.dense or embedder == "hashed":
+        return index.add(docs, doc, context, anew)
+    new = docs.where(F.col(doc).isNotNull())
+    own = new.withColumn("_context", F.col("text") if context is None else context).withColumn("_digest", F.sha2(F.concat_ws("|", F.lit(embedder), "_context"), 256))
+    wanted = own.where("_context IS NOT NULL").select("_digest", F.col("_context").alias("text")).dropDuplicates(["_digest"])
+    known = index.vector_table()
+    if known is not None:
+        wanted = wanted.join(known.select("_digest"), "_digest", "left_anti")
+    numbered = wanted.withColumn("_key", F.xxhash64("_digest"))
+    made = embedded(numbered, "_key", embedder)
+    index.keep_vectors(numbered.select("_digest", "_key").join(made, "_key").drop("_key"))
+    return index.add(own.join(index.vector_table(), "_digest", "left").drop("_digest", "_context"), doc, context, anew)
+
+
+def sparse_top(queries: DataFrame, docs: DataFrame | InvertedIndex, k: int = TOP_K, query: str = "item_id", doc: str = "doc_id", within: tuple[str, ...] = (), scorer: str = "tf_idf", facets: dict[str, str] | None = None, **options) -> DataFrame:
+    """The ``k`` best documents for each query; a query that names a value of a column of ``within`` gets only those that have it.
+
+    ``tf_idf`` sums query tf * idf * document tf, without saturation or length normalisation; ``bm25`` has both; ``learned``
+    takes the weights of a learned model for the tfs. Documents that are no index yet are indexed first.
     """
     if scorer not in SCORERS:
         raise ValueError(f"unknown scorer {scorer}; there are {', '.join(SCORERS)}")
-    own = term_counts(queries, [query]).withColumnRenamed("tf", "q_tf")
-    asked = own.select("term_id").distinct()
-    small = asked.count() <= MOST_BROADCAST
-    vocabulary = docs.select(F.explode(tokens(F.col("text"))).alias("token")).distinct().select("token", fnv1a(F.col("token")).alias("term_id"))
-    wanted = vocabulary.join(F.broadcast(asked) if small else asked, "term_id", "left_semi")
-    words = tokens(F.col("text"))
-    split = docs.select(doc, words.alias("_words"))  # a step of its own, so that a text is cut once
-    rows = split.select(doc, F.size("_words").alias("dl"), F.explode("_words").alias("token")).join(F.broadcast(wanted) if small else wanted, "token")
-    postings = rows.groupBy(doc, "dl", "term_id").agg(F.count("*").alias("tf"))
-    n_docs, mean = docs.agg(F.count_distinct(doc), F.avg(F.size(words)) if scorer == "bm25" else F.lit(None)).first()
-    idf = postings.groupBy("term_id").agg(F.log(1 + (F.lit(n_docs) - F.count("*") + 0.5) / (F.count("*") + 0.5)).alias("idf"))
-    weights = own.join(idf, "term_id").select(query, "term_id", (F.col("q_tf") * F.col("idf")).alias("w"))
-    tf = F.col("tf")
-    if scorer == "bm25":
-        tf = tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / F.lit(float(mean or 1.0))))
-    return postings.join(weights, "term_id").groupBy(query, doc).agg(F.sum(F.col("w") * tf).alias("score"))
-
-
-def sparse_top(queries: DataFrame, docs: DataFrame, k: int = TOP_K, query: str = "item_id", doc: str = "doc_id", within: tuple[str, ...] = (), **options) -> DataFrame:
-    """The ``k`` best documents for each query; a query that names a value of a column of ``within`` gets only those that have it."""
-    scores = sparse_scores(queries, docs, query, doc, **options)
-    if within:
-        asked = queries.select(query, *(F.nullif(c, F.lit("")).alias(f"_{c}") for c in within))
-        scores = scores.join(asked, query).join(docs.select(doc, *within), doc)
-        for c in within:
-            scores = scores.where(F.col(f"_{c}").isNull() | (F.col(f"_{c}") == F.col(c)))
-        scores = scores.select(query, doc, "score")
-    return ranked(scores, query, doc, k)
+    named = tuple(dict.fromkeys([*within, *(facets or {})]))
+    index = docs if isinstance(docs, InvertedIndex) else index_of(docs, doc, named)
+    return ranked(index.top(queries, k, query, doc, bm25=scorer == "bm25", facets=facets, within=within, **options), query, doc, k)
+
+
+def comparable() -> Column:
+    """Whether a row's embedding is a vector that can be compared: with components, all of them finite."""
+    return F.expr("embedding IS NOT NULL AND size(embedding) > 0 AND forall(embedding, c -> c IS NOT NULL AND NOT isnan(c) AND abs(c) < double('infinity'))")
 
 
 def dense_top(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, block: int = 2000, query: str = "query_id", doc: str = "vec_id", same_ids: bool = True, within: tuple[str, ...] = ()) -> DataFrame:
@@ -101,11 +106,17 @@ def dense_top(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, block: int
     the vector of the query's own id is left out. A query that names a value of a column of ``within`` gets only vectors that have it.
 
     Queries (query, embedding) go to the tasks in blocks of ``block``; a task keeps the best ``k`` of its rows
-    for each query, so what is shuffled doesn't grow with the vectors of a task. Null and zero vectors are left out.
+    for each query, so what is shuffled doesn't grow with the vectors of a task. Null and zero vectors, those with null or
+    non-finite components and those of another length than the query's are left out.
     """
+    lengths = [r[0] for r in queries.where(comparable()).select(F.size("embedding").alias("d")).distinct().collect()]
+    if len(lengths) > 1:
+        parts = [dense_top(queries.where(F.size("embedding") == d), vectors, k, block, query, doc, same_ids, within) for d in sorted(lengths)]
+        return reduce(DataFrame.unionByName, parts)
+    own_length = comparable() & (F.size("embedding") == F.lit(lengths[0] if lengths else 0))
     n, out = queries.count(), None
     blocks = max(1, -(-n // block))
-    numbered = queries.where("embedding IS NOT NULL").select(F.col(query).cast("long").alias("id"), "embedding", F.array(*(F.coalesce(F.when(F.col(c) != "", F.xxhash64(c)), F.lit(0)) for c in within)).cast("array<long>").alias("want"), F.pmod(F.xxhash64(query), F.lit(blocks)).alias("block"))
+    numbered = queries.where(own_length).select(F.col(query).cast("long").alias("id"), "embedding", F.array(*(F.coalesce(F.when(F.col(c) != "", F.xxhash64(c)), F.lit(0)) for c in within)).cast("array<long>").alias("want"), F.pmod(F.xxhash64(query), F.lit(blocks)).alias("block"))
     has = F.array(*(F.xxhash64(c) for c in within)).cast("array<long>").alias("has")
     schema = f"{query} long, {doc} long, score double"
     for i in range(blocks):
@@ -135,7 +146,7 @@ def dense_top(queries: DataFrame, vectors: DataFrame, k: int = TOP_K, block: int
                 held_s, held_v = np.take_along_axis(held_s, keep, 1), np.take_along_axis(held_v, keep, 1)
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, held_s.shape[1])), pa.array(held_v.ravel()), pa.array(held_s.ravel())], [query, doc, "score"])
 
-        part = vectors.where("embedding IS NOT NULL").select(F.col(doc).cast("long").alias("vec"), "embedding", has).mapInArrow(best, schema).where("score > -2")
+        part = vectors.where(own_length).select(F.col(doc).cast("long").alias("vec"), "embedding", has).mapInArrow(best, schema).where("score > -2")
         out = part if out is None else out.unionByName(part)
     if out is None:
         out = queries.sparkSession.createDataFrame([], schema)
@@ -173,30 +184,34 @@ def hybrid_top(legs: list[DataFrame], query: str, doc: str, top_k: int = TOP_K,
     return ranked(fused([leg.where(F.col("rank") <= limit) for leg in legs], query, doc, fusion), query, doc, top_k)
 
 
-def hybrid_search(queries: DataFrame, chunks: DataFrame, query: str = "item_id", doc: str = "doc_id", top_k: int = TOP_K, fusion: str = "rrf", mode: str = "hybrid", embedder: str = "hashed", sparse_method: str = "tf_idf", facets: dict[str, str] | None = None, within: tuple[str, ...] = (), context: Column | None = None) -> DataFrame:
+def hybrid_search(queries: DataFrame, chunks: DataFrame | InvertedIndex, query: str = "item_id", doc: str = "doc_id", top_k: int = TOP_K, fusion: str = "rrf", mode: str = "hybrid", embedder: str = "hashed", sparse_method: str = "tf_idf", facets: dict[str, str] | None = None, within: tuple[str, ...] = (), context: Column | None = None) -> DataFrame:
     """(query, doc, score, rank): the best ``top_k`` chunks for each query (query, text).
 
     Facets cut the chunks (doc, text, matiere, niveau, cycle) before both legs; columns named in ``within`` do so query by
-    query, where the query has a value there. ``mode`` is hybrid, dense or sparse. The dense leg
-    embeds ``context`` (the chunk's text by default) by the registered ``embedder``; ``sparse_method`` is tf_idf or bm25. Each
-    leg goes as deep as the prefetch limit.
+    query, where the query has a value there. ``mode`` is hybrid, dense or sparse. The dense leg searches the vectors of
+    ``context`` (the chunk's text by default) by the registered ``embedder``; ``sparse_method`` is tf_idf, bm25 or learned. Each
+    leg goes as deep as the prefetch limit. Chunks that are no index yet are indexed first.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode}; there are {', '.join(MODES)}")
     check_models(embedder, sparse_method)
-    own, limit, legs = faceted(chunks, **(facets or {})), prefetch_limit(top_k), []
+    limit, legs, learned = prefetch_limit(top_k), [], sparse_method == "learned"
+    if isinstance(chunks, InvertedIndex):
+        index = chunks
+    else:
+        named = tuple(dict.fromkeys([*within, *(facets or {})]))
+        index = index_of(chunks, doc, named, mode != "sparse" or learned, embedder, context)
+    asked = embedded(queries, query, embedder) if mode != "sparse" or learned else None
+    if within and asked is not None:
+        asked = asked.join(queries.select(query, *within), query)
     if mode != "dense":
-        legs.append(sparse_top(queries, own, limit, query=query, doc=doc, within=within, scorer=sparse_method))
+        legs.append(sparse_top(asked if learned else queries, index, limit, query=query, doc=doc, within=within, scorer=sparse_method, facets=facets))
     if mode != "sparse":
-        texts = own.select(doc, (F.col("text") if context is None else context).alias("text"))
-        asked, held = embedded(queries, query, embedder), embedded(texts, doc, embedder)
-        if within:
-            asked, held = asked.join(queries.select(query, *within), query), held.join(own.select(doc, *within), doc)
-        legs.append(dense_top(asked, held, limit, query=query, doc=doc, same_ids=False, within=within))
+        legs.append(dense_top(asked, index.vectors(doc, facets), limit, query=query, doc=doc, same_ids=False, within=within))
     return hybrid_top(legs, query, doc, top_k, fusion) if len(legs) > 1 else legs[0].where(F.col("rank") <= top_k)
 
 
-#: Embedders by name: each takes (rows, key) with a text column and gives (key, embedding), a batch of rows at a time.
+#: Embedders by name: each takes (rows, key) with a text column and gives (key, embedding), and weights of terms if it has such.
 EMBEDDERS: dict[str, Callable[[DataFrame, str], DataFrame]] = {"hashed": lambda rows, key: hashed_vectors(term_counts(rows, [key]), key)}
 
 
@@ -207,16 +222,25 @@ def embedded(rows: DataFrame, key: str, embedder: str = "hashed") -> DataFrame:
     return EMBEDDERS[embedder](rows.select(key, "text"), key)
 
 
-def model_embedder(encode: Callable[[list[str]], np.ndarray], batch: int = 64) -> Callable[[DataFrame, str], DataFrame]:
-    """An embedder from a function that encodes a list of texts; each task calls it with ``batch`` texts at once. Null texts go."""
+def model_embedder(encode: Callable, batch: int = 64, sparse: bool = False) -> Callable[[DataFrame, str], DataFrame]:
+    """An embedder from a function that encodes a list of texts; each task calls it with ``batch`` texts at once. Null texts go.
+
+    ``encode`` gives a matrix, or with ``sparse`` a pair: the matrix, and for each text a map of token ids to learned weights.
+    """
 
     def embed(rows: DataFrame, key: str) -> DataFrame:
+        kinds = pa.schema([(key, pa.int64()), ("embedding", pa.list_(pa.float64())), *([("weights", pa.map_(pa.int64(), pa.float64()))] if sparse else [])])
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in (whole.slice(i, batch) for whole in batches for i in range(0, whole.num_rows, batch)):
-                x = np.asarray(encode(b.column("text").to_pylist()), np.float64)
-                yield pa.RecordBatch.from_arrays([b.column(key), pa.array(list(x), pa.list_(pa.float64()))], [key, "embedding"])
-
-        return rows.where("text IS NOT NULL").select(F.col(key).cast("long"), "text").mapInArrow(run, f"{key} long, embedding array<double>")
+                made = encode(b.column("text").to_pylist())
+                dense, weights = made if sparse else (made, None)
+                cols = [b.column(key), pa.array(list(np.asarray(dense, np.float64)), pa.list_(pa.float64()))]
+                if sparse:
+                    cols.append(pa.array([[(int(t), float(w)) for t, w in own.items()] for own in weights], pa.map_(pa.int64(), pa.float64())))
+                yield pa.RecordBatch.from_arrays(cols, schema=kinds)
+
+        return rows.where("text IS NOT NULL").select(F.col(key).cast("long"), "text").mapInArrow(run, f"{key} long, embedding array<double>" + (", weights map<long,double>" if sparse else ""))
 
     return embed
 

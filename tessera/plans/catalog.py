@@ -104,12 +104,12 @@ def idf_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {TF_IDF_SQL} {rank_sql('scores', 'item_id', 'doc_id', 5)}")
 def sparse_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.sparse_top(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+    return search.sparse_top(table(spark, sf_dir, "benchmark"), views.index(spark, sf_dir))
 
 
 @query(f"WITH {BM25_SQL} {rank_sql('scores', 'item_id', 'doc_id', 5)}")
 def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.sparse_top(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), scorer="bm25")
+    return search.sparse_top(table(spark, sf_dir, "benchmark"), views.index(spark, sf_dir), scorer="bm25")
 
 
 @query(f"WITH scores AS (SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM embeddings a, embeddings b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id) {rank_sql('scores', 'query_id', 'vec_id', 5)}")
@@ -137,8 +137,7 @@ RRF_SQL = "fused AS (SELECT item_id, doc_id, round(sum(1 / (60.0::DOUBLE + rank)
 
 def hybrid(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """Hybrid search of the benchmark's texts; the dense leg is over hashed vectors of texts with their context."""
-    context = text.contextual(vocab.label_of(F.col("matiere")), F.col("section"), F.col("text"))
-    return search.hybrid_search(table(spark, sf_dir, "benchmark"), views.chunks(spark, sf_dir), context=context, **options)
+    return search.hybrid_search(table(spark, sf_dir, "benchmark"), views.index(spark, sf_dir), **options)
 
 
 @query(f"WITH {LEGS_SQL}, {RRF_SQL} {rank_sql('fused', 'item_id', 'doc_id', 5)}")
@@ -259,7 +258,7 @@ def scores_of_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of the benchmark's questions for BM25; the gold is the first document that holds an item's text."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     gold = golden.holders(items.select(F.col("item_id").alias("query_id"), "text"), docs).groupBy("query_id").agg(F.min("doc_id").cast("string").alias("gold_id"))
-    hits = search.sparse_top(items, docs, scorer="bm25")
+    hits = search.sparse_top(items, views.index(spark, sf_dir), scorer="bm25")
     hits = search.with_payload(hits, docs.select("doc_id", "text"), "doc_id").select(F.col("item_id").alias("query_id"), "rank", F.col("doc_id").cast("string").alias("id"), "text")
     return evaluate.question_scores(views.questions(spark, sf_dir).join(gold, "query_id", "left"), hits)
 

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.vocab import LEVELS
+from ..functions.text import contextual
+from ..functions.vocab import LEVELS, label_of
+from ..operators.search import index_of
 from ..session import table
+from ..sources.postings import InvertedIndex
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +28,21 @@ CHUNKS_SQL = """chunks AS (SELECT doc_id, text,
   lang AS section, doc_id::INT AS chunk_index FROM documents)"""
 
 
+_INDEXES: dict[tuple, InvertedIndex] = {}
+
+
+def index(spark: SparkSession, sf_dir: str) -> InvertedIndex:
+    """The index of the chunks, with vectors of their contexts; made once for a session and the table's present files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/documents.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    stamp = tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files.listStatus(path))
+    key = (spark.sparkContext.applicationId, sf_dir, stamp)
+    if key not in _INDEXES:
+        context = contextual(label_of(F.col("matiere")), F.col("section"), F.col("text"))
+        _INDEXES[key] = index_of(chunks(spark, sf_dir), "doc_id", ("matiere", "niveau", "source_file"), dense=True, context=context)
+    return _INDEXES[key]
+
+
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items as questions: their rarest tokens are keywords, the first document that holds an item is its gold."""
     from ..operators.golden import keyword_guesses

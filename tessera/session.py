@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,16 +19,27 @@ def session(app: str = "tessera", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode, where that is unset, a temporary one."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        at = "file://" + tempfile.mkdtemp(prefix="tessera-shared-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at.rstrip("/")
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/tessera/{name}-{uuid.uuid4().hex}"
+
+
 def settled(rows: DataFrame) -> DataFrame:
-    """``rows`` computed once and written to the checkpoint folder, which all executors share: spark.checkpoint.dir, or in local
-    mode a temporary one."""
-    spark = rows.sparkSession
-    context = spark.sparkContext
+    """``rows`` computed once and written to the checkpoint folder, which all executors share."""
+    context = rows.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        at = spark.conf.get("spark.checkpoint.dir", None)
-        if not at and not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        context.setCheckpointDir(at or tempfile.mkdtemp(prefix="tessera-checkpoints-"))
+        context.setCheckpointDir(shared_folder(rows.sparkSession))
     return rows.checkpoint()
 
 

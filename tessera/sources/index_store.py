@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import point_id
+from .postings import InvertedIndex
 
 
 def points(chunks: DataFrame) -> DataFrame:
@@ -38,6 +39,10 @@ class Store:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
 
+    def index(self) -> InvertedIndex:
+        """The postings and dense vectors of the points, by chunk_id (a hash of the point's id)."""
+        return InvertedIndex(self.spark, f"{self.folder}/index", self.FACETS, dense=True)
+
     def snapshots(self) -> list[str]:
         """Names of the complete snapshots, in order."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path
