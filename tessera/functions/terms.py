@@ -40,9 +40,18 @@ class Terms:
         return len(tokens), out
 
 
+    def in_context(self, context: str, text: str | None, counts: dict[int, int] | None) -> dict[int, int]:
+        """The counts of a context; where it is something and then, on a line of its own, the text with these ``counts``, that is read only."""
+        if not text or counts is None or not context.endswith(text) or context[: -len(text)][-1:] not in ("", "\n"):
+            return self.counts(context)[1]
+        out = self.counts(context[: -len(text)])[1]
+        for term, n in counts.items():
+            out[term] = out.get(term, 0) + n
+        return out
+
+
 def hashed_vector(counts: dict[int, int], dims: int = 64) -> list[float] | None:
     """Signed feature hashing of term counts, as ``vectors.hashed_vectors`` has it; None where nothing is left."""
-    out = np.zeros(dims)
-    for term, n in counts.items():
-        out[term % dims] += n if term // dims % 2 == 0 else -n
+    terms, n = np.fromiter(counts.keys(), np.int64, len(counts)), np.fromiter(counts.values(), np.float64, len(counts))
+    out = np.bincount(terms % dims, np.where(terms // dims % 2 == 0, n, -n), dims)
     return out.tolist() if out.any() else None

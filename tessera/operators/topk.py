@@ -10,10 +10,18 @@ import numpy as np
 BLOCK, MARGIN = 128, 2e-6
 
 
-def block_bounds(tfs: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The greatest weight and the least length of a document in each block of a term's postings."""
-    starts = np.arange(0, len(tfs), BLOCK)
-    return np.maximum.reduceat(tfs, starts), np.minimum.reduceat(lengths, starts)
+def block_bounds(tfs: np.ndarray, lengths: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The greatest weight and the least length of a document in each block of postings, and where the blocks of each term begin.
+
+    ``terms`` says where a term's postings begin; a block never holds two terms.
+    """
+    if not len(tfs):
+        return np.empty(0), np.empty(0), np.zeros(1, np.int64)
+    sizes = np.diff(np.append(terms, len(tfs)))
+    blocks = -(-sizes // BLOCK)
+    cuts = np.append(0, np.cumsum(blocks))
+    starts = np.repeat(terms, blocks) + (np.arange(cuts[-1]) - np.repeat(cuts[:-1], blocks)) * BLOCK
+    return np.maximum.reduceat(tfs, starts), np.minimum.reduceat(lengths, starts), cuts
 
 
 @dataclass

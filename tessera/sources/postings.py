@@ -21,7 +21,7 @@ from ..functions.terms import Terms, hashed_vector
 from ..operators.topk import Scorer, Shard, block_bounds
 
 #: Postings of a shard, which one task builds and searches, and of a bucket, which one task writes.
-PER_SHARD, PER_BUCKET = 4_000_000, 16_000_000
+PER_SHARD, PER_BUCKET = 1_000_000, 16_000_000
 #: Queries that go to the tasks at a time.
 QUERIES = 2000
 PARSED = "doc long, length long, terms array<long>, tfs array<double>, embedding array<double>, facets array<string>, digest long"
@@ -46,18 +46,24 @@ def parsed(docs: DataFrame, dense: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Terms()
         for b in (whole.slice(i, 1000) for whole in batches for i in range(0, whole.num_rows, 1000)):
-            rows = []
-            for r in b.to_pylist():
-                if r["weights"] is not None:
-                    counts = {int(t): float(w) for t, w in r["weights"] if w is not None and w > 0}
+            cols = {c: b.column(c).to_pylist() for c in ("text", "context", "weights", "embedding")}
+            lengths, cuts, terms, tfs, vectors = [], [0], [], [], []
+            for text, context, weights, vector in zip(*cols.values(), strict=True):
+                if weights is not None:
+                    counts = {int(t): float(w) for t, w in weights if w is not None and w > 0}
                     length = len(counts)
                 else:
-                    length, counts = own.counts(r["text"])
-                vector = r["embedding"]
-                if dense and vector is None and r["context"]:
-                    vector = hashed_vector(own.counts(r["context"])[1])
-                rows.append({"doc": r["doc"], "length": length, "terms": list(counts), "tfs": [float(n) for n in counts.values()], "embedding": vector, "facets": r["facets"], "digest": r["digest"]})
-            yield pa.RecordBatch.from_pylist(rows, schema=PARSED_ARROW)
+                    length, counts = own.counts(text)
+                if dense and vector is None and context:
+                    vector = hashed_vector(own.in_context(context, text, counts if weights is None else None))
+                lengths.append(length)
+                terms += counts.keys()
+                tfs += counts.values()
+                cuts.append(len(terms))
+                vectors.append(vector)
+            cuts = pa.array(cuts, pa.int32())
+            lists = pa.ListArray.from_arrays(cuts, pa.array(np.array(terms, np.int64))), pa.ListArray.from_arrays(cuts, pa.array(np.array(tfs, np.float64)))
+            yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(lengths, pa.int64()), *lists, pa.array(vectors, pa.list_(pa.float64())), b.column("facets"), b.column("digest")], schema=PARSED_ARROW)
 
     return docs.mapInArrow(run, PARSED)
 
@@ -78,15 +84,14 @@ def built(rows: pa.Table) -> pa.Table:
     terms, tfs, places = terms[by], tfs[by], places[by]
     starts = np.flatnonzero(np.append(True, terms[1:] != terms[:-1])) if len(terms) else np.empty(0, np.int64)
     ends = np.append(starts[1:], len(terms))
-    bounds = [block_bounds(tfs[s:e], lengths[places[s:e]]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+    top_tf, low_length, block_cuts = block_bounds(tfs, lengths[places], starts)
 
     def lists(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, kind))
 
     n, m = len(starts), rows.num_rows
-    cuts, block_cuts = np.append(starts, len(terms)), np.cumsum([0, *(len(x) for x, _ in bounds)])
-    both = [np.concatenate(x) if n else np.empty(0) for x in zip(*bounds, strict=True)] if n else [np.empty(0), np.empty(0)]
-    postings = {"shard": pa.array(np.full(n, shard, np.int32)), "term": pa.array(terms[starts] if n else [], pa.int64()), "n": pa.array(ends - starts, pa.int64()), "docs": lists(places, cuts, pa.int32()), "tfs": lists(tfs, cuts, pa.float64()), "top_tf": lists(both[0], block_cuts, pa.float64()), "low_length": lists(both[1].astype(np.int32), block_cuts, pa.int32())}
+    cuts = np.append(starts, len(terms))
+    postings = {"shard": pa.array(np.full(n, shard, np.int32)), "term": pa.array(terms[starts] if n else [], pa.int64()), "n": pa.array(ends - starts, pa.int64()), "docs": lists(places, cuts, pa.int32()), "tfs": lists(tfs, cuts, pa.float64()), "top_tf": lists(top_tf, block_cuts, pa.float64()), "low_length": lists(low_length.astype(np.int32), block_cuts, pa.int32())}
     own = {"shard": pa.array(np.full(m, shard, np.int32)), "doc": rows.column("doc").combine_chunks(), "place": pa.array(np.arange(m, dtype=np.int32)), "length": rows.column("length").combine_chunks(), "embedding": rows.column("embedding").combine_chunks(), "facets": rows.column("facets").combine_chunks(), "digest": rows.column("digest").combine_chunks()}
 
     def full(cols: dict[str, pa.Array], size: int) -> pa.Table:

@@ -147,7 +147,7 @@ def test_blocks_below_the_kth_score_are_not_scored():
     lists = {1: np.sort(rng.choice(n, 40, replace=False)), 2: np.arange(n), 3: np.sort(rng.choice(n, 9000, replace=False))}
     tfs = {t: rng.integers(1, 4, len(d)).astype(np.float64) for t, d in lists.items()}
     for t, d in lists.items():
-        shard.add(t, d, tfs[t], *block_bounds(tfs[t], lengths[d]))
+        shard.add(t, d, tfs[t], *block_bounds(tfs[t], lengths[d], np.zeros(1, np.int64))[:2])
     weights = {1: 9.0, 2: 0.01, 3: 0.4}
     ids, scores = shard.top(weights, 5)
     every = np.zeros(n)
@@ -156,7 +156,9 @@ def test_blocks_below_the_kth_score_are_not_scored():
     best = np.lexsort((np.arange(n), -np.round(every, 6)))[:5]
     assert (ids == best * 3).all() and np.allclose(scores, np.round(every[best], 6))
     assert shard.work.scored < shard.work.postings / 100
-    assert len(block_bounds(tfs[2], lengths)[0]) == -(-n // BLOCK)
+    top, low, cuts = block_bounds(tfs[2], lengths, np.array([0, 7, 500]))
+    assert cuts.tolist() == [0, 1, 1 + -(-493 // BLOCK), 1 + -(-493 // BLOCK) + -(-(n - 500) // BLOCK)]
+    assert top[0] == tfs[2][:7].max() and low[-1] == lengths[500 + (n - 501) // BLOCK * BLOCK :].min()
 
 
 def test_learned_weights_and_vectors_come_from_one_call_and_are_kept(spark, tmp_path):
