@@ -110,14 +110,28 @@ def cut_out(text: str, spans: list[tuple[int, int, int]]) -> Iterator[str]:
     yield text[at:]
 
 
+def covered(spans: list[tuple[int, int, int]]) -> list[list[int]]:
+    """The stretches [start, end] that spans cover, in order and apart."""
+    out: list[list[int]] = []
+    for s, _, e in sorted(spans):
+        if out and s < out[-1][1]:
+            out[-1][1] = max(out[-1][1], e)
+        else:
+            out.append([s, e])
+    return out
+
+
 def all_spans(text: str, model: np.ndarray, threshold: float) -> list[tuple[int, int, int]]:
+    """The base spans, and the runs of key characters that touch none of them and are likely random; one sweep over both in order."""
     base = base_spans(text)
-    more = []
+    taken, i, more = covered(base), 0, []
     for m in CANDIDATE.finditer(text):
-        s = m.group()
-        if s.isalpha() or s.isdigit():
+        while i < len(taken) and taken[i][1] <= m.start():
+            i += 1
+        if i < len(taken) and taken[i][0] < m.end():
             continue
-        if not any(a < m.end() and m.start() < e for a, _, e in base) and mean_ratio(model, s) > threshold:
+        s = m.group()
+        if not s.isalpha() and not s.isdigit() and mean_ratio(model, s) > threshold:
             more.append((m.start(), 3, m.end()))
     return sorted(base + more)
 
@@ -134,8 +148,8 @@ def model_of(docs: DataFrame) -> np.ndarray:
 def scan_secrets(docs: DataFrame, threshold: float = 0.5, model: np.ndarray | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text) with all its secrets; spans are in code points of the whole text.
 
-    A null or empty text has none. A null doc_id stays null, repeated rows give repeated results, other columns
-    are not read.
+    A null or empty text has none; texts of any length are read whole, in time that grows with it. A null doc_id stays
+    null, repeated rows give repeated results, other columns are not read. An empty table gives no rows.
     """
     ratios = model_of(docs) if model is None else model
 
