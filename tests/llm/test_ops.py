@@ -416,7 +416,8 @@ def test_near_duplicates_equal_brute_force(spark):
     assert sum(mild[i] == find(i) for i in mild) > 0.9 * len(texts)
 
 
-def test_near_duplicates_equal_brute_force_with_the_weights_in_use(spark):
+@pytest.mark.parametrize("strength", [0.1, 1.0])
+def test_near_duplicates_equal_brute_force_with_the_weights_in_use(spark, strength):
     rng, texts = random.Random(21), []
     for _ in range(30):
         t = prose(rng, rng.randint(40, 150)).split()
@@ -426,14 +427,14 @@ def test_near_duplicates_equal_brute_force_with_the_weights_in_use(spark):
                 u[rng.randrange(len(u))] = rng.choice(VOCABULARY)
             texts.append(" ".join(u))
     docs = docs_of(spark, texts)
-    levels = idf_levels(document_frequencies(docs, 5), len(texts), 0.1)
+    levels = idf_levels(document_frequencies(docs, 5), len(texts), strength)
     sets = [weighted(shingles(word_hashes(t), 5), levels) for t in texts]
     up = list(range(len(texts)))
     links = [(i, j) for i in range(len(texts)) for j in range(i) if weighted_jaccard(sets[i], sets[j]) >= 0.8]
     for i, j in links:
         a, b = root(up, i), root(up, j)
         up[max(a, b)] = min(a, b)
-    got = {r.doc_id: r.class_id for r in near_duplicates(docs).collect()}
+    got = {r.doc_id: r.class_id for r in near_duplicates(docs, idf_strength=strength).collect()}
     assert len(links) > 20 and got == {i: root(up, i) for i in range(len(texts))}
 
 
