@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import ACCENTED, HEADING, PLAIN, mostly_upper, stripped, title_key, title_like, unwrapped
+from ..functions.text import HEADING, mostly_upper, stripped, title_key, title_like, unwrapped
 from .chunks import lines_of
+from .containment import held_terms
 
 
 def titles(texts: DataFrame, keys: list[str]) -> DataFrame:
@@ -35,89 +32,27 @@ def titles(texts: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def occurrences(terms: DataFrame, texts: DataFrame, group: str, term: str) -> DataFrame:
-    """(group, term, n): how often a term stands in the normalised texts of its group, parts of words included.
+    """(group, term, n): how often a term stands in the normalised texts of its group, parts of words included."""
+    own = terms.select(F.col(group).alias("g"), F.col(term).alias("term"), title_key(F.col(term)).alias("k")).distinct()
+    held = held_terms(own, texts.select(F.col(group).alias("g"), title_key(F.col("text")).alias("text")))
+    return own.join(held, ["g", "k"], "left").select(F.col("g").alias(group), F.col("term").alias(term), F.coalesce("n", F.lit(0)).alias("n"))
 
-    Terms (group, term) go to the tasks in blocks; each task sums over its texts, so a large group is no large task.
-    """
-    return coverage_counts(terms.select(group, F.col(term).alias("title"), F.lit("markdown").alias("source")), texts, group).select(group, F.col("title").alias(term), F.col("n"))
-
-
-def coverage_counts(wanted: DataFrame, texts: DataFrame, group: str, block: int = 50_000) -> DataFrame:
-    """(group, title, source, n, inside): occurrences of each normalised title, and whether some text of the group holds it or,
-    for three words or more, 70 % of its distinct words. A title without words is held by any text."""
-    n = wanted.count()
-    blocks, out = max(1, -(-n // block)), None
-    keyed = wanted.select(F.col(group).cast("string").alias("g"), "title", "source").distinct().withColumn("block", F.pmod(F.xxhash64("g", "title"), F.lit(blocks)))
-    fold = str.maketrans(ACCENTED, PLAIN)
-
-    def key(text: str) -> str:
-        return " ".join(re.sub(r"[^a-z0-9\s]", "", text.lower().translate(fold)).split())
-
-    for i in range(blocks):
-        rows = [(r.g, r.title, r.source) for r in keyed.where(F.col("block") == i).collect()]
-        shared = wanted.sparkSession.sparkContext.broadcast(rows)
-
-        def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            import ahocorasick
-
-            by: dict[str, tuple] = {}
-            for g, title, source in shared.value:
-                by.setdefault(g, []).append((title, source, key(title)))
-            ready = {}
-            for g, own in by.items():
-                auto, words = ahocorasick.Automaton(), {}
-                for i, (_, _, k) in enumerate(own):
-                    if k:
-                        auto.add_word(k, [*auto.get(k, []), i])
-                    for w in set(k.split()):
-                        words.setdefault(w, []).append(i)
-                if len(auto):
-                    auto.make_automaton()
-                ready[g] = (own, auto, words, [len(set(k.split())) for _, _, k in own])
-            sums = {g: [[0, False] for _ in own] for g, own in by.items()}
-            for b in batches:
-                for g, text in zip(b.column("g").to_pylist(), b.column("text").to_pylist(), strict=True):
-                    if g not in ready:
-                        continue
-                    own, auto, words, sizes = ready[g]
-                    k, total, last = key(text or ""), sums[g], {}
-                    for end, ids in auto.iter(k) if len(auto) else ():
-                        for i in ids:
-                            if end - len(own[i][2]) >= last.get(i, -1):  # occurrences don't overlap
-                                last[i] = end
-                                total[i][0] += 1
-                                total[i][1] = True
-                    shared_words: dict[int, int] = {}
-                    for w in set(k.split()):
-                        for i in words.get(w, ()):
-                            shared_words[i] = shared_words.get(i, 0) + 1
-                    for i, n in shared_words.items():
-                        if sizes[i] >= 3 and n >= sizes[i] * 0.7:
-                            total[i][1] = True
-                    for i, size in enumerate(sizes):
-                        if not size:
-                            total[i][1] = True
-            out = [(g, t, s, *x) for g, own in by.items() for (t, s, _), x in zip(own, sums[g], strict=True) if x[0] or x[1]]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.string(), pa.string(), pa.string(), pa.int64(), pa.bool_()))], ["g", "title", "source", "n", "inside"])
-
-        part = texts.select(F.col(group).cast("string").alias("g"), "text").mapInArrow(count, "g string, title string, source string, n long, inside boolean")
-        out = part if out is None else out.unionByName(part)
-    summed = out.groupBy("g", "title", "source").agg(F.sum("n").alias("n"), F.bool_or("inside").alias("inside"))
-    full = keyed.drop("block").join(summed, ["g", "title", "source"], "left")
-    return full.select(F.col("g").alias(group), "title", "source", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("inside", F.lit(False)).alias("inside"))
-
-
-def covered_titles(wanted: DataFrame, texts: DataFrame, group: str) -> DataFrame:
+
+def covered_titles(wanted: DataFrame, texts: DataFrame, group: str, share: float = 0.7) -> DataFrame:
     """(group, title, source, covered) for titles (group, title, source) against all texts (group, text) of the group.
 
     A title of one distinct word is covered by 1 occurrence (markdown) or 3 (heuristic), parts of words included; any
-    other where a text holds it, or 70 % of its words if it has three or more.
+    other where a text holds it, or ``share`` of its distinct words if it has three or more. A title without words is held by any text.
     """
-    counts = coverage_counts(wanted, texts, group)
-    one = F.size(F.array_distinct(F.split(title_key(F.col("title")), " "))) == 1
-    one = one & (title_key(F.col("title")) != "")
+    own = wanted.select(F.col(group).alias("g"), "title", "source", title_key(F.col("title")).alias("k")).distinct()
+    keyed = texts.select(F.col(group).alias("g"), title_key(F.coalesce("text", F.lit(""))).alias("text"))
+    held = held_terms(own, keyed, share, count_all=False)
+    some = keyed.select("g").distinct().withColumn("some", F.lit(True))
+    rows = own.join(held, ["g", "k"], "left").join(some, "g", "left")
+    one = (F.size(F.array_distinct(F.split("k", " "))) == 1) & (F.col("k") != "")
     need = F.when(F.col("source") == "markdown", 1).otherwise(3)
-    return counts.select(group, "title", "source", F.when(one, F.col("n") >= need).otherwise(F.col("inside")).alias("covered"))
+    inside = F.when(F.col("k") == "", F.col("some")).otherwise(F.col("inside"))
+    return rows.select(F.col("g").alias(group), "title", "source", F.when(one, F.coalesce("n", F.lit(0)) >= need).otherwise(F.coalesce(inside, F.lit(False))).alias("covered"))
 
 
 def coverage(sources: DataFrame, chunks: DataFrame, covered: DataFrame, group: str) -> DataFrame:

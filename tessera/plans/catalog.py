@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ids, text, vectors, vocab
-from ..operators import audit, evaluate, golden, search, stats, watch
+from ..operators import audit, containment, evaluate, golden, search, stats, watch
 from ..operators import chunks as ch
 from ..session import table
 from ..sources import index_store, readers
@@ -257,7 +257,7 @@ count(*) FILTER (all_keywords_found) AS n_all_found, count(*) FILTER (hits > 0)
 def scores_of_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of the benchmark's questions for BM25; the gold is the first document that holds an item's text."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    gold = golden.holders(items.select(F.col("item_id").alias("query_id"), "text"), docs).groupBy("query_id").agg(F.min("doc_id").cast("string").alias("gold_id"))
+    gold = containment.holders(items.select(F.col("item_id").alias("query_id"), "text"), docs).groupBy("query_id").agg(F.min("doc_id").cast("string").alias("gold_id"))
     hits = search.sparse_top(items, views.index(spark, sf_dir), scorer="bm25")
     hits = search.with_payload(hits, docs.select("doc_id", "text"), "doc_id").select(F.col("item_id").alias("query_id"), "rank", F.col("doc_id").cast("string").alias("id"), "text")
     return evaluate.question_scores(views.questions(spark, sf_dir).join(gold, "query_id", "left"), hits)
