@@ -12,6 +12,7 @@ from .functions.vocab import label_of
 from .operators import audit, chunks, evaluate, golden, search, watch
 from .session import settled
 from .sources import index_store, readers
+from .sources.state import Snapshots
 
 
 def source_sections(catalog: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -109,24 +110,34 @@ def run_evaluation(store: index_store.Store, questions: DataFrame, top_k: int =
 
 
 def make_questions(store: index_store.Store, target: int, ask: Callable[[str], str], subject: str | None = None, seed: int = 42, out: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Grounded questions on chunks sampled over subjects and levels, by a language model; and the answers left out, with a reason."""
+    """Grounded questions on chunks sampled over subjects and levels, by a language model; and the answers with a fault, which
+    are left out as repeated questions are."""
     rows = golden.candidates(chunks.faceted(indexed(store), matiere=subject))
     sample = golden.stratified_sample(rows, target, ["matiere", "niveau"], "point_id", seed)
     request = question_request(label_of(F.col("matiere")), F.col("niveau"), F.col("section"), F.col("text"))
-    answers = golden.model_answers(sample, ask, request).withColumn("fault", F.coalesce("fault", golden.question_fault()))
-    good = golden.distinct_questions(golden.grounded(answers.where("fault IS NULL")), ["point_id"])
+    answers = settled(golden.model_answers(sample, ask, request).withColumn("fault", F.coalesce("fault", golden.question_fault())))
+    held = settled(golden.grounded(answers.where("fault IS NULL")))
+    good = golden.distinct_questions(held, ["point_id"])
     if out:
         index_store.write_json(good.select("query", "matiere", "niveau", "expected_keywords", "gold_chunk_id", F.col("section").alias("gold_section"), F.col("source_file").alias("gold_source_file")), out)
-    return good, answers.where("fault IS NOT NULL").select("point_id", "fault")
+    lost = answers.where("fault IS NULL").select("point_id")
+    ungrounded = lost.join(held.select("point_id"), "point_id", "left_anti").withColumn("fault", F.lit("keywords not in the text"))
+    return good, answers.where("fault IS NOT NULL").select("point_id", "fault").unionByName(ungrounded)
 
 
 def audit_coverage(spark: SparkSession, catalog: DataFrame, folder: str, store: index_store.Store, subject: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """How much of the sources' titles and text the index holds, by subject; and the report's lines with the titles it lacks."""
-    sections, _ = source_sections(readers.chosen_sources(catalog, subject), readers.read_texts(spark, folder))
+    """How much of the sources' titles and text the index holds, by subject; and the report's lines with the titles it lacks.
+
+    A subject whose sources all fail has a row of zeros with a message.
+    """
+    chosen = readers.chosen_sources(catalog, subject)
+    sections, faults = source_sections(chosen, readers.read_texts(spark, folder))
     index = readers.indexed_texts(indexed(store), subject)
     titles = audit.titles(sections, ["source_file", "matiere"]).select("matiere", "title", "source").distinct()
     covered = audit.covered_titles(titles, index, "matiere")
-    rows = audit.coverage(sections, index, covered, "matiere")
+    rows = audit.coverage(sections, index, covered, "matiere").withColumn("message", F.lit(None).cast("string"))
+    lost = faults.join(sections.select("matiere").distinct(), "matiere", "left_anti").groupBy("matiere").agg(F.array_join(F.sort_array(F.collect_set(F.concat_ws(": ", "source_file", "reason"))), "; ").alias("message"))
+    rows = settled(rows.unionByName(lost, allowMissingColumns=True).fillna(0))
     return rows, audit.report(rows, "matiere").join(audit.missing_titles(covered, "matiere"), "matiere", "left")
 
 
@@ -138,17 +149,31 @@ def migrate(old: index_store.Store, new: index_store.Store, recreate: bool = Fal
     return wrote
 
 
-def watch_run(spark: SparkSession, current: DataFrame, state: str, out: str, modified: str | None = None, known_modified: str | None = None, force: bool = False) -> int:
-    """Writes the resources that changed since the state table, with the time, and moves the state on; how many there are."""
-    if modified is not None and watch.is_unchanged(modified, known_modified, force):
+def watch_run(spark: SparkSession, current: DataFrame, state: str, out: str, modified: str | None = None, known_modified: str | None = None, force: bool = False, issues: DataFrame | None = None) -> int:
+    """Writes what changed since the last run, with the time, and moves the state on; how many changes there are.
+
+    ``current`` are a data set's resources; they are passed over where ``modified``, when it was changed last, is what the state
+    (or ``known_modified``) says. ``issues`` are those of a gazette, whose texts on programmes count once each; forcing a run does
+    not change that.
+    """
+    held = Snapshots(spark, state)
+    about = held.about()
+    known, seen = held.read("known", watch.STATE), held.read("seen", "jorftext_id string")
+    found, datasets, gazette, after = Observation(), None, None, known
+    if modified is None or not watch.is_unchanged(modified, known_modified or about.get("modified"), force):
+        rows, about = watch.resources(current), about | ({"modified": modified} if modified is not None else {})
+        datasets = watch.changed(rows, known, force).withColumn("dataset_last_modified", F.lit(modified))
+        after = watch.next_state(known, rows)
+    if issues is not None:
+        texts = settled(watch.unseen(watch.nested_texts(issues), seen, "jorftext_id", ["jo_titre", "titre"]))
+        gazette = texts
+        seen = seen.unionByName(texts.select("jorftext_id"))
+    if datasets is None and gazette is None:
         return 0
-    seen = Observation()
-    rows, known = watch.resources(current), readers.read_state(spark, f"{state}/known", watch.STATE)
-    new = watch.changed(rows, known, force)
-    index_store.write_json(new.observe(seen, F.count(F.lit(1)).alias("n")), out)
-    watch.next_state(known, rows).write.mode("overwrite").parquet(f"{state}/next")
-    spark.read.parquet(f"{state}/next").write.mode("overwrite").parquet(f"{state}/known")
-    return seen.get["n"]
+    feed = watch.change_feed(datasets, gazette)
+    index_store.write_json(feed.observe(found, F.count(F.lit(1)).alias("n")), out)
+    held.write({"known": after, "seen": seen}, about)
+    return found.get["n"]
 
 
 def status(store: index_store.Store, facet: str = "matiere") -> DataFrame:

@@ -139,12 +139,6 @@ def divided(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")
 
 
-def embedding_texts(chunks: DataFrame) -> DataFrame:
-    """Distinct texts to embed, with their context: a chunk's levels share one."""
-    one = chunks.dropDuplicates(["source_file", "matiere", "section", "text"])
-    return one.select("source_file", "matiere", "section", "text", contextual(label_of(F.col("matiere")), F.col("section"), F.col("text")).alias("context"))
-
-
 def faceted(chunks: DataFrame, matiere: str | None = None, niveau: str | None = None, cycle: str | None = None) -> DataFrame:
     """The chunks of the given facets; one that is None or empty doesn't matter."""
     for column, value in (("matiere", matiere), ("niveau", niveau), ("cycle", cycle)):

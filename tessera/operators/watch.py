@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import short_digest
@@ -40,9 +40,44 @@ def unseen(items: DataFrame, seen: DataFrame, key: str, order: list[str]) -> Dat
     return items.join(seen.select(key).distinct(), key, "left_anti").withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
 
-def change_feed(datasets: DataFrame, gazette: DataFrame) -> DataFrame:
-    """Both kinds of change records as one table; fields of the other kind are null."""
-    return datasets.withColumn("source", F.lit("dataset")).unionByName(gazette.withColumn("source", F.lit("gazette")), allowMissingColumns=True)
+def change_feed(datasets: DataFrame | None, gazette: DataFrame | None) -> DataFrame:
+    """Change records of one or both kinds as one table; fields of the other kind are null."""
+    named = [rows.withColumn("source", F.lit(kind)) for rows, kind in ((datasets, "dataset"), (gazette, "gazette")) if rows is not None]
+    return named[0] if len(named) == 1 else named[0].unionByName(named[1], allowMissingColumns=True)
+
+
+#: What marks a part of a gazette as one on education, and its texts as ones on programmes (the last in lower case).
+ON_EDUCATION, ON_TEACHING, PROGRAMME = "ducation", "enseignement", "programme"
+
+
+def nested_texts(issues: DataFrame, marks: tuple[str, str] = (ON_EDUCATION, ON_TEACHING), word: str = PROGRAMME) -> DataFrame:
+    """(jorftext_id, titre, jo_titre): the texts on programmes in gazette issues (jo_titre, content), whose content is JSON.
+
+    An issue has items, each with a tree of parts (``tms``) that hold links to texts (``liensTxt``). A part's mark, a title
+    that holds the first of ``marks``, or the second in lower case, goes on to all parts below it. A level of the trees is one
+    step over all issues, to any depth. Content that is no JSON, and parts of another form, hold nothing.
+    """
+    def titled(part: Column) -> Column:
+        return F.coalesce(F.try_variant_get(part, "$.titre", "string"), F.lit(""))
+
+    def parts(of: Column, path: str) -> Column:
+        return F.explode(F.try_variant_get(of, path, "array<variant>"))
+
+    def marked(part: Column) -> Column:
+        return titled(part).contains(marks[0]) | F.lower(titled(part)).contains(marks[1])
+
+    items = issues.select("jo_titre", parts(F.try_parse_json("content"), "$.items").alias("item"))
+    level = items.select("jo_titre", parts(F.col("item"), "$.joCont.structure.tms").alias("part")).withColumn("on", marked(F.col("part")))
+    out = None
+    while True:
+        level = settled(level.select("jo_titre", F.to_json("part").alias("part"), "on")).withColumn("part", F.parse_json("part"))
+        links = level.where("on").select("jo_titre", parts(F.col("part"), "$.liensTxt").alias("link"))
+        texts = links.select(F.coalesce(F.try_variant_get("link", "$.id", "string"), F.lit("")).alias("jorftext_id"), titled(F.col("link")).alias("titre"), "jo_titre").where(F.lower("titre").contains(word))
+        out = texts if out is None else out.unionByName(texts)
+        below = level.select("jo_titre", "on", parts(F.col("part"), "$.tms").alias("part"))
+        if below.isEmpty():
+            return out
+        level = below.withColumn("on", F.col("on") | marked(F.col("part")))
 
 
 def programme_texts(tree: DataFrame, key: str, parent: str, title: str) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import ids, text, vectors, vocab
 from ..operators import audit, containment, evaluate, golden, search, stats, watch
 from ..operators import chunks as ch
-from ..session import table
+from ..session import fresh_path, table
 from ..sources import index_store, readers
+from ..sources.cells import CellIndex
 from . import views
 from .views import CHUNKS_SQL
 
@@ -118,6 +119,24 @@ def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.dense_top(rows.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), rows)
 
 
+def by_codes(spark: SparkSession, sf_dir: str, prune: bool) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    asked = rows.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return search.ranked(CellIndex(spark, fresh_path(spark, "cells")).build(rows).top(asked, 5, prune=prune)[0], "query_id", "vec_id", 5)
+
+
+@query(SQL["dense_topk"])
+def int8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ``dense_topk``: a scan of all eight-bit codes, and exact scores of what their errors leave open."""
+    return by_codes(spark, sf_dir, prune=False)
+
+
+@query(SQL["dense_topk"])
+def cell_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as ``dense_topk``: the cells that may hold one of the best, the nearest first."""
+    return by_codes(spark, sf_dir, prune=True)
+
+
 @query("WITH n AS (SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS norm FROM embeddings) SELECT vec_id, i::BIGINT AS pos, round(v[i] / norm, 6) AS val FROM (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM n)")
 def l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(vectors.unit(F.col("embedding"))).alias("pos", "val"))
@@ -409,6 +428,19 @@ def seen_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return watch.unseen(rows.where(F.col("ts") > middle), rows.where(F.col("ts") <= middle), "sighting", ["event_id"]).select("sighting", "event_id")
 
 
+TREE_SQL = "(contains(source, 'src1') OR contains(lower(lang), 'fr')) AND contains(lower(substr(text, 1, 80)), 'the')"
+
+
+@query(f"SELECT doc_id::VARCHAR AS jorftext_id, substr(text, 1, 80) AS titre, source || '/' || (doc_id // 100)::BIGINT AS jo_titre FROM documents WHERE {TREE_SQL}")
+def nested_programmes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of nested feeds: an issue for each source and hundred of ids, with the source's part, the languages' parts below, and links."""
+    docs = table(spark, sf_dir, "documents").select("source", "lang", F.concat_ws("/", "source", F.floor(F.col("doc_id") / 100).cast("string")).alias("jo_titre"), F.struct(F.col("doc_id").cast("string").alias("id"), F.substring("text", 1, 80).alias("titre")).alias("link"))
+    parts = docs.groupBy("jo_titre", "source", "lang").agg(F.collect_list("link").alias("liensTxt"))
+    trees = parts.groupBy("jo_titre", "source").agg(F.collect_list(F.struct(F.col("lang").alias("titre"), "liensTxt")).alias("tms"))
+    whole = F.array(F.struct(F.struct(F.struct(F.array(F.struct(F.col("source").alias("titre"), "tms")).alias("tms")).alias("structure")).alias("joCont")))
+    return watch.nested_texts(trees.select("jo_titre", F.to_json(F.struct(whole.alias("items"))).alias("content")), ("src1", "fr"), "the")
+
+
 # --- vectors and files ---
 
 

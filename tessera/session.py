@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import re
 import tempfile
 import uuid
@@ -43,10 +42,5 @@ def settled(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
-def collection_name(override: str | None = None) -> str:
-    """The index to use: an explicit name, the environment's, or the default."""
-    return override or os.environ.get("TESSERA_COLLECTION", "") or "chunks"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

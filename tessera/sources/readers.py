@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import re
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import stripped
+from .state import read_state  # noqa: F401 - read here before
 
 CATALOG = "file string, matiere string, section_pattern string, section_end string, blank_line_after_header boolean, section_name string"
 #: Formats of a source text, the preferred one first.
@@ -65,16 +64,6 @@ def read_questions(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("query", query).drop("question")
 
 
-def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A state table, or an empty one where there is none yet or a file of it is corrupt, which one pass over it finds out."""
-    try:
-        rows = spark.read.schema(schema).parquet(path)
-        rows.agg(F.max(F.xxhash64(*rows.columns))).collect()
-    except (PySparkException, Py4JJavaError):
-        return spark.createDataFrame([], schema)
-    return rows
-
-
 def indexed_texts(index: DataFrame, subject: str | None = None) -> DataFrame:
     """(matiere, text) of an index; empty texts go, and a missing subject is called inconnu."""
     rows = index.select(F.coalesce("matiere", F.lit("inconnu")).alias("matiere"), "text").where(F.coalesce("text", F.lit("")) != "")

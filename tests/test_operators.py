@@ -281,13 +281,18 @@ def test_jobs_from_sources_to_questions(spark, tmp_path):
     scores, rolled = jobs.run_evaluation(store, readers.read_questions(spark, f"file://{tmp_path}/golden").drop("generated_at"), by="matiere", out=f"file://{tmp_path}/eval")
     assert scores.first().verdict == "all" and rolled.first().n == 1
     rows, lines = jobs.audit_coverage(spark, catalog, folder, store)
-    assert {r.matiere for r in rows.collect()} == {"svt", "snt"} and all(r.titles_pct == 100.0 for r in rows.collect()) and lines.count() == 2
+    held = rows.where("message IS NULL").collect()
+    assert {r.matiere for r in held} == {"svt", "snt"} and all(r.titles_pct == 100.0 for r in held) and lines.where("missing IS NULL").count() == 5
+    lost = {r.matiere: (r.n_titles, r.text_pct, r.message) for r in rows.where("message IS NOT NULL").collect()}
+    assert lost == {"emc": (0, 0.0, "p_cycle4_a: section of 16 characters"), "ses": (0, 0.0, "p_cycle4_a: section not found"), "nsi": (0, 0.0, "p_lycee_none: no text")}
     moved = index_store.Store(spark, f"file://{tmp_path}/moved")
     assert jobs.migrate(store, moved) and not jobs.migrate(store, moved) and jobs.status(moved).count() == 2
     feed = spark.createDataFrame([("a", "u", "1"), ("b", "v", "2")], "resource_id string, url string, checksum string")
     state = f"file://{tmp_path}/state"
     runs = [jobs.watch_run(spark, f, state, f"file://{tmp_path}/changes") for f in (feed, feed, feed.replace("2", "3"))]
     assert runs == [2, 0, 1] and jobs.watch_run(spark, feed, state, "none", "m", "m") == 0
+    twice = spark.createDataFrame([("Que dit le programme ?",)] * 2, "query string")
+    assert jobs.run_evaluation(store, twice)[0].count() == 2
 
 
 def test_downloads(spark, tmp_path):
