@@ -2,15 +2,18 @@
 
 A window of words walks through its CGK embedding: at step j it puts out the word it stands at and moves on
 where a random bit of that word for step j says so. A small edit distance becomes a small Hamming distance of
-the outputs. Each table hashes a few sampled outputs; an item puts in the walks from each of its words, so that edits
-anywhere in an item of any length leave some walk whole. A window of a document whose hash equals an item's is a
-candidate, and the edit distance of item and text (in words, free ends in the text) decides. There are as many walks as
-find the share TARGET of simulated items that have all the edits allowed.
+the outputs. Each table hashes a few sampled outputs; a window of a document whose hash equals an item's is a
+candidate, and the edit distance of item and text (in words, free ends in the text) decides. Walks are as long as the
+items of their class; an item of over PIECE words is several windows of that size, one of which has no more than its
+share of the edits. There are as many walks as find the share TARGET of simulated items that have all the edits allowed.
+
+An edit breaks two pairs of neighbouring words at most. So windows with fewer pairs of items than are left after all
+edits allowed are passed over, and so are candidates whose own pairs the text lacks; neither loses anything.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,11 +24,11 @@ from pyspark.sql import functions as F
 from .common import stored, words_of
 from .shingles import mixed
 
-#: Steps of a walk at most, and empty words after a text, which no walk goes beyond.
-STEPS = 24
-GAP = STEPS + 1
+#: Words of a window at most, and empty words after a text, which no walk goes beyond.
+PIECE = 48
+GAP = 2 * PIECE + 1
 #: The share of items with all the edits allowed that the walks of a class find in a simulation of TRIALS items, and walks at most.
-TARGET, TRIALS, MOST_WALKS = 0.99, 300, 64
+TARGET, TRIALS, MOST_WALKS = 0.99, 300, 256
 SCHEMA = "doc_id long, item_id long, start_word long, n_words long, edits long"
 
 
@@ -59,80 +62,102 @@ def edits_within(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int, in
 
 
 class Walks:
-    """The LSH tables of a class of items with between ``low`` and ``high`` words."""
+    """The LSH tables of a class of items with ``low`` words or more."""
 
     def __init__(self, low: int, walks: int, tables: int, samples: int, seed: int) -> None:
         rng = np.random.default_rng(seed)
-        self.steps = min(STEPS, low)
-        self.bits = rng.integers(0, 1 << 63, walks, dtype=np.uint64)
+        self.size = min(PIECE, low)
+        self.steps = 2 * self.size  # a step moves on by half a word on average
+        self.tables, self.seeds = tables, rng.integers(0, 1 << 63, (walks, 2), dtype=np.uint64)
         #: For each walk and step, the tables that sample the output of the step.
         self.picked = [[[] for _ in range(self.steps)] for _ in range(walks)]
-        self.tables = tables
         for by_step in self.picked:
             for t in range(tables):
                 for j in rng.choice(self.steps, min(samples, self.steps), replace=False):
                     by_step[j].append(t)
 
     def offsets(self, n: int) -> np.ndarray:
-        """Where the walks of an item of ``n`` words start: where it has the words that a walk passes on average."""
-        return np.arange(max(1, n - self.steps // 2 + 1))
+        """Where the windows of an item of ``n`` words start: end to end, the last one at its end."""
+        return np.append(np.arange(0, n - self.size, self.size), n - self.size)
 
-    def keys(self, words: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(table, 64-bit keys) of the windows at ``starts``; ``words`` goes on for all steps after them."""
+    def keys(self, numbers: np.ndarray, starts: np.ndarray, random: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(table, 64-bit keys) of the windows at ``starts`` of word ``numbers``, whose words are ``random``; bits 64 steps on come from another word."""
         table = 0
-        for seed, by_step in zip(self.bits, self.picked, strict=True):
-            moves = mixed(words ^ seed)  # bit j moves the walk on at step j
+        for seeds, by_step in zip(self.seeds, self.picked, strict=True):
+            moves = [mixed(random ^ seed) for seed in seeds]
             at, keys = starts.copy(), [np.full(len(starts), t + 1, np.uint64) for t in range(self.tables)]
             last = max(j for j in range(self.steps) if by_step[j])
             for j in range(last + 1):
+                here = numbers.take(at)
                 if by_step[j]:
-                    out = words.take(at)
+                    out = random.take(here)
                     for t in by_step[j]:
                         keys[t] *= np.uint64(0x9E3779B97F4A7C15)
                         keys[t] ^= keys[t] >> np.uint64(29)
                         keys[t] += out
-                bit = moves.take(at)
-                bit >>= np.uint64(j)
-                bit &= np.uint64(1)
-                at += bit.view(np.int64)
+                at += ((moves[j // 64].take(here) >> np.uint64(j % 64)) & np.uint64(1)).view(np.int64)
             for k in keys:
                 yield table, k
                 table += 1
 
 
+def sure_pairs(n: int, max_edits: float) -> int:
+    """How many pairs of neighbouring words of an item of ``n`` words are left after all edits allowed."""
+    return max(0, n - 1 - 2 * int(max_edits * n))
+
+
 @lru_cache(maxsize=256)
 def enough_walks(low: int, high: int, max_edits: float, walks: int, tables: int, samples: int, seed: int) -> Walks:
-    """``walks`` walks or more for items of ``low`` to ``high`` words: as many as find TARGET of simulated items (MOST_WALKS at most).
+    """``walks`` walks or more for items of ``low`` to ``high`` words: as many as find TARGET of simulated items.
 
-    Simulated items are of random words and have as many edits as allowed, at random places or at equal distances.
+    Simulated items are of distinct words and have as many edits as allowed, at random places or at equal distances. An
+    error where MOST_WALKS do not reach the target.
     """
     rng = np.random.default_rng(seed)
-    items, texts = [], []
+    items, texts, span = [], [], 2 * high + 2
     for trial in range(TRIALS):
-        n = (low, high)[trial % 2]
-        item = rng.integers(2, 1 << 63, n, dtype=np.uint64)
+        n, of = (low, high)[trial % 2], 2 + trial * span
         edits = int(max_edits * n)
         at = rng.choice(n, edits, replace=False) if trial % 4 < 2 else np.arange(1, edits + 1) * n // (edits + 1)
-        text = [[x] for x in item]
-        for i, kind, new in zip(at.tolist(), rng.integers(0, 3, edits), rng.integers(2, 1 << 63, edits, dtype=np.uint64), strict=True):
-            text[i] = ([], [new], [item[i], new])[kind]
-        items.append(np.concatenate([item, np.zeros(GAP, np.uint64)]))
-        texts.append(np.concatenate([np.array([x for own in text for x in own], np.uint64), rng.integers(2, 1 << 63, GAP, dtype=np.uint64)]))
+        text = [[of + x] for x in range(n)]
+        for i, kind, new in zip(at.tolist(), rng.integers(0, 3, edits), range(of + n, of + n + edits), strict=True):
+            text[i] = ([], [new], [of + i, new])[kind]
+        items.append(np.arange(of, of + n))
+        texts.append(np.array([x for own in text for x in own], np.int64))
+    random = rng.integers(2, 1 << 63, 2 + TRIALS * span, dtype=np.uint64)
+
+    def laid_out(rows: list[np.ndarray], starts_of: Callable[[int], np.ndarray], after: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        begins = np.cumsum([0] + [len(r) + GAP for r in rows])
+        starts = [b + starts_of(len(r)) for b, r in zip(begins, rows, strict=False)]
+        return np.concatenate([np.append(r, np.full(GAP, after)) for r in rows]), np.concatenate(starts), np.repeat(np.arange(len(rows)), [len(x) for x in starts])
+
     while True:
         walk = Walks(low, walks, tables, samples, seed)
-        found = 0
-        for item, text in zip(items, texts, strict=True):
-            pairs = zip(walk.keys(item, walk.offsets(len(item) - GAP)), walk.keys(text, np.arange(len(text) - GAP)), strict=True)
-            found += any(np.isin(a, b).any() for (_, a), (_, b) in pairs)
-        if found >= TARGET * TRIALS or walks >= MOST_WALKS:
+        (a, a_starts, a_of), (b, b_starts, b_of) = laid_out(items, walk.offsets, 0), laid_out(texts, np.arange, 1)  # a text goes on after an item
+        hit = np.zeros(TRIALS, bool)
+        for (_, x), (_, y) in zip(walk.keys(a, a_starts, random), walk.keys(b, b_starts, random), strict=True):
+            hit[a_of[np.isin(mixed(x ^ a_of.astype(np.uint64)), mixed(y ^ b_of.astype(np.uint64)))]] = True
+        if hit.sum() >= TARGET * TRIALS:
             return walk
+        if walks >= MOST_WALKS:
+            raise ValueError(f"{MOST_WALKS} walks find less than {TARGET:.0%} of items of {low} to {high} words with {max_edits:.0%} edits")
         walks = min(MOST_WALKS, 2 * walks)
 
 
+def classes_of(lengths: Iterable[int]) -> dict[int, tuple[int, int]]:
+    """The classes of items by length: the least and the greatest number of words in each."""
+    out: dict[int, tuple[int, int]] = {}
+    for n in lengths:
+        size = int(2 * np.log2(n))
+        low, high = out.get(size, (n, n))
+        out[size] = (min(low, n), max(high, n))
+    return out
+
+
 class Block:
     """A block of items, ready to find in texts."""
 
-    def __init__(self, items: list[tuple[int, str]], max_edits: float, walks: int, tables: int, samples: int) -> None:
+    def __init__(self, items: list[tuple[int, str]], max_edits: float, walks: dict[int, Walks]) -> None:
         self.max_edits = max_edits
         self.ids: dict[str, int] = {}
         rng = np.random.default_rng(5)
@@ -143,22 +168,39 @@ class Block:
         #: Random 64-bit words for word numbers; number 0 stands after a text's end, number 1 for any word of no item.
         self.random = np.concatenate([np.arange(2, dtype=np.uint64), rng.integers(2, 1 << 63, len(self.ids), dtype=np.uint64)])
         self.items = [(i, np.array([self.ids[w] for w in ws])) for i, ws in texts if ws]
-        by: dict[int, list[int]] = {}
-        for x, (_, ws) in enumerate(self.items):
-            by.setdefault(int(2 * np.log2(len(ws))), []).append(x)
+        own_pairs = [self.pair_keys(ws[:-1], ws[1:]) for _, ws in self.items]
+        #: The items' pairs of neighbouring words, and for all items one after the other the numbers of their pairs and words.
+        self.pairs = np.unique(np.concatenate([np.empty(0, np.int64), *own_pairs]))
+        self.all_pairs = np.searchsorted(self.pairs, np.concatenate([np.empty(0, np.int64), *own_pairs]))
+        self.all_words = np.concatenate([np.empty(0, np.int64), *(ws for _, ws in self.items)])
+        self.pair_cuts, self.word_cuts = (np.cumsum([0, *map(len, own)]) for own in (own_pairs, [ws for _, ws in self.items]))
         self.classes = []
-        for size, own in sorted(by.items()):
-            low, high = min(len(self.items[x][1]) for x in own), max(len(self.items[x][1]) for x in own)
-            walk = enough_walks(low, high, max_edits, walks, tables, samples, size)
-            ends = np.cumsum([0] + [len(self.items[x][1]) + GAP for x in own])
-            words = np.concatenate([np.append(self.random[self.items[x][1]], np.zeros(GAP, np.uint64)) for x in own])
-            offsets = [walk.offsets(len(self.items[x][1])) for x in own]
+        for size, (low, high) in sorted(classes_of(len(ws) for _, ws in self.items).items()):
+            own = [x for x, (_, ws) in enumerate(self.items) if low <= len(ws) <= high]
+            sizes, walk = [len(self.items[x][1]) for x in own], walks[size]
+            ends = np.cumsum([0] + [n + GAP for n in sizes])
+            numbers = np.concatenate([np.append(self.items[x][1], np.zeros(GAP, np.int64)) for x in own])
+            offsets = [walk.offsets(n) for n in sizes]
             starts, of_item, offset = np.concatenate([e + o for e, o in zip(ends, offsets, strict=False)]), np.repeat(own, [len(o) for o in offsets]), np.concatenate(offsets)
             index = []
-            for _, k in walk.keys(words, starts):
+            for _, k in walk.keys(numbers, starts, self.random):
                 o = np.argsort(k, kind="stable")
                 index.append((k[o], of_item[o], offset[o]))
-            self.classes.append((low, high, walk, index))
+            self.classes.append((high, min(sure_pairs(n, max_edits) for n in range(low, high + 1)), walk, index))
+
+    def pair_keys(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return a * len(self.random) + b
+
+    def known_pairs(self, w: np.ndarray) -> np.ndarray:
+        """For each word of a text the number of the pair that begins there, or -1 where it is no item's."""
+        out = np.full(len(w), -1, np.int64)
+        at = np.flatnonzero((w[:-1] > 1) & (w[1:] > 1))
+        if len(at) and len(self.pairs):
+            key = self.pair_keys(w[at], w[at + 1])
+            place = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            hit = self.pairs[place] == key
+            out[at[hit]] = place[hit]
+        return out
 
     def find(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         """(text, item_id, start, words, edits) of the items near a part of a text; the best place of each pair."""
@@ -170,20 +212,21 @@ class Block:
             numbers += [get(x, 1) for x in words_of(text)]
             numbers += end
         w, begin = np.array(numbers, np.int64), np.array([*begins, len(numbers)])
-        random, known = self.random[w], np.concatenate([[0], np.cumsum(w > 1)])
-        in_text = np.zeros(len(self.random), bool)
+        pair = self.known_pairs(w)
+        upto = np.concatenate([[0], np.cumsum(pair >= 0)])
+        n = np.arange(max(0, len(w) - GAP))
         found: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for low, high, walk, index in self.classes:
+        for high, sure, walk, index in self.classes:
             most = int(self.max_edits * high)
-            # a window with more words of no item than edits allowed can't match; walks start up to an item's end after it
-            n = max(0, len(w) - GAP)
-            to = np.minimum(np.arange(n) + low, len(w))
-            first = np.concatenate([[0], np.cumsum(low - (known[to] - known[:n]) <= most)])
-            starts = np.flatnonzero(first[1:] > first[np.maximum(np.arange(n) - high - most, 0)])
+            # a window of an item may start anywhere in it
+            first, last = np.maximum(n - high - most, 0), np.minimum(n + high + most, len(w))
+            starts = np.flatnonzero((upto[last] - upto[first] >= sure) & (w[: len(n)] != 0 if sure else w[: len(n)] > 1))
             if not len(starts):
                 continue
-            hits = []
-            for t, keys in walk.keys(random, starts):
+            # a hit is one number: text, start (one before the text begins at most) and item
+            width, n_items = len(w) + GAP + high, len(self.items)
+            hits, seen = [np.empty(0, np.int64)], 0
+            for t, keys in walk.keys(w, starts, self.random):
                 k, x, offset = index[t]
                 left = np.searchsorted(k, keys)
                 i = np.flatnonzero(k[np.minimum(left, len(k) - 1)] == keys)
@@ -191,30 +234,52 @@ class Block:
                     left = left[i]
                     count = np.searchsorted(k, keys[i], "right") - left
                     j = np.repeat(left - np.cumsum(count) + count, count) + np.arange(count.sum())
-                    s = np.repeat(starts[i], count)
-                    hits.append(np.stack([np.searchsorted(begin, s, "right") - 1, x[j], s - offset[j]], axis=1))
-            near: dict[tuple[int, int], list[int]] = {}
-            for doc, x, s in np.unique(np.concatenate(hits), axis=0).tolist() if hits else ():
-                near.setdefault((doc, x), []).append(s)
-            for (doc, x), places in near.items():
-                item_id, item = self.items[x]
-                most = int(self.max_edits * len(item))
-                upto = None
-                for s in places:
-                    if upto is not None and s < upto:  # held against the text around already
-                        continue
-                    a, b = max(begin[doc], s - most), min(begin[doc + 1] - GAP, s + 2 * len(item) + 2 * most)
-                    upto = s + len(item)
-                    in_text[w[a:b]] = True
-                    gone = len(item) - np.count_nonzero(in_text[item])
-                    in_text[w[a:b]] = False
-                    if gone > most:  # each item word that the text lacks is an edit
-                        continue
-                    e, p, q = edits_within(item, w[a:b], most)
-                    if e <= most and e < found.get((doc, x), (0, 0, most + 1))[2]:
-                        found[doc, x] = (int(a - begin[doc]) + p, q - p, e)
+                    doc = np.searchsorted(begin, starts[i], "right") - 1
+                    hits.append((np.repeat(doc * width + starts[i] + high, count) - offset[j]) * n_items + x[j])
+                    seen += len(j)
+                    if seen > 1_000_000:
+                        hits = [np.unique(np.concatenate(hits))]
+                        seen = 0
+            every = np.unique(np.concatenate(hits))
+            if len(every):
+                place, item = np.divmod(every, n_items)
+                doc, at = np.divmod(place, width)
+                self.verify(np.stack([doc, at - high, item], axis=1), w, pair, begin, high, most, found)
         return [(doc, self.items[x][0], *hit) for (doc, x), hit in sorted(found.items())]
 
+    @staticmethod
+    def counted(every: np.ndarray, cuts: np.ndarray, own: np.ndarray, there: np.ndarray, size: int) -> np.ndarray:
+        """How many of the numbers of each item (``own`` from cut to cut) are in a stretch of text."""
+        flags = np.zeros(size, np.int64)
+        flags[there] = 1
+        if there.min(initial=0) < 0:
+            flags[-1] = 0  # words that begin no pair of an item
+        n = np.diff(cuts)[every]
+        ends = np.cumsum(n)
+        at = np.arange(n.sum()) + np.repeat(cuts[every] - (ends - n), n)
+        sums = np.append(0, np.cumsum(flags[own[at]]))
+        return sums[ends] - sums[ends - n]
+
+    def verify(self, hits: np.ndarray, w: np.ndarray, pair: np.ndarray, begin: np.ndarray, high: int, most: int, found: dict[tuple[int, int], tuple[int, int, int]]) -> None:
+        """Adds to ``found`` the best place of each text and item of ``hits`` (text, start, item), in order of text and start.
+
+        Starts near each other are one stretch of text; the items held against it are those of which it has enough words and pairs
+        (a word that it lacks is an edit), counted for all of them at once, so what many items share costs little.
+        """
+        cut = np.flatnonzero((np.diff(hits[:, 0]) != 0) | (np.diff(hits[:, 1]) > most + 1)) + 1
+        for group in np.split(hits, cut):
+            doc, a, b = int(group[0, 0]), int(group[0, 1]), int(group[-1, 1])
+            a, b = max(int(begin[doc]), a - most), min(int(begin[doc + 1]) - GAP, b + high + 2 * most + 1)
+            every = np.unique(group[:, 2])
+            words, pairs = self.counted(every, self.word_cuts, self.all_words, w[a:b], len(self.random)), self.counted(every, self.pair_cuts, self.all_pairs, pair[a:b], len(self.pairs) + 1)
+            sizes = np.diff(self.word_cuts)[every]
+            edits = (self.max_edits * sizes).astype(np.int64)
+            for x in every[(words >= sizes - edits) & (pairs >= sizes - 1 - 2 * edits)].tolist():
+                allowed = int(self.max_edits * len(self.items[x][1]))
+                e, p, q = edits_within(self.items[x][1], w[a:b], allowed)
+                if e <= allowed and e < found.get((doc, x), (0, 0, allowed + 1))[2]:
+                    found[doc, x] = (a - int(begin[doc]) + p, q - p, e)
+
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, walks: int = 1, tables: int = 4, samples: int = 4, block_chars: int = 4 << 20) -> DataFrame:
     """The items found in each document: doc_id, item_id, start_word, n_words, edits (one row per pair, its best place).
@@ -222,8 +287,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2,
     An item is found where a part of the text is within ``max_edits`` of its number of words (rounded down), in words of
     lower case without punctuation. Items go to the tasks in blocks of at most ``block_chars`` characters; each
     block meets every whole text. ``walks`` is the least number of walks; a class of items gets as many as find TARGET of
-    items at ``max_edits``. Items and texts without words match nothing; repeated items and rows give repeated
-    results; ids may be null. Other columns are not read.
+    items at ``max_edits``; an error where that takes over MOST_WALKS. Items and texts without words match nothing (nor do null
+    and empty ones); texts and items of any length count whole; repeated items and rows give repeated results; ids may
+    be null. Other columns are not read. An empty table gives no rows.
     """
     spark, out = docs.sparkSession, None
     size = F.length(F.coalesce("text", F.lit("")))
@@ -232,10 +298,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2,
     names = [f.split()[0] for f in SCHEMA.split(", ")]
     for k in range(n_blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k) if n_blocks > 1 else items
-        shared = spark.sparkContext.broadcast([(r.item_id, r.text or "") for r in own.collect()])
+        rows = [(r.item_id, r.text or "") for r in own.collect()]
+        sizes = classes_of(filter(None, (len(words_of(t)) for _, t in rows)))
+        enough = {size: enough_walks(*bounds, max_edits, walks, tables, samples, size) for size, bounds in sizes.items()}
+        shared = spark.sparkContext.broadcast((rows, enough))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            block = Block(shared.value, max_edits, walks, tables, samples)
+            block = Block(shared.value[0], max_edits, shared.value[1])
             for b in batches:
                 ids, rows = b.column("doc_id").to_pylist(), []
                 for i in range(0, b.num_rows, 250):
