@@ -94,19 +94,22 @@ def split_text(text: str, size: int = 400, least: int = 100, count: Callable[[st
     return merged
 
 
-def chunked(texts: DataFrame, size: int = 400, least: int = 100, count: Callable[[str], int] = token_count) -> DataFrame:
-    """``texts`` with a row for each chunk: chunk_index and text.
-
-    Chunks that hold fewer than 50 characters without the white space at their ends go after numbering, so numbers
-    can have gaps. A null text has no chunks.
-    """
+def pieces(texts: DataFrame, size: int = 400, least: int = 100, count: Callable[[str], int] = token_count) -> DataFrame:
+    """``texts`` with a row for each piece that ``split_text`` makes: chunk_index and text. Joined in order they are the whole text."""
     @F.pandas_udf("array<string>")
-    def pieces(col: pd.Series) -> pd.Series:
+    def cut(col: pd.Series) -> pd.Series:
         return col.map(lambda t: split_text(t, size, least, count) if t else [])
 
     rest = [c for c in texts.columns if c != "text"]
-    rows = texts.select(*rest, F.posexplode(pieces("text")).alias("chunk_index", "text"))
-    return rows.where(F.length(stripped(F.col("text"))) >= MIN_CHUNK)
+    return texts.select(*rest, F.posexplode(cut("text")).alias("chunk_index", "text"))
+
+
+def chunked(texts: DataFrame, size: int = 400, least: int = 100, count: Callable[[str], int] = token_count) -> DataFrame:
+    """The ``pieces`` that hold 50 characters or more without the white space at their ends.
+
+    Others go after numbering, so numbers can have gaps. A null text has no chunks.
+    """
+    return pieces(texts, size, least, count).where(F.length(stripped(F.col("text"))) >= MIN_CHUNK)
 
 
 def expanded(chunks: DataFrame, strict: bool = True) -> DataFrame:

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import point_id
 from ..functions.text import match_key, stripped, tokens
 from ..functions.vocab import LEVELS, SUBJECTS
+from ..session import settled
 
 MIN_TEXT = 200
 
@@ -24,7 +26,9 @@ def stratified_sample(rows: DataFrame, target: int, strata: list[str], row_id: s
     """``target`` rows (or all, if fewer; ``row_id`` is unique) spread over the strata.
 
     Each stratum gives max(1, target / strata) + 2 rows, by the order of a hash of seed and id; leftovers fill up in
-    that order; the rows are then ordered by another hash and cut. A stratum can vanish in the cut.
+    that order; the rows are then ordered by another hash and cut. A stratum can vanish in the cut. Tasks keep the
+    first rows of each stratum and the first leftovers, so what is shuffled grows with tasks, strata and target, and a
+    stratum of many rows is no large group.
     """
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(row_id).cast("string")))
     n_strata = rows.select(*strata).distinct().count()
@@ -32,15 +36,32 @@ def stratified_sample(rows: DataFrame, target: int, strata: list[str], row_id: s
         return rows
     per = max(1, target // n_strata) + 2
     hashed = rows.withColumn("_key", key)
-    numbered = hashed.withColumn("_n", F.row_number().over(Window.partitionBy(*strata).orderBy("_key", row_id)))
-    cut = F.md5(F.concat_ws("|", F.lit(f"{seed}-cut"), F.col(row_id).cast("string")))
-    # rows of the strata come before leftovers only where those are needed to reach the target
-    taken = numbered.where(F.col("_n") <= per)
+    named = hashed.select(F.xxhash64(*strata).alias("stratum"), F.col("_key").alias("key"), F.col(row_id).cast("string").alias("id"))
+    first = settled(named.mapInArrow(bottom_keys(per, target), "stratum long, key string, id string"))
+    # those of all tasks hold the first of each stratum, and after them the first leftovers
+    numbered = first.withColumn("n", F.row_number().over(Window.partitionBy("stratum").orderBy("key", "id")))
+    chosen = settled(numbered.withColumn("more", F.col("n") > per).orderBy("more", "key", "id").limit(n_strata * per + target).select("id", "more", "key"))
+    taken = chosen.where(~F.col("more"))
     short = target - taken.count()
-    if short > 0:
-        more = hashed.join(taken.select(row_id), row_id, "left_anti").orderBy("_key", row_id).limit(short)
-        return taken.drop("_n").unionByName(more).drop("_key")
-    return taken.orderBy(cut, row_id).limit(target).drop("_key", "_n")
+    cut = F.md5(F.concat_ws("|", F.lit(f"{seed}-cut"), F.col("id")))
+    ids = taken.unionByName(chosen.where("more").orderBy("key", "id").limit(short)) if short > 0 else taken.orderBy(cut, "id").limit(target)
+    return rows.join(ids.select(F.col("id").alias("_id")), F.col(row_id).cast("string") == F.col("_id"), "left_semi")
+
+
+def bottom_keys(per: int, more: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's first ``per`` rows (stratum, key, id) by key of each stratum, and its first ``more`` of the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pd.DataFrame | None = None
+        for b in batches:
+            every = b.to_pandas() if held is None else pd.concat([held, b.to_pandas()])
+            every = every.sort_values(["key", "id"], kind="stable")
+            own = every.groupby("stratum", sort=False).cumcount() < per
+            held = pd.concat([every[own], every[~own].head(more)])
+        if held is not None:
+            yield pa.RecordBatch.from_pandas(held, preserve_index=False)
+
+    return run
 
 
 def question_fault() -> Column:

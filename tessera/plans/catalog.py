@@ -113,6 +113,22 @@ def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.sparse_top(table(spark, sf_dir, "benchmark"), views.index(spark, sf_dir), scorer="bm25")
 
 
+LEARNED_SQL = """ql AS (SELECT item_id, token, sqrt(len(token)) AS w FROM q_words), dl AS (SELECT doc_id, token, sqrt(len(token)) AS w FROM d_words),
+lidf AS (SELECT token, ln(1 + ((SELECT count(*) FROM documents) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM dl GROUP BY ALL),
+lscores AS (SELECT item_id, doc_id, round(sum(ql.w * idf * dl.w), 6) AS score FROM ql JOIN lidf USING (token) JOIN dl USING (token) GROUP BY ALL)"""
+
+
+@query(f"WITH {counts_sql('benchmark', 'item_id', 'q')}, {counts_sql('documents', 'doc_id', 'd')}, {LEARNED_SQL} {rank_sql('lscores', 'item_id', 'doc_id', 5)}")
+def learned_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search by weights that a model gave to tokens; the root of a token's length stands for the model."""
+    def weighted(rows: DataFrame, key: str) -> DataFrame:
+        each = F.transform(F.array_distinct(text.tokens(F.col("text"))), lambda t: F.struct(F.xxhash64(t).alias("term"), F.sqrt(F.length(t).cast("double")).alias("w")))
+        return rows.select(key, "text", F.map_from_entries(each).alias("weights"))
+
+    index = search.index_of(weighted(table(spark, sf_dir, "documents"), "doc_id"))
+    return search.sparse_top(weighted(table(spark, sf_dir, "benchmark"), "item_id"), index, scorer="learned")
+
+
 @query(f"WITH scores AS (SELECT a.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score FROM embeddings a, embeddings b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id) {rank_sql('scores', 'query_id', 'vec_id', 5)}")
 def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
@@ -224,6 +240,14 @@ def recursive_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ch.chunked(views.chunks(spark, sf_dir).select("doc_id", "text"))
 
 
+@query("SELECT doc_id, md5(text) AS digest FROM documents WHERE text <> ''")
+def pieces_join_to_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every text, put together again in their order."""
+    cut = ch.pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    whole = cut.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("chunk_index", "text"))).alias("p"))
+    return whole.select("doc_id", F.md5(F.array_join(F.transform("p", lambda x: x["text"]), "")).alias("digest"))
+
+
 @query("WITH one AS (SELECT source, lang, text, count(*) AS n, min(doc_id) AS first_doc FROM documents GROUP BY ALL) SELECT doc_id, first_doc, n FROM documents JOIN one USING (source, lang, text)")
 def embed_unique_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.sha2("text", 256).alias("h"))

@@ -50,7 +50,7 @@ def parsed(docs: DataFrame, dense: bool) -> DataFrame:
             lengths, cuts, terms, tfs, vectors = [], [0], [], [], []
             for text, context, weights, vector in zip(*cols.values(), strict=True):
                 if weights is not None:
-                    counts = {int(t): float(w) for t, w in weights if w is not None and w > 0}
+                    counts = {e["key"]: e["value"] for e in weights if e["value"] is not None and e["value"] > 0}
                     length = len(counts)
                 else:
                     length, counts = own.counts(text)
@@ -175,7 +175,7 @@ class InvertedIndex:
         weights = weights.cast("array<struct<key:bigint,value:double>>")
         one = docs.select(
             F.col(doc).cast("long").alias("doc"), "text", (F.col("text") if context is None else context).alias("context"),
-            F.transform(weights, lambda e: F.array(e["key"].cast("double"), e["value"])).alias("weights"),
+            weights.alias("weights"),
             (F.col("embedding").cast("array<double>") if "embedding" in has else F.lit(None).cast("array<double>")).alias("embedding"),
             F.array(*(F.col(c).cast("string") for c in self.facets)).cast("array<string>").alias("facets"), F.col("_row").alias("digest"))
         seen = Observation()
