@@ -36,9 +36,9 @@ TEMPLATES = {
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
         "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES",
         "Licensed under the BSD License",
-        "Licensed under the BSD 3-Clause License",
-        "Licensed under the BSD 2-Clause License",
     ],
+    "bsd-2-clause": ["Licensed under the BSD 2-Clause License"],
+    "bsd-3-clause": ["Licensed under the BSD 3-Clause License"],
     "isc": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
         "Licensed under the ISC License",
@@ -54,16 +54,22 @@ TEMPLATES = {
         "Distributed under the Boost Software License, Version 1.0.",
     ],
     "gpl": [
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    ],
+    "gpl-2.0": [
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ],
+    "gpl-3.0": [
         "Licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
-        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
     ],
-    "lgpl": [
-        "Licensed under the GNU Lesser General Public License, version 3.",
+    "lgpl-2.1": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
     ],
-    "agpl": [
+    "lgpl-3.0": [
+        "Licensed under the GNU Lesser General Public License, version 3.",
+    ],
+    "agpl-3.0": [
         "Licensed under the GNU Affero General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ],
@@ -78,20 +84,42 @@ TEMPLATES = {
     "epl-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0"],
 }
 
+#: Public identifiers of licences, and the names that versions of a family go by.
+IDENTIFIERS = ("AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-NC-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-ND-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-2.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense", "Zlib")
+GNU = {"GPL": "General Public License", "LGPL": "Lesser General Public License", "AGPL": "Affero General Public License"}
+COMMONS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+
+
+def names() -> dict[str, str]:
+    """Names of licences, which count where all of their words stand consecutively, and their labels."""
+    unversioned = {i: i.lower().removesuffix("-4.0") if i.startswith("CC-") else "cc0" if i == "CC0-1.0" else i.lower() for i in IDENTIFIERS}
+    out = {f"SPDX-License-Identifier: {i}": label for i, label in unversioned.items()}
+    for short, long in GNU.items():
+        for v in ("2", "3") if short == "GPL" else ("2.1", "3") if short == "LGPL" else ("3",):
+            label = f"{short.lower()}-{v if '.' in v else v + '.0'}"
+            for form in (f"GNU {short} v{v}", f"GNU {short} version {v}", f"{short} version {v}", f"{short}v{v}", f"GNU {short}v{v}", f"GNU {long} v{v}", f"GNU {long} version {v}", f"GNU {long} {v}"):
+                out[form] = label
+    for short, long in COMMONS.items():
+        for v in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+            out |= {f"Creative Commons {long} {v}": f"cc-{short.lower()}", f"CC {short} {v}": f"cc-{short.lower()}"}
+    return out
+
+
 SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans string"
 
 
 class Automaton:
     """A generalised suffix automaton of word sequences, with the phrases and templates marked."""
 
-    def __init__(self, templates: dict[str, list[str]], phrases: dict[str, str]) -> None:
+    def __init__(self, templates: dict[str, list[str]], phrases: dict[str, str], named: dict[str, str] | None = None) -> None:
         self.next: list[dict[str, int]] = [{}]
         self.link, self.len = [-1], [0]
         self.texts = [(label, words_of(t)) for label, ts in templates.items() for t in ts]
         self.first: list[int] = [-1]
         for _, ws in self.texts:
             self._add(ws)
-        self.phrases = [(label, words_of(p)) for p, label in phrases.items()]
+        # names come after the base phrases
+        self.base, self.phrases = len(phrases), [(label, words_of(p)) for p, label in (phrases | (named or {})).items()]
         for _, ws in self.phrases:
             self._add(ws)
         # where the words of a state occur: (text, end) pairs, passed up the suffix links
@@ -154,6 +182,7 @@ class Automaton:
         known, state, n = nxt[0], 0, 0
         places: list[int] = []
         base: set[str] = set()
+        spans: list[tuple[int, int, str, int, float]] = []
         matches: list[tuple[int, int, int]] = []  # maximal matches: end, length, state
         for i, w in enumerate(words):
             if w not in known:  # in no template: the match ends
@@ -171,12 +200,14 @@ class Automaton:
                 n = length[state]
             state, n = to, n + 1
             for p, size in ending[state]:
-                if n >= size:
+                if n >= size and p < self.base:
                     places.append(i + 1 - size)
                     base.add(self.phrases[p][0])
+                elif n >= size:
+                    spans.append((i + 1 - size, i + 1, self.phrases[p][0], size, 1.0))
         if n >= min_match:
             matches.append((len(words), n, state))
-        labels, score, spans = set(base), 0.0, []
+        labels, score = set(base), 0.0
         if base:
             score = 1.0
         if matches:
@@ -228,7 +259,7 @@ def chains(matches: list[tuple[int, int, int]], max_gap: int) -> list[tuple[int,
 
 @lru_cache(maxsize=1)
 def automaton() -> Automaton:
-    return Automaton(TEMPLATES, PHRASES)
+    return Automaton(TEMPLATES, PHRASES, names())
 
 
 def scan_licenses(docs: DataFrame, min_match: int = 4, max_gap: int = 8, min_cover: float = 0.6) -> DataFrame:
@@ -237,9 +268,9 @@ def scan_licenses(docs: DataFrame, min_match: int = 4, max_gap: int = 8, min_cov
     n_base counts every place of a base phrase, first_word and last_word are the smallest and largest start
     (null without any). labels adds the templates of which a chain of matches of ``min_match`` or more words,
     with gaps up to ``max_gap``, covers the share ``min_cover`` or 3 * min_match words, and no template of another licence
-    more words at the place. score is the largest
-    share covered, 1 where a base phrase stands. A null text counts as empty, a null doc_id stays null, repeated rows
-    give repeated results, other columns are not read.
+    more words at the place, and the ``names`` of licences in them. score is the largest
+    share covered, 1 where a base phrase or a name stands. A null text counts as empty, texts of any length are read whole, a null
+    doc_id stays null, repeated rows give repeated results, other columns are not read. An empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
