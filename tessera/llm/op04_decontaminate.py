@@ -7,21 +7,22 @@ candidate, and the edit distance of item and text (in words, free ends in the te
 items of their class; an item of over PIECE words is several windows of that size, one of which has no more than its
 share of the edits. There are as many walks as find the share TARGET of simulated items that have all the edits allowed.
 
-An edit breaks two pairs of neighbouring words at most. So windows with fewer pairs of items than are left after all
-edits allowed are passed over, and so are candidates whose own pairs the text lacks; neither loses anything.
+An edit breaks two pairs of neighbouring words at most. So windows with fewer pairs of a class's items than are left after
+all edits allowed are passed over, and so are candidates whose own pairs the text lacks; neither loses anything.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, words_of
+from .common import stored, word_bytes, words_of
 from .shingles import mixed
 
 #: Words of a window at most, and empty words after a text, which no walk goes beyond.
@@ -29,6 +30,8 @@ PIECE = 48
 GAP = 2 * PIECE + 1
 #: The share of items with all the edits allowed that the walks of a class find in a simulation of TRIALS items, and walks at most.
 TARGET, TRIALS, MOST_WALKS = 0.99, 300, 256
+#: Characters of the texts that walk together; a longer text walks alone.
+GROUP_CHARS = 2 << 20
 SCHEMA = "doc_id long, item_id long, start_word long, n_words long, edits long"
 
 
@@ -174,7 +177,8 @@ class Block:
         self.all_pairs = np.searchsorted(self.pairs, np.concatenate([np.empty(0, np.int64), *own_pairs]))
         self.all_words = np.concatenate([np.empty(0, np.int64), *(ws for _, ws in self.items)])
         self.pair_cuts, self.word_cuts = (np.cumsum([0, *map(len, own)]) for own in (own_pairs, [ws for _, ws in self.items]))
-        self.classes = []
+        self.numbers = {w.encode(): n for w, n in self.ids.items()}
+        self.classes, self.class_pairs = [], []
         for size, (low, high) in sorted(classes_of(len(ws) for _, ws in self.items).items()):
             own = [x for x, (_, ws) in enumerate(self.items) if low <= len(ws) <= high]
             sizes, walk = [len(self.items[x][1]) for x in own], walks[size]
@@ -187,6 +191,10 @@ class Block:
                 o = np.argsort(k, kind="stable")
                 index.append((k[o], of_item[o], offset[o]))
             self.classes.append((high, min(sure_pairs(n, max_edits) for n in range(low, high + 1)), walk, index))
+            #: Whether a pair is of an item of the class; the last entry is for -1, a pair of no item.
+            of_class = np.zeros(len(self.pairs) + 1, bool)
+            of_class[np.concatenate([self.all_pairs[self.pair_cuts[x] : self.pair_cuts[x + 1]] for x in own])] = True
+            self.class_pairs.append(of_class)
 
     def pair_keys(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return a * len(self.random) + b
@@ -202,25 +210,36 @@ class Block:
             out[at[hit]] = place[hit]
         return out
 
+    @staticmethod
+    def reached(at: np.ndarray, sure: int, reach: int, end: int) -> np.ndarray:
+        """The places before ``end`` less than ``reach`` words from all of ``sure`` pairs in a row that lie that near each other; ``at``: where pairs begin."""
+        first, last = at[: max(0, len(at) - sure + 1)], at[sure - 1 :]
+        near = last - first < reach
+        a, b = np.maximum(last[near] - reach + 1, 0), np.minimum(first[near] + reach, end)
+        a[1:] = np.maximum(a[1:], b[:-1])  # both ascend, so a place counts once
+        n = np.maximum(b - a, 0)
+        return np.arange(n.sum()) + np.repeat(a - (np.cumsum(n) - n), n)
+
     def find(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         """(text, item_id, start, words, edits) of the items near a part of a text; the best place of each pair."""
-        get, end = self.ids.get, [0] * GAP
-        numbers: list[int] = []
-        begins = []
+        get, gap = self.numbers.get, np.zeros(GAP, np.int64)
+        laid, begins = [gap[:0]], [0]
         for text in texts:
-            begins.append(len(numbers))
-            numbers += [get(x, 1) for x in words_of(text)]
-            numbers += end
-        w, begin = np.array(numbers, np.int64), np.array([*begins, len(numbers)])
+            own = word_bytes(text)
+            laid += np.fromiter(map(get, own, repeat(1)), np.int64, len(own)), gap
+            begins.append(begins[-1] + len(own) + GAP)
+        w, begin = np.concatenate(laid), np.array(begins)
         pair = self.known_pairs(w)
-        upto = np.concatenate([[0], np.cumsum(pair >= 0)])
-        n = np.arange(max(0, len(w) - GAP))
+        paired = np.flatnonzero(pair >= 0)
+        end = max(0, len(w) - GAP)
         found: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for high, sure, walk, index in self.classes:
+        for (high, sure, walk, index), of_class in zip(self.classes, self.class_pairs, strict=True):
             most = int(self.max_edits * high)
-            # a window of an item may start anywhere in it
-            first, last = np.maximum(n - high - most, 0), np.minimum(n + high + most, len(w))
-            starts = np.flatnonzero((upto[last] - upto[first] >= sure) & (w[: len(n)] != 0 if sure else w[: len(n)] > 1))
+            if sure:  # a window of an item may start anywhere in it
+                starts = self.reached(paired[of_class[pair[paired]]], sure, high + most, end)
+                starts = starts[w[starts] != 0]
+            else:
+                starts = np.flatnonzero(w[:end] > 1)
             if not len(starts):
                 continue
             # a hit is one number: text, start (one before the text begins at most) and item
@@ -281,6 +300,19 @@ class Block:
                     found[doc, x] = (a - int(begin[doc]) + p, q - p, e)
 
 
+def in_groups(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
+    """Runs of ``texts`` of at most GROUP_CHARS characters (or one text), each with the place of its first; texts count GAP more."""
+    first, size = 0, 0
+    for i, text in enumerate(texts):
+        own = len(text or "") + GAP
+        if i > first and size + own > GROUP_CHARS:
+            yield first, texts[first:i]
+            first, size = i, 0
+        size += own
+    if texts:
+        yield first, texts[first:]
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, walks: int = 1, tables: int = 4, samples: int = 4, block_chars: int = 4 << 20) -> DataFrame:
     """The items found in each document: doc_id, item_id, start_word, n_words, edits (one row per pair, its best place).
 
@@ -307,8 +339,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2,
             block = Block(shared.value[0], max_edits, shared.value[1])
             for b in batches:
                 ids, rows = b.column("doc_id").to_pylist(), []
-                for i in range(0, b.num_rows, 250):
-                    rows += [(ids[i + d], *hit) for d, *hit in block.find(b.column("text").slice(i, 250).to_pylist())]
+                for i, texts in in_groups(b.column("text").to_pylist()):
+                    rows += [(ids[i + d], *hit) for d, *hit in block.find(texts)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(5)], names)
 
         hits = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)

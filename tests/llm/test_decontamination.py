@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import op04_decontaminate
-from tessera.llm.common import words_of
-from tessera.llm.op04_decontaminate import TARGET, Block, classes_of, contaminated, edits_within, enough_walks, sure_pairs
+from tessera.llm.common import word_bytes, words_of
+from tessera.llm.op04_decontaminate import TARGET, Block, classes_of, contaminated, edits_within, enough_walks, in_groups, sure_pairs
 
 from .test_ops import docs_of, prose
 
@@ -19,6 +19,50 @@ def block_of(items, max_edits=0.2):
     return Block(items, max_edits, {s: enough_walks(*b, max_edits, 1, 4, 4, s) for s, b in sizes.items()})
 
 
+def walked(block, texts, monkeypatch):
+    """How many window starts walk when ``block`` looks through ``texts``, and what it finds."""
+    counts, keys = [], op04_decontaminate.Walks.keys
+
+    def counted(self, numbers, starts, random):
+        counts.append(len(starts))
+        return keys(self, numbers, starts, random)
+
+    monkeypatch.setattr(op04_decontaminate.Walks, "keys", counted)
+    hits = block.find(texts)
+    return counts, hits
+
+
+def test_windows_with_pairs_of_other_classes_do_not_walk(monkeypatch):
+    rng = random.Random(11)
+    short, long = prose(rng, 12).lower(), prose(rng, 40).lower()
+    block = block_of([(1, short), (2, long)])
+    counts, hits = walked(block, [f"{prose(rng, 200)} {long} {prose(rng, 200)}"], monkeypatch)
+    assert {i for _, i, *_ in hits} == {2} and len(counts) == 1  # the long class alone
+
+
+def test_reached_places_equal_a_plain_reading():
+    rng = random.Random(4)
+    for _ in range(300):
+        end, sure, reach = rng.randint(0, 80), rng.randint(1, 6), rng.randint(1, 20)
+        at = np.array(sorted(rng.sample(range(80), rng.randint(0, 30))), np.int64)
+        runs = [(at[i], at[i + sure - 1]) for i in range(len(at) - sure + 1) if at[i + sure - 1] - at[i] < reach]
+        want = [n for n in range(end) if any(b - reach < n < a + reach for a, b in runs)]
+        assert Block.reached(at, sure, reach, end).tolist() == want
+
+
+def test_words_as_bytes_equal_words():
+    texts = [None, "", "A b", "ÀÉ x9\u00a0y\u2028z\x1fq_Z\x85w", "".join(map(chr, range(0x250))), "a\n\tb\0C"]
+    assert [[w.decode() for w in word_bytes(t)] for t in texts] == [words_of(t) for t in texts]
+
+
+def test_short_texts_walk_together_and_long_ones_alone():
+    texts = ["a b", None, "", "x" * op04_decontaminate.GROUP_CHARS, "c"] + ["d"] * 50_000
+    groups = list(in_groups(texts))
+    assert [t for _, g in groups for t in g] == texts and [i for i, _ in groups][:3] == [0, 3, 4]
+    assert all(len(g) * (1 + op04_decontaminate.GAP) <= op04_decontaminate.GROUP_CHARS for _, g in groups[2:]) and len(groups) < 7
+    assert list(in_groups([])) == []
+
+
 def edited(rng, words, n):
     w = [[x] for x in words]
     for p in rng.sample(range(len(w)), n):
