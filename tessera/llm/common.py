@@ -5,7 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +32,22 @@ def word_bytes(text: str | None) -> list[bytes]:
     return text.encode().translate(FOLDED).split() if text else []
 
 
+#: UTF-8 bytes of the texts that tasks take together.
+GROUP_BYTES = 2 << 20
+
+
+def text_groups(column: pa.Array, more: int = 0) -> Iterator[tuple[int, list[str | None]]]:
+    """Runs of texts of at most GROUP_BYTES bytes (or one text), each with the place of its first; a text counts ``more`` bytes more."""
+    first, held = 0, 0
+    for i, size in enumerate(pc.binary_length(column).fill_null(0).to_pylist()):
+        if i > first and held + size + more > GROUP_BYTES:
+            yield first, column.slice(first, i - first).to_pylist()
+            first, held = i, 0
+        held += size + more
+    if len(column):
+        yield first, column.slice(first).to_pylist()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one in local mode where that is unset."""
     at = spark.conf.get("spark.checkpoint.dir", None)

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import scratch, text_groups
 from .tokens import crc32_of, encoder, tokenizer_path
 
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
@@ -35,9 +35,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, start = encoder(at), TaskContext.get().partitionId(), 0
         for whole in batches:
-            for i in range(0, whole.num_rows, 250):
-                b = whole.slice(i, 250)
-                ids, n = enc.batch(b.column("text").to_pylist(), end_id)
+            for i, texts in text_groups(whole.column("text"), 1):
+                b = whole.slice(i, len(texts))
+                ids, n = enc.batch(texts, end_id)
                 ends = np.cumsum(n)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(np.full(len(n), part, dtype=np.int32)), pa.array(start + ends - n), pa.array(n), lists], ["doc_id", "part", "part_start", "n_tokens", "ids"])

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, word_bytes, words_of
+from .common import stored, text_groups, word_bytes, words_of
 from .shingles import mixed
 
 #: Words of a window at most, and empty words after a text, which no walk goes beyond.
@@ -30,8 +30,6 @@ PIECE = 48
 GAP = 2 * PIECE + 1
 #: The share of items with all the edits allowed that the walks of a class find in a simulation of TRIALS items, and walks at most.
 TARGET, TRIALS, MOST_WALKS = 0.99, 300, 256
-#: Characters of the texts that walk together; a longer text walks alone.
-GROUP_CHARS = 2 << 20
 SCHEMA = "doc_id long, item_id long, start_word long, n_words long, edits long"
 
 
@@ -300,19 +298,6 @@ class Block:
                     found[doc, x] = (a - int(begin[doc]) + p, q - p, e)
 
 
-def in_groups(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
-    """Runs of ``texts`` of at most GROUP_CHARS characters (or one text), each with the place of its first; texts count GAP more."""
-    first, size = 0, 0
-    for i, text in enumerate(texts):
-        own = len(text or "") + GAP
-        if i > first and size + own > GROUP_CHARS:
-            yield first, texts[first:i]
-            first, size = i, 0
-        size += own
-    if texts:
-        yield first, texts[first:]
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, walks: int = 1, tables: int = 4, samples: int = 4, block_chars: int = 4 << 20) -> DataFrame:
     """The items found in each document: doc_id, item_id, start_word, n_words, edits (one row per pair, its best place).
 
@@ -339,7 +324,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2,
             block = Block(shared.value[0], max_edits, shared.value[1])
             for b in batches:
                 ids, rows = b.column("doc_id").to_pylist(), []
-                for i, texts in in_groups(b.column("text").to_pylist()):
+                for i, texts in text_groups(b.column("text"), GAP):
                     rows += [(ids[i + d], *hit) for d, *hit in block.find(texts)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(5)], names)
 

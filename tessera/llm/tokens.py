@@ -5,9 +5,12 @@ from __future__ import annotations
 import re
 import zlib
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
+from operator import attrgetter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Letters of which every Unicode version has the same (Latin, Greek, Cyrillic), and signs that are neither
 #: letters nor numbers nor white space. Texts of these alone are cut by the standard re module as by the public pattern.
@@ -23,6 +26,21 @@ PAIRS = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
 JOINED_STOP = re.compile(rf"[.,](?:(?<=[\s{SIGN}][.,])|[{SIGN}])")
 #: Stands before the key of a text part without a space before it.
 BARE = "\0"
+#: Stands between the parts of all texts of a batch.
+CUT = "\1"
+
+
+#: The character that stands for each byte in the vocabulary of byte-level BPE.
+SHOWN = [b for b in range(256) if chr(b).isprintable() and b != 0x20]
+LEVEL = {b: chr(b) for b in SHOWN} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in SHOWN)}
+SPACE = LEVEL[0x20]
+
+
+def byte_level(pre: str) -> str:
+    """A pre-token in the characters of its bytes; printable ASCII stands for itself."""
+    if pre.isascii() and pre.isprintable() and not pre.isspace():
+        return SPACE + pre[1:] if pre[0] == " " else pre
+    return pre.encode().decode("latin-1").translate(LEVEL)
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -44,7 +62,17 @@ class Memo(dict):
         slot = self[key] = len(self)
         return slot
 
-    def fill(self, slots: list[int], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def slots(self, keys: list[str]) -> np.ndarray:
+        """The slots of distinct keys."""
+        out = np.fromiter(map(self.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(out < 0)
+        out[new] = np.arange(len(self), len(self) + len(new))
+        fresh = [keys[i] for i in new.tolist()]
+        self.update(zip(fresh, out[new].tolist(), strict=True))
+        self.waiting += fresh
+        return out
+
+    def fill(self, slots: list[int] | np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         """The ids of slots: ``ids`` holds those of one slot after the other."""
         while len(self) > len(self.start):
             self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
@@ -66,8 +94,8 @@ class Encoder:
     """Ids of texts, equal to Tokenizer.encode(text, add_special_tokens=False).ids.
 
     Byte-level BPE works on one pre-token at a time, and a space is the beginning of one, so a text is cut at its spaces
-    and the ids of the parts are kept in a memo. New parts are cut into pre-tokens, which go to the tokenizers library
-    together. A memo of ``limit`` parts becomes the older one, whose parts pass to the new one when they are met again;
+    and the ids of the parts are kept in a memo, which is asked once for each distinct part of a batch. New parts are cut into pre-tokens, which go to the model of the tokenizers
+    library one by one: it takes them as they are, while a text would be cut by the pattern once more. A memo of ``limit`` parts becomes the older one, whose parts pass to the new one when they are met again;
     an older memo before it is forgotten. Texts with characters outside the plain set, or with the content of an
     added token, go to the library whole.
     """
@@ -79,28 +107,30 @@ class Encoder:
         added = [re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(added)) if added else None
         self.memo, self.older, self.limit = Memo(), Memo(), limit
-        (self.newline,) = self.tok.encode("\n", add_special_tokens=False).ids
+        self.merged = self.tok.model.tokenize
 
-    def parts(self, text: str) -> list[str] | None:
-        """Keys of the parts of a text; None where the library has to see it whole."""
+    def parts(self, text: str) -> str | None:
+        """Keys of the parts of a text, with CUT between them; None where the library has to see it whole."""
         if not SIMPLE.fullmatch(text) or self.added and self.added.search(text):
             return None
         if any(p in text for p in PAIRS) and INNER_SPACE.search(text):
-            return [p[1:] if p[0] == " " else BARE + p for p in SPLIT.findall(text)]
+            return CUT.join(p[1:] if p[0] == " " else BARE + p for p in SPLIT.findall(text))
+        out = text.replace(" ", CUT)
         if not JOINED_STOP.search(text):  # words then have one part, with or without a stop after them
-            text = text.replace(".", f" {BARE}.").replace(",", f" {BARE},")
-        out = text.split(" ")
-        out[0] = BARE + out[0].lstrip(BARE)
-        return out
+            out = out.replace(".", f"{CUT}{BARE}.").replace(",", f"{CUT}{BARE},")
+        return BARE + out
 
     def batch(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of texts (null: empty), each followed by ``end_id``, in a row, and how many are of each text."""
+        if not texts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         end = f"{BARE}{BARE}{end_id}"
-        parts = [self.parts(t) if t else [] for t in texts]
+        parts = [self.parts(t) if t else "" for t in texts]
         whole = [i for i, p in enumerate(parts) if p is None]
-        parts = [[end] if p is None else [*p, end] for p in parts]
-        lengths = np.array([len(p) for p in parts], np.int64)
-        slots = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(parts)), np.int64, int(lengths.sum()))
+        every = pc.split_pattern(pa.array([CUT.join(chain.from_iterable((p, end) if p else (end,) for p in parts))], pa.large_string()), CUT).values.dictionary_encode()
+        keys, place = every.dictionary.to_numpy(zero_copy_only=False).tolist(), every.indices.to_numpy()
+        lengths = np.diff(np.flatnonzero(place == keys.index(end)), prepend=-1)
+        slots = self.memo.slots(keys)[place]
         self.learn()
         ids, n = self.memo.gathered(slots)
         upto = np.concatenate([[0], np.cumsum(n)])[np.cumsum(lengths)]
@@ -120,29 +150,35 @@ class Encoder:
     def learn(self) -> None:
         """Finds the ids of the parts that wait: in the older memo, or from their pre-tokens."""
         memo, older, waiting = self.memo, self.older, self.memo.waiting
-        known: list[tuple[int, int]] = []
         several: list[tuple[int, list[int]]] = []
-        alone: list[tuple[int, str]] = []
-        ends: list[tuple[int, int]] = []
-        for slot, key in enumerate(waiting, len(memo) - len(waiting)):  # grows as pre-tokens of parts are met
-            if key in older:
-                known.append((slot, older[key]))
-            elif key.isalpha():
-                alone.append((slot, " " + key))
-            elif key.startswith(BARE * 2):
-                ends.append((slot, int(key[2:])))
-            else:
-                pre = SPLIT.findall(key[1:] if key[:1] == BARE else " " + key)
-                if len(pre) == 1:
-                    alone.append((slot, pre[0]))
+        alone: list[int] = []
+        words: list[str] = []
+        begin = done = len(memo) - len(waiting)
+        while done < len(memo):  # grows as pre-tokens of parts are met
+            keys = waiting[done - begin :]
+            at = np.fromiter(map(older.get, keys, repeat(-1)), np.int64, len(keys))
+            known = np.flatnonzero(at >= 0)
+            if len(known):
+                memo.fill(done + known, *older.gathered(at[known]))
+            for i in np.flatnonzero(at < 0).tolist():
+                key = keys[i]
+                if key.isalpha():
+                    alone.append(done + i)
+                    words.append(SPACE + (key if key.isascii() else byte_level(key)))
+                elif key.startswith(BARE * 2):
+                    memo.fill([done + i], np.array([int(key[2:])], np.uint32), np.ones(1, np.int64))
                 else:
-                    several.append((slot, [memo[p[1:] if p[0] == " " and len(p) > 1 else BARE + p] for p in pre]))
-        if known:
-            memo.fill([s for s, _ in known], *older.gathered(np.array([o for _, o in known])))
-        if ends:
-            memo.fill([s for s, _ in ends], np.array([e for _, e in ends], np.uint32), np.ones(len(ends), np.int64))
-        for slots, ids, sizes in self.encoded(alone):
-            memo.fill(slots, ids, sizes)
+                    pre = SPLIT.findall(key[1:] if key[:1] == BARE else " " + key)
+                    if len(pre) == 1:
+                        alone.append(done + i)
+                        words.append(byte_level(pre[0]))
+                    else:
+                        several.append((done + i, [memo[p[1:] if p[0] == " " and len(p) > 1 else BARE + p] for p in pre]))
+            done += len(keys)
+        for i in range(0, len(alone), 5_000):
+            tokens = list(map(self.merged, words[i : i + 5_000]))
+            sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+            memo.fill(alone[i : i + 5_000], np.fromiter(map(attrgetter("id"), chain.from_iterable(tokens)), np.uint32, int(sizes.sum())), sizes)
         if several:
             of = np.array([len(p) for _, p in several])
             ids, n = memo.gathered(np.array([s for _, p in several for s in p], np.int64))
@@ -150,19 +186,6 @@ class Encoder:
             memo.fill([s for s, _ in several], ids, np.diff(upto, prepend=0))
         waiting.clear()
 
-    def encoded(self, alone: list[tuple[int, str]], group: int = 5_000):  # noqa: ANN201
-        """(slots, ids, sizes) of pre-tokens; many go in one call, as a newline between two is a pre-token of its own."""
-        plain = [x for x in alone if not x[1].isspace()]
-        for i in range(0, len(plain), group):
-            own = plain[i : i + group]
-            ids = np.array(self.tok.encode_batch_fast(["\n".join(p for _, p in own)], add_special_tokens=False)[0].ids, np.uint32)
-            cut = np.append(np.flatnonzero(ids == self.newline), len(ids))
-            yield [s for s, _ in own], ids[ids != self.newline], np.diff(cut, prepend=-1) - 1
-        for slot, p in alone:
-            if p.isspace():
-                ids = self.tok.encode(p, add_special_tokens=False).ids
-                yield [slot], np.array(ids, np.uint32), np.array([len(ids)])
-
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:

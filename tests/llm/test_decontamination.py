@@ -4,12 +4,13 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import op04_decontaminate
-from tessera.llm.common import word_bytes, words_of
-from tessera.llm.op04_decontaminate import TARGET, Block, classes_of, contaminated, edits_within, enough_walks, in_groups, sure_pairs
+from tessera.llm.common import GROUP_BYTES, text_groups, word_bytes, words_of
+from tessera.llm.op04_decontaminate import TARGET, Block, classes_of, contaminated, edits_within, enough_walks, sure_pairs
 
 from .test_ops import docs_of, prose
 
@@ -56,11 +57,11 @@ def test_words_as_bytes_equal_words():
 
 
 def test_short_texts_walk_together_and_long_ones_alone():
-    texts = ["a b", None, "", "x" * op04_decontaminate.GROUP_CHARS, "c"] + ["d"] * 50_000
-    groups = list(in_groups(texts))
+    gap, texts = op04_decontaminate.GAP, ["a b", None, "", "é" * GROUP_BYTES, "c"] + ["d"] * 50_000
+    groups = list(text_groups(pa.array(texts), gap))
     assert [t for _, g in groups for t in g] == texts and [i for i, _ in groups][:3] == [0, 3, 4]
-    assert all(len(g) * (1 + op04_decontaminate.GAP) <= op04_decontaminate.GROUP_CHARS for _, g in groups[2:]) and len(groups) < 7
-    assert list(in_groups([])) == []
+    assert all(len(g) * (1 + gap) <= GROUP_BYTES for _, g in groups[2:]) and len(groups) < 7
+    assert list(text_groups(pa.array([], pa.string()))) == []
 
 
 def edited(rng, words, n):

@@ -17,7 +17,7 @@ from tessera.llm.op05_minhash import near_duplicates
 from tessera.llm.op08_embedding_dedup import audited_recall, near_vectors
 from tessera.llm.op10_suffix_dedup import repeated_passages
 from tessera.llm.shingles import WeightedSampler, document_frequencies, idf_levels, mixed, shingles, weighted, weighted_jaccard, word_hashes
-from tessera.llm.tokens import Encoder, tokenizer_path
+from tessera.llm.tokens import Encoder, byte_level, tokenizer_path
 
 from ..conftest import SF
 
@@ -92,6 +92,33 @@ def test_encoder_keeps_added_tokens():
     assert 50256 in enc.ids("a <|endoftext|> b", 7)
 
 
+def test_encoder_asks_once_for_a_part_and_cuts_words_once():
+    class Cutter:
+        def encode_batch_fast(self, texts, **_):
+            raise AssertionError("plain words went through the pattern of the library")
+
+    enc, words = Encoder(tokenizer_path()), [f"wörd{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)]
+    texts = [" ".join(words[i:] + words[:i]) + "." for i in range(0, 600, 50)] + [None, "", ".", "a,b", "x  y", "\n\n", "漢" * 3]
+    want = [[*enc.tok.encode(t or "", add_special_tokens=False).ids, 7] for t in texts]
+    whole, enc.tok = enc.tok, Cutter()
+    asked, get = [], enc.memo.get
+    enc.memo.slots = lambda keys, slots=enc.memo.slots: asked.extend(keys) or slots(keys)
+    ids, n = enc.batch(texts[:-1], 7)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == want[:-1]
+    assert len(asked) == len(set(asked)) and len(asked) < 640 and all(get(k) is not None for k in asked)
+    enc.tok = whole
+    assert [len(x) for x in enc.batch([], 7)] == [0, 0]
+    assert enc.batch(texts[-2:], 7)[0].tolist() == want[-2] + want[-1]
+
+
+def test_characters_of_bytes_are_those_of_the_library():
+    from tokenizers import pre_tokenizers
+
+    level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    for pre in (" a", "a", "\n", " ", "  ", "\t\r\n", " é", "ñandú", "’", "€", "\x7f", *map(chr, range(1, 0x250))):
+        assert byte_level(pre) == level.pre_tokenize_str(pre)[0][0]
+
+
 def test_sampler_estimates_weighted_jaccard():
     rng, own = np.random.default_rng(0), WeightedSampler(512)
     for share in (0.5, 0.8, 0.95):
