@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import HEADING, mostly_upper, stripped, title_key, title_like, unwrapped
-from .chunks import lines_of
+from ..functions.text import HEADING, WHITE, mostly_upper, stripped, title_key, title_like, unwrapped
+from ..session import settled
 from .containment import held_terms
 
 
@@ -16,12 +16,15 @@ def titles(texts: DataFrame, keys: list[str]) -> DataFrame:
     Headings of level 2 to 4 are titles of source markdown (3 to 100 characters). Other lines of 5 to 80 characters are
     titles of source heuristic where letters are mostly upper case or the lines around are blank.
     """
-    rows = lines_of(texts, keys)
-    by = Window.partitionBy(*keys).orderBy("pos")
-    blank = stripped(F.col("line")) == ""
-    rows = rows.withColumn("alone", F.coalesce(F.lag(blank).over(by), F.lit(True)) & F.coalesce(F.lead(blank).over(by), F.lit(True)))
-    line = F.regexp_replace(F.regexp_replace("line", r"^\f+", ""), r"(?U)\s+$", "")
-    rows = rows.select(*keys, "pos", "alone", line.alias("line")).where(title_like(F.col("line")))
+    rows = texts.select(*keys, F.split("text", "\n").alias("raw")).withColumn("blank", F.transform("raw", lambda x: stripped(x) == ""))
+    rows = rows.withColumn("line", F.transform("raw", lambda x: F.ltrim(F.rtrim(x, F.lit(WHITE)), F.lit("\f"))))
+    n, end = F.size("blank"), F.array(F.lit(True))
+    rows = rows.withColumn("before", F.concat(end, F.slice("blank", F.lit(1), n - 1))).withColumn("after", F.concat(F.slice("blank", F.lit(2), n), end))
+    rows = rows.withColumn("pos", F.sequence(F.lit(0), n - 1))
+    # lines that can't be titles go while they are in the array: what follows costs much more, and Spark would do it for all
+    short = lambda x: x["line"].startswith("##") | F.length(x["line"]).between(5, 80)
+    rows = rows.select(*keys, F.explode(F.filter(F.arrays_zip("pos", "line", "before", "after"), lambda x: short(x) & title_like(x["line"]))).alias("x"))
+    rows = rows.select(*keys, "x.pos", "x.line", (F.col("x.before") & F.col("x.after")).alias("alone"))
     heading = F.col("line").rlike(HEADING)
     rows = rows.withColumn("title", unwrapped(F.col("line")))
     marked = heading & F.length("title").between(3, 100)
@@ -33,7 +36,7 @@ def titles(texts: DataFrame, keys: list[str]) -> DataFrame:
 
 def occurrences(terms: DataFrame, texts: DataFrame, group: str, term: str) -> DataFrame:
     """(group, term, n): how often a term stands in the normalised texts of its group, parts of words included."""
-    own = terms.select(F.col(group).alias("g"), F.col(term).alias("term"), title_key(F.col(term)).alias("k")).distinct()
+    own = settled(terms.select(F.col(group).alias("g"), F.col(term).alias("term")).distinct().withColumn("k", title_key(F.col("term"))))
     held = held_terms(own, texts.select(F.col(group).alias("g"), title_key(F.col("text")).alias("text")))
     return own.join(held, ["g", "k"], "left").select(F.col("g").alias(group), F.col("term").alias(term), F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -44,7 +47,7 @@ def covered_titles(wanted: DataFrame, texts: DataFrame, group: str, share: float
     A title of one distinct word is covered by 1 occurrence (markdown) or 3 (heuristic), parts of words included; any
     other where a text holds it, or ``share`` of its distinct words if it has three or more. A title without words is held by any text.
     """
-    own = wanted.select(F.col(group).alias("g"), "title", "source", title_key(F.col("title")).alias("k")).distinct()
+    own = settled(wanted.select(F.col(group).alias("g"), "title", "source").distinct().withColumn("k", title_key(F.col("title"))))
     keyed = texts.select(F.col(group).alias("g"), title_key(F.coalesce("text", F.lit(""))).alias("text"))
     held = held_terms(own, keyed, share, count_all=False)
     some = keyed.select("g").distinct().withColumn("some", F.lit(True))
@@ -62,10 +65,11 @@ def coverage(sources: DataFrame, chunks: DataFrame, covered: DataFrame, group: s
     text once.
     """
     s = sources.groupBy(group).agg(F.sum(F.length("text")).alias("source_chars"))
-    c = chunks.groupBy(group).agg(F.count("*").alias("n_chunks"), F.sum(F.length("text")).alias("index_chars"))
-    d = chunks.select(group, "text").distinct().groupBy(group).agg(F.sum(F.length("text")).alias("distinct_chars"))
+    # digests stand for equal texts, which don't travel
+    each = chunks.groupBy(group, F.sha2("text", 256).alias("digest")).agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"), F.max(F.length("text")).alias("once"))
+    c = each.groupBy(group).agg(F.sum("n").alias("n_chunks"), F.sum("chars").alias("index_chars"), F.sum("once").alias("distinct_chars"))
     t = covered.groupBy(group).agg(F.count("*").alias("n_titles"), F.count_if("covered").alias("n_covered"))
-    rows = s.join(c, group, "left").join(d, group, "left").join(t, group, "left").fillna(0)
+    rows = s.join(c, group, "left").join(t, group, "left").fillna(0)
 
     def share(a: str, b: str):  # noqa: ANN202
         return F.when(F.col(b) > 0, F.round(F.least(F.lit(100.0), 100.0 * F.col(a) / F.col(b)), 1)).otherwise(0.0)

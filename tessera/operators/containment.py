@@ -1,20 +1,28 @@
-"""Which texts hold which terms: joins on words, parts of words and their pairs, verified on the text.
+"""Which texts hold which terms: joins on words, parts of words and windows around spaces, verified on the text.
 
 Terms are never held against all texts. A term of one word is looked for in the vocabulary of a group, by its rarest piece of
-a few letters; one of two words in the pairs of neighbouring words; in any longer one the words between its ends stand
-whole in a text that holds it, and the rarest of them says which texts to look at. Texts come to the terms they may
-hold, once.
+a few letters; one of several words by its rarest window around a space. Texts come to the terms they may hold, once. What
+no term asks for is left out in the task that reads it, before anything is shuffled.
 """
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import settled
+from ..session import dropped, settled, stored
 
-#: Letters of a piece of a word, and of the beginning of a second word, that joins go by.
-PIECE, BEGINNING = 4, 6
+#: Letters of a piece of a word that joins go by.
+PIECE = 4
+#: Characters before and after a space of the windows that joins go by; a term has windows of the first shape that it has room for.
+SHAPES = ((6, 6), (2, 4), (5, 1), (1, 4), (1, 1))
+BEFORE, AFTER = (max(shape[i] for shape in SHAPES) for i in (0, 1))
+#: Values of the hashes that ``likely`` goes by: a broadcast has so many rows at most. Words a task counts before it passes them on.
+SLOTS, MOST_WORDS = 1 << 20, 300_000
 
 
 def occurrences_of(text: Column, term: Column) -> Column:
@@ -29,40 +37,93 @@ def rarest(rows: DataFrame, keys: list[str], piece: str, counts: DataFrame, grou
     return ranked.where(F.col("_n") <= most).drop("_n", "df")
 
 
-def pieces(word: str, sizes: Column) -> Column:
-    """All distinct pieces of a word of the given lengths."""
-    return F.array_distinct(F.flatten(F.transform(sizes, lambda q: F.transform(F.sequence(F.lit(1), F.greatest(F.length(word) - q + 1, F.lit(1))), lambda i: F.substr(F.col(word), i, q)))))
+def likely(rows: DataFrame, asked: DataFrame, by: list[str]) -> DataFrame:
+    """``rows`` without most of those whose ``by`` is not among the ``asked``: only hashes are compared, in the tasks, and nothing is shuffled."""
+    slot = F.pmod(F.xxhash64(*by), F.lit(SLOTS)).alias("_slot")
+    return rows.select("*", slot).join(F.broadcast(asked.select(slot).distinct()), "_slot", "left_semi").drop("_slot")
 
 
-def in_words(terms: DataFrame, words: DataFrame) -> DataFrame:
-    """(g, k, n): how often terms of one word (g, k) stand in the words (g, w, n) of their group, parts of words included."""
-    size = F.least(F.length("k"), F.lit(PIECE))
-    own = terms.select("g", "k", F.explode(pieces("k", F.array(size))).alias("piece"))
-    asked = own.select("g", "piece").distinct()
-    held = words.select("g", "w", "n", F.explode(pieces("w", F.sequence(F.lit(1), F.least(F.length("w"), F.lit(PIECE))))).alias("piece")).join(asked, ["g", "piece"], "left_semi")
-    held = settled(held)
-    anchors = rarest(own, ["g", "k"], "piece", held.groupBy("g", "piece").agg(F.count("*").alias("df")), ["g"])
-    met = anchors.join(held, ["g", "piece"]).select("g", "k", (F.col("n") * occurrences_of(F.col("w"), F.col("k"))).alias("n")).where("n > 0")
-    return met.groupBy("g", "k").agg(F.sum("n").alias("n"))
+def windows(text: Column | str, before: int, after: int) -> Column:
+    """All places of a text where a space has so many characters before and after it, with these."""
+    return F.regexp_extract_all(text, F.lit(f"(?s) (?<=(?=(.{{{before + 1 + after}}})).{{{before + 1}}})"), F.lit(1))
 
 
-def in_pairs(terms: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(g, k, x, y): the pairs of neighbouring words (g, x, y) that hold terms of two words (g, k)."""
-    both = F.split("k", " ")
-    own = terms.select("g", "k", both[0].alias("a"), both[1].alias("b")).withColumn("start", F.substring("b", 1, BEGINNING))
-    asked = own.select("g", "start").distinct()
-    begun = pairs.withColumn("start", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("y"), F.lit(BEGINNING))), lambda n: F.substr(F.col("y"), F.lit(1), n)))).join(asked, ["g", "start"], "left_semi")
-    return own.join(begun, ["g", "start"]).where(F.col("x").endswith(F.col("a")) & F.col("y").startswith(F.col("b"))).select("g", "k", "x", "y")
+def pieces(word: str, sizes: list[int]) -> Column:
+    """All distinct pieces of a word of the given lengths, in time that grows with the word."""
+    return F.array_distinct(F.concat(*[F.regexp_extract_all(word, F.lit(f"(?s)(?=(.{{{q}}}))"), F.lit(1)) for q in sizes]))
 
 
-def counted_in(candidates: DataFrame, texts: DataFrame) -> DataFrame:
-    """(g, id, k, n, shared) of candidates (g, id, k): occurrences in the text, and how many distinct words both have.
+def counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(g, w, n) of batches (g, t): the words of the texts, summed up within the task; a task that sees very many passes them on in parts."""
+    counts: dict = defaultdict(Counter)
 
-    A text meets the list of its terms in one row.
-    """
-    listed = candidates.groupBy("g", "id").agg(F.collect_set("k").alias("ks"))
-    met = texts.join(listed, ["g", "id"]).select("g", "id", "t", F.array_distinct(F.split("t", " ")).alias("own"), F.explode("ks").alias("k"))
-    return met.select("g", "id", "k", occurrences_of(F.col("t"), F.col("k")).alias("n"), F.size(F.array_intersect("own", F.array_distinct(F.split("k", " ")))).alias("shared"))
+    def out() -> pa.RecordBatch:
+        g, w, n = zip(*((g, w, n) for g, own in counts.items() for w, n in own.items()))
+        counts.clear()
+        return pa.RecordBatch.from_arrays([pa.array(g, kind), pa.array(w, pa.string()), pa.array(n, pa.int64())], ["g", "w", "n"])
+
+    for batch in batches:
+        kind = batch.column(0).type
+        for g, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+            counts[g].update(t.as_py().split(" "))
+            if sum(map(len, counts.values())) > MOST_WORDS:
+                yield out()
+    if counts:
+        yield out()
+
+
+def in_words(terms: DataFrame, texts: DataFrame) -> DataFrame:
+    """(g, k, n): how often terms of one word (g, k) stand in the texts (g, t) of their group, parts of words included."""
+    size = F.least(F.length("k"), F.lit(PIECE))
+    sizes = sorted(r[0] for r in terms.select(size).distinct().collect())
+    if not sizes:
+        return terms.select("g", "k", F.lit(0).cast("long").alias("n"))
+    kind = texts.schema["g"].dataType.simpleString()
+    words = stored(texts.where("g IS NOT NULL").select("g", "t").mapInArrow(counted_words, f"g {kind}, w string, n long").groupBy("g", "w").agg(F.sum("n").alias("n")), "words")
+    held = words.select("g", "w", "n", F.explode(pieces("w", sizes)).alias("piece"))
+    own = terms.select("g", "k", F.explode(F.filter(pieces("k", sizes), lambda p: F.length(p) == size)).alias("piece"))
+    choice = own.where(F.length("k") > PIECE).select("g", "piece")  # the others have one piece
+    anchors = settled(rarest(own, ["g", "k"], "piece", likely(held, choice, ["g", "piece"]).groupBy("g", "piece").agg(F.count("*").alias("df")), ["g"]))
+    met = anchors.join(likely(held, anchors, ["g", "piece"]), ["g", "piece"]).select("g", "k", (F.col("n") * occurrences_of(F.col("w"), F.col("k"))).alias("n")).where("n > 0")
+    out = settled(met.groupBy("g", "k").agg(F.sum("n").alias("n")))
+    dropped(words)
+    return out
+
+
+def candidates(anchors: DataFrame, held: DataFrame, by: str, texts: DataFrame) -> DataFrame:
+    """(g, id, t, ks): the texts (g, id, t) that hold, by ``held`` (g, id, by), anchors (g, k, by) of terms, each once with the list of these terms."""
+    listed = settled(anchors.join(held, ["g", by]).groupBy("g", "id").agg(F.collect_set("k").alias("ks")))
+    return likely(texts, listed, ["id"]).join(listed, ["g", "id"]).select("g", "id", "t", "ks")
+
+
+def in_windows(terms: DataFrame, texts: DataFrame, count: Column) -> DataFrame:
+    """(g, k, n) of the terms of several words (g, k) that stand in texts (g, id, t) of their group: ``n`` occurrences where ``count`` says so, else 0."""
+    fitting = F.coalesce(*[F.when(F.size(windows("k", *shape)) > 0, F.struct(F.lit(i).alias("shape"), F.array_distinct(windows("k", *shape)).alias("xs"))) for i, shape in enumerate(SHAPES)])
+    own = settled(terms.select("g", "k", fitting.alias("f")).select("g", "k", "f.shape", F.explode("f.xs").alias("x")))
+    shapes = [SHAPES[i] for i in sorted(r[0] for r in own.select("shape").distinct().collect())]
+    padded = F.concat(F.lit(" " * BEFORE), F.col("t"), F.lit(" " * AFTER))
+    around = texts.select("g", "id", F.explode(windows(padded, BEFORE, AFTER)).alias("c"))
+    cut = F.array(*[F.substring("c", BEFORE + 1 - a, a + 1 + b) for a, b in shapes])
+    held = stored(likely(around.select("g", "id", F.explode(cut).alias("x")), own, ["g", "x"]), "windows")
+    anchors = settled(rarest(own.select("g", "k", "x"), ["g", "k"], "x", held.groupBy("g", "x").agg(F.count("*").alias("df")), ["g"]))
+    each = candidates(anchors, held, "x", texts).select("g", "t", F.explode("ks").alias("k"))
+    found = each.where(F.contains("t", "k")).select("g", "k", F.when(count, occurrences_of(F.col("t"), F.col("k"))).otherwise(0).alias("n"))
+    out = settled(found.groupBy("g", "k").agg(F.sum("n").alias("n")))
+    dropped(held)
+    return out
+
+
+def sharing(terms: DataFrame, texts: DataFrame, share: float) -> DataFrame:
+    """(g, k) of the terms (g, k) of whose distinct words a text (g, id, t) of their group has that share."""
+    own = F.array_distinct(F.split("k", " "))
+    most = F.size(own) - F.ceil(F.size(own) * share - 1e-9) + 1
+    prefix = settled(terms.select("g", "k", F.explode(own).alias("w"), most.alias("most")))
+    held = stored(likely(texts.select("g", "id", F.explode(F.array_distinct(F.split("t", " "))).alias("w")), prefix, ["g", "w"]), "held")
+    anchors = settled(rarest(prefix, ["g", "k"], "w", held.groupBy("g", "w").agg(F.count("*").alias("df")), ["g"], F.col("most")))
+    each = candidates(anchors, held, "w", texts).select("g", F.array_distinct(F.split("t", " ")).alias("ws"), "ks").select("g", "ws", F.explode("ks").alias("k"))
+    out = settled(each.where(F.size(F.array_intersect("ws", own)) >= share * F.size(own)).select("g", "k").distinct())
+    dropped(held)
+    return out
 
 
 def held_terms(terms: DataFrame, texts: DataFrame, share: float | None = None, least_words: int = 3, count_all: bool = True) -> DataFrame:
@@ -70,39 +131,25 @@ def held_terms(terms: DataFrame, texts: DataFrame, share: float | None = None, l
 
     ``n`` sums occurrences over the texts (without ``count_all``, of terms of one distinct word only). ``inside`` tells whether a text
     holds the term as it stands or, with ``share``, that part of its distinct words, if it has ``least_words`` or more: such a
-    text has one of the rarest words of a prefix of the term's, by frequency. Terms that no text holds have no row; an
-    empty term is held by no text.
+    text has one of the rarest words of a prefix of the term's, by frequency; only terms that stand in no text are looked for by
+    this. Terms that no text holds have no row; an empty term is held by no text.
     """
-    keys = terms.where("k <> ''").select("g", "k").distinct()
-    keyed = settled(texts.where("text <> ''").select("g", F.monotonically_increasing_id().alias("id"), F.col("text").alias("t")))
-    each = F.split("t", " ")
-    words = keyed.select("g", F.explode(each).alias("w")).groupBy("g", "w").agg(F.count("*").alias("n"))
+    keys = settled(terms.where("k <> ''").select("g", "k").distinct())
+    rows = texts.where("text <> ''").select("g", F.col("text").alias("t"))
     n_words, distinct = F.size(F.split("k", " ")), F.size(F.array_distinct(F.split("k", " ")))
-    single = in_words(keys.where(n_words == 1), words).withColumn("inside", F.lit(True))
-
-    next_ = F.transform(F.sequence(F.lit(1), F.size("ws") - 1), lambda i: F.struct(F.element_at("ws", i).alias("x"), F.element_at("ws", i + 1).alias("y")))
-    pairs = keyed.select("g", each.alias("ws")).where(F.size("ws") > 1).select("g", F.explode(F.array_distinct(next_)).alias("p")).select("g", "p.x", "p.y").distinct()
-    two = settled(in_pairs(keys.where(n_words == 2), pairs))
-    by_pair = F.lit(True) if count_all else F.size(F.array_distinct(F.split("k", " "))) == 1
-    seen = two.where(~by_pair).select("g", "k").distinct().select("g", "k", F.lit(0).cast("long").alias("n"), F.lit(True).alias("inside"))
-
-    inner = F.slice(F.split("k", " "), F.lit(2), n_words - 2)
-    whole = keys.where(n_words > 2).select("g", "k", F.explode(F.array_distinct(inner)).alias("w"))
-    prefix = keys.where(distinct >= least_words).select("g", "k", F.explode(F.array_distinct(F.split("k", " "))).alias("w"), (distinct - F.ceil(distinct * share - 1e-9) + 1).alias("most")) if share else None
-    asked = whole.select("g", "w") if prefix is None else whole.select("g", "w").unionByName(prefix.select("g", "w"))
-    asked = asked.unionByName(two.where(by_pair).select("g", F.col("x").alias("w"))).distinct()
-    held = settled(keyed.select("g", "id", F.explode(F.array_distinct(each)).alias("w")).join(asked, ["g", "w"], "left_semi"))
-    df = held.groupBy("g", "w").agg(F.count("*").alias("df"))
-    anchors = rarest(whole, ["g", "k"], "w", df, ["g"]).select("g", "k", "w")
-    if prefix is not None:
-        anchors = anchors.unionByName(rarest(prefix, ["g", "k"], "w", df, ["g"], F.col("most")).select("g", "k", "w"))
-    anchors = anchors.unionByName(two.where(by_pair).select("g", "k", F.col("x").alias("w"))).distinct()
-    found = counted_in(anchors.join(held, ["g", "w"]).select("g", "id", "k"), keyed)
-    inside = F.col("n") > 0
-    if share:
-        inside = inside | ((distinct >= least_words) & (F.col("shared") >= share * distinct))
-    longer = found.withColumn("inside", inside).where("inside").groupBy("g", "k").agg(F.sum("n").alias("n"), F.bool_or("inside").alias("inside"))
-    return single.unionByName(seen).unionByName(longer)
+    inside = F.lit(True).alias("inside")
+    out = in_words(keys.where(n_words == 1), rows).select("g", "k", "n", inside)
+    several = keys.where(n_words > 1)
+    if several.isEmpty():
+        return out
+    keyed = stored(rows.withColumn("id", F.monotonically_increasing_id()), "texts")
+    whole = in_windows(several, keyed, F.lit(True) if count_all else distinct == 1)
+    out = out.unionByName(whole.select("g", "k", "n", inside))
+    rest = settled(several.where(distinct >= least_words).join(whole, ["g", "k"], "left_anti")) if share else None
+    if rest is not None and not rest.isEmpty():
+        out = out.unionByName(sharing(rest, keyed, share).select("g", "k", F.lit(0).cast("long").alias("n"), inside))
+    dropped(keyed)
+    return out
 
 
 def holders(passages: DataFrame, docs: DataFrame) -> DataFrame:

@@ -42,5 +42,21 @@ def settled(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` written as Parquet in the shared folder and read back, for tables too large for ``settled``."""
+    path = fresh_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    back = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    back.tessera_path = path
+    return back
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables made by ``stored`` which nothing will read again."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.tessera_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -1,6 +1,7 @@
 """Terms in texts against a plain look at all pairs."""
 
 import random
+import time
 
 import pytest
 
@@ -54,3 +55,21 @@ def test_holders_equal_all_pairs(spark):
     asked = dict(enumerate([*parts, None, "", "absent", "absent word here", "Cd absent cd"]))
     got = {tuple(r) for r in holders(spark.createDataFrame(list(asked.items()), "query_id long, text string"), spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
     assert got == {(q, d) for q, p in asked.items() for d, t in docs.items() if p and t and p in t}
+
+
+def test_words_of_any_length(spark):
+    """Pieces of a word are cut in time that grows with the word: this took minutes."""
+    long = "ab" * 100_000 + "xyzzy"
+    terms = [("g", "xyzzy"), ("g", "bab"), ("g", "ba xyzz"), ("g", "zyzz")]
+    texts = [("g", f"begin {long}"), ("g", f"{long[:-5]} xyzzy end")]
+    began = time.time()
+    rows = held_terms(spark.createDataFrame(terms, "g string, k string"), spark.createDataFrame(texts, "g string, text string")).collect()
+    assert {(r.g, r.k): (r.n, r.inside) for r in rows} == plain(terms, texts, None)
+    assert time.time() - began < 60
+
+
+@pytest.mark.parametrize("term", ["a b", "ab cdef", "a bcde", "abcde f", "abcdef ghijkl", "zab cde fghijk", "abcdef ghijk lm", "é b", "été été à"])
+def test_windows_of_all_shapes(spark, term):
+    texts = [("g", t) for t in (term, f"x{term}y", f"x {term} y {term}", term[1:], term[:-1], term.replace(" ", "  "), "b a")] + [("h", term)]
+    rows = held_terms(spark.createDataFrame([("g", term)], "g string, k string"), spark.createDataFrame(texts, "g string, text string")).collect()
+    assert {(r.g, r.k): (r.n, r.inside) for r in rows} == plain([("g", term)], texts, None)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import jobs
+from tessera.functions import text
 from tessera.operators import audit, chunks, evaluate, golden, search, stats, watch
 from tessera.sources import index_store, readers
 
@@ -155,6 +156,27 @@ def test_titles(spark):
     assert [(r.title, r.source) for r in out] == [("Nombres", "markdown"), ("Ligne seule", "heuristic"), ("MAJUSCULES ICI", "heuristic")]
 
 
+def test_titles_are_cut_before_the_shuffle(spark):
+    rows = spark.createDataFrame([("d", "## x\n" + "a line, with a full stop.\n" * 3)], "k string, text string")
+    plan = audit.titles(rows, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "lag(" not in plan and plan.count("Exchange") == 1
+
+
+def test_coverage_counts_texts_once(spark):
+    chunks = spark.createDataFrame([("g", "abc"), ("g", "abc"), ("g", "de"), ("g", None), ("h", "abc")], "grp string, text string")
+    covered = spark.createDataFrame([("g", True), ("g", False)], "grp string, covered boolean")
+    rows = audit.coverage(chunks, chunks, covered, "grp")
+    assert {r.grp: (r.source_chars, r.index_chars, r.n_chunks, r.text_distinct_pct) for r in rows.collect()} == {"g": (8, 8, 4, 62.5), "h": (3, 3, 1, 100.0)}
+    assert "sha2(" in rows._jdf.queryExecution().optimizedPlan().toString()  # texts themselves are not shuffled
+
+
+def test_white_space_of_any_kind(spark):
+    rows = spark.createDataFrame([("\u3000 a b\u00a0\x85",), ("\x1ca\x1c",), ("\t\n",), (None,)], "t string")
+    assert [r[0] for r in rows.select(text.stripped(rows.t)).collect()] == ["a b", "\x1ca\x1c", "", None]
+    keys = spark.createDataFrame([("L'Été\u3000NOËL\x0bœuf  \u212a9 ",), ("!",), (None,)], "t string")
+    assert [r[0] for r in keys.select(text.title_key(keys.t)).collect()] == ["letenoel uf k9", "", None]
+
+
 def test_coverage(spark):
     titles = spark.createDataFrame([("g", "Art", "markdown"), ("g", "Art", "heuristic"), ("g", "un deux trois", "heuristic"), ("g", "absent mot", "heuristic"), ("g", "!!!", "markdown"), ("h", "Art", "markdown")], "grp string, title string, source string")
     texts = spark.createDataFrame([("g", "Une partie, deux un"), ("g", "trois un deux")], "grp string, text string")
