@@ -1,28 +1,21 @@
 """Which texts hold which terms: joins on words, parts of words and windows around spaces, verified on the text.
 
-Terms are never held against all texts. A term of one word is looked for in the vocabulary of a group, by its rarest piece of
-a few letters; one of several words by its rarest window around a space. Texts come to the terms they may hold, once. What
-no term asks for is left out in the task that reads it, before anything is shuffled.
+Terms are never held against all texts. A term of one word is looked for in the words of a group, by a piece of a few bytes; one
+of several words by its rarest window around a space. Texts come to the terms they may hold, once. What no term asks for is
+left out in the task that reads it, before anything is shuffled.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
-from collections.abc import Iterator
-
-import pyarrow as pa
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.windows import SLOT_BITS, table_of, term_windows, text_windows, window_counts, word_windows
 from ..session import dropped, settled, stored
 
-#: Letters of a piece of a word that joins go by.
-PIECE = 4
-#: Characters before and after a space of the windows that joins go by; a term has windows of the first shape that it has room for.
-SHAPES = ((6, 6), (2, 4), (5, 1), (1, 4), (1, 1))
-BEFORE, AFTER = (max(shape[i] for shape in SHAPES) for i in (0, 1))
-#: Values of the hashes that ``likely`` goes by: a broadcast has so many rows at most. Words a task counts before it passes them on.
-SLOTS, MOST_WORDS = 1 << 20, 300_000
+#: Values of the hashes that ``likely`` goes by: a broadcast has so many rows at most. Terms that are broadcast, at most.
+SLOTS, FEW = 1 << SLOT_BITS, 50_000
 
 
 def occurrences_of(text: Column, term: Column) -> Column:
@@ -43,74 +36,57 @@ def likely(rows: DataFrame, asked: DataFrame, by: list[str]) -> DataFrame:
     return rows.select("*", slot).join(F.broadcast(asked.select(slot).distinct()), "_slot", "left_semi").drop("_slot")
 
 
-def windows(text: Column | str, before: int, after: int) -> Column:
-    """All places of a text where a space has so many characters before and after it, with these."""
-    return F.regexp_extract_all(text, F.lit(f"(?s) (?<=(?=(.{{{before + 1 + after}}})).{{{before + 1}}})"), F.lit(1))
-
-
-def pieces(word: str, sizes: list[int]) -> Column:
-    """All distinct pieces of a word of the given lengths, in time that grows with the word."""
-    return F.array_distinct(F.concat(*[F.regexp_extract_all(word, F.lit(f"(?s)(?=(.{{{q}}}))"), F.lit(1)) for q in sizes]))
+def windows_of(terms: DataFrame) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """(g, k, h), the windows of terms (g, k), and which kinds (before, length) there are."""
+    kind = terms.schema["g"].dataType.simpleString()
+    own = settled(terms.where("g IS NOT NULL").select("g", "k").mapInArrow(term_windows, f"g {kind}, k string, before int, length int, h long"))
+    return own.select("g", "k", "h"), sorted(map(tuple, own.select("before", "length").distinct().collect()))
 
 
-def counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(g, w, n) of batches (g, t): the words of the texts, summed up within the task; a task that sees very many passes them on in parts."""
-    counts: dict = defaultdict(Counter)
+def asked_bits(own: DataFrame) -> np.ndarray:
+    """The table of the slots of the windows ``h``: 128 KB, however many they are."""
+    return table_of(own.select(F.shiftrightunsigned("h", 64 - SLOT_BITS).alias("slot")).distinct().toArrow().column(0).to_numpy())
 
-    def out() -> pa.RecordBatch:
-        g, w, n = zip(*((g, w, n) for g, own in counts.items() for w, n in own.items()))
-        counts.clear()
-        return pa.RecordBatch.from_arrays([pa.array(g, kind), pa.array(w, pa.string()), pa.array(n, pa.int64())], ["g", "w", "n"])
 
-    for batch in batches:
-        kind = batch.column(0).type
-        for g, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-            counts[g].update(t.as_py().split(" "))
-            if sum(map(len, counts.values())) > MOST_WORDS:
-                yield out()
-    if counts:
-        yield out()
+def few(rows: DataFrame) -> DataFrame:
+    """Settled ``rows``, to be broadcast where they are few: Spark doesn't know their size."""
+    return F.broadcast(rows) if rows.count() <= FEW else rows
 
 
 def in_words(terms: DataFrame, texts: DataFrame) -> DataFrame:
-    """(g, k, n): how often terms of one word (g, k) stand in the texts (g, t) of their group, parts of words included."""
-    size = F.least(F.length("k"), F.lit(PIECE))
-    sizes = sorted(r[0] for r in terms.select(size).distinct().collect())
-    if not sizes:
+    """(g, k, n): how often terms of one word (g, k) stand in the texts (g, t) of their group, parts of words included.
+
+    Words come to a term by the piece of it that the fewest terms of the group have.
+    """
+    own, kinds = windows_of(terms)
+    if not kinds:
         return terms.select("g", "k", F.lit(0).cast("long").alias("n"))
+    anchors = settled(rarest(own, ["g", "k"], "h", own.groupBy("g", "h").agg(F.count("*").alias("df")), ["g"]))
     kind = texts.schema["g"].dataType.simpleString()
-    words = stored(texts.where("g IS NOT NULL").select("g", "t").mapInArrow(counted_words, f"g {kind}, w string, n long").groupBy("g", "w").agg(F.sum("n").alias("n")), "words")
-    held = words.select("g", "w", "n", F.explode(pieces("w", sizes)).alias("piece"))
-    own = terms.select("g", "k", F.explode(F.filter(pieces("k", sizes), lambda p: F.length(p) == size)).alias("piece"))
-    choice = own.where(F.length("k") > PIECE).select("g", "piece")  # the others have one piece
-    anchors = settled(rarest(own, ["g", "k"], "piece", likely(held, choice, ["g", "piece"]).groupBy("g", "piece").agg(F.count("*").alias("df")), ["g"]))
-    met = anchors.join(likely(held, anchors, ["g", "piece"]), ["g", "piece"]).select("g", "k", (F.col("n") * occurrences_of(F.col("w"), F.col("k"))).alias("n")).where("n > 0")
-    out = settled(met.groupBy("g", "k").agg(F.sum("n").alias("n")))
-    dropped(words)
-    return out
+    held = texts.where("g IS NOT NULL").select("g", "t").mapInArrow(word_windows([length for _, length in kinds], asked_bits(anchors)), f"g {kind}, w string, n long, h long")
+    met = few(anchors).join(held, ["g", "h"]).select("g", "k", (F.col("n") * occurrences_of(F.col("w"), F.col("k"))).alias("n")).where("n > 0")
+    return settled(met.groupBy("g", "k").agg(F.sum("n").alias("n")))
 
 
 def candidates(anchors: DataFrame, held: DataFrame, by: str, texts: DataFrame) -> DataFrame:
     """(g, id, t, ks): the texts (g, id, t) that hold, by ``held`` (g, id, by), anchors (g, k, by) of terms, each once with the list of these terms."""
-    listed = settled(anchors.join(held, ["g", by]).groupBy("g", "id").agg(F.collect_set("k").alias("ks")))
+    listed = settled(few(anchors).join(held, ["g", by]).groupBy("g", "id").agg(F.collect_set("k").alias("ks")))
     return likely(texts, listed, ["id"]).join(listed, ["g", "id"]).select("g", "id", "t", "ks")
 
 
 def in_windows(terms: DataFrame, texts: DataFrame, count: Column) -> DataFrame:
     """(g, k, n) of the terms of several words (g, k) that stand in texts (g, id, t) of their group: ``n`` occurrences where ``count`` says so, else 0."""
-    fitting = F.coalesce(*[F.when(F.size(windows("k", *shape)) > 0, F.struct(F.lit(i).alias("shape"), F.array_distinct(windows("k", *shape)).alias("xs"))) for i, shape in enumerate(SHAPES)])
-    own = settled(terms.select("g", "k", fitting.alias("f")).select("g", "k", "f.shape", F.explode("f.xs").alias("x")))
-    shapes = [SHAPES[i] for i in sorted(r[0] for r in own.select("shape").distinct().collect())]
-    padded = F.concat(F.lit(" " * BEFORE), F.col("t"), F.lit(" " * AFTER))
-    around = texts.select("g", "id", F.explode(windows(padded, BEFORE, AFTER)).alias("c"))
-    cut = F.array(*[F.substring("c", BEFORE + 1 - a, a + 1 + b) for a, b in shapes])
-    held = stored(likely(around.select("g", "id", F.explode(cut).alias("x")), own, ["g", "x"]), "windows")
-    anchors = settled(rarest(own.select("g", "k", "x"), ["g", "k"], "x", held.groupBy("g", "x").agg(F.count("*").alias("df")), ["g"]))
-    each = candidates(anchors, held, "x", texts).select("g", "t", F.explode("ks").alias("k"))
+    own, kinds = windows_of(terms)
+    if not kinds:
+        return terms.select("g", "k", F.lit(0).cast("long").alias("n"))
+    kind = texts.schema["g"].dataType.simpleString()
+    rows = texts.where("g IS NOT NULL").select("g", "id", "t")
+    df = rows.mapInArrow(window_counts(kinds, asked_bits(own)), f"g {kind}, h long, df long").groupBy("g", "h").agg(F.sum("df").alias("df"))
+    anchors = settled(rarest(own, ["g", "k"], "h", df, ["g"]))
+    held = rows.mapInArrow(text_windows(kinds, asked_bits(anchors)), f"g {kind}, id long, h long")
+    each = candidates(anchors, held, "h", texts).select("g", "t", F.explode("ks").alias("k"))
     found = each.where(F.contains("t", "k")).select("g", "k", F.when(count, occurrences_of(F.col("t"), F.col("k"))).otherwise(0).alias("n"))
-    out = settled(found.groupBy("g", "k").agg(F.sum("n").alias("n")))
-    dropped(held)
-    return out
+    return settled(found.groupBy("g", "k").agg(F.sum("n").alias("n")))
 
 
 def sharing(terms: DataFrame, texts: DataFrame, share: float) -> DataFrame:
@@ -138,11 +114,11 @@ def held_terms(terms: DataFrame, texts: DataFrame, share: float | None = None, l
     rows = texts.where("text <> ''").select("g", F.col("text").alias("t"))
     n_words, distinct = F.size(F.split("k", " ")), F.size(F.array_distinct(F.split("k", " ")))
     inside = F.lit(True).alias("inside")
-    out = in_words(keys.where(n_words == 1), rows).select("g", "k", "n", inside)
     several = keys.where(n_words > 1)
     if several.isEmpty():
-        return out
+        return in_words(keys, rows).select("g", "k", "n", inside)
     keyed = stored(rows.withColumn("id", F.monotonically_increasing_id()), "texts")
+    out = in_words(keys.where(n_words == 1), keyed).select("g", "k", "n", inside)
     whole = in_windows(several, keyed, F.lit(True) if count_all else distinct == 1)
     out = out.unionByName(whole.select("g", "k", "n", inside))
     rest = settled(several.where(distinct >= least_words).join(whole, ["g", "k"], "left_anti")) if share else None
